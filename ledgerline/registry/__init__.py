@@ -1,0 +1,8 @@
+"""All registered queries by name."""
+
+from __future__ import annotations
+
+from ledgerline.registry import volume
+from ledgerline.registry.common import Entry
+
+ENTRIES: dict[str, Entry] = {**volume.ENTRIES}
