@@ -73,8 +73,8 @@ eligible AS (
 measures AS (
   SELECT eom AS report_mth_eom, e.customer_id, first_device_purchase_date,
          first_consumable_purchase_date, last_consumable_purchase_date,
-         (year(eom) * 12 + month(eom)) - (year(first_consumable_purchase_date) * 12
-           + month(first_consumable_purchase_date)) + 1 AS tenure_months,
+         CAST((year(eom) * 12 + month(eom)) - (year(first_consumable_purchase_date) * 12
+           + month(first_consumable_purchase_date)) + 1 AS INTEGER) AS tenure_months,
          CAST(coalesce(m_total, 0) AS DOUBLE) AS m_total, CAST(coalesce(m1, 0) AS DOUBLE) AS m1,
          CAST(coalesce(m6, 0) AS DOUBLE) AS m6, CAST(coalesce(m12, 0) AS DOUBLE) AS m12,
          CAST(coalesce(m13, 0) AS DOUBLE) AS m13, CAST(coalesce(m24, 0) AS DOUBLE) AS m24,
@@ -117,9 +117,8 @@ def rounded(amount: str) -> str:
 
 
 def spend_on(day: str) -> str:
-    return (
-        f"{rounded(f'''coalesce(sum(revenue) FILTER (invoice_date > DATE '{day}' - 365 AND invoice_date <= DATE '{day}'), 0)''')}"
-    )
+    window = f"invoice_date > DATE '{day}' - 365 AND invoice_date <= DATE '{day}'"
+    return rounded(f"coalesce(sum(revenue) FILTER ({window}), 0)")
 
 
 # Spend model as of 2001-07-31.

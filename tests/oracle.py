@@ -21,6 +21,18 @@ NAMES = (
 ).split()
 
 
+SAME = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP",
+}
+
+
 def connection(directory: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in NAMES:
@@ -43,6 +55,17 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+def type_notes(frame, result) -> str:
+    """Columns whose Spark and DuckDB types differ, for information."""
+    other = {c[0]: str(c[1]) for c in result.description}
+    notes = []
+    for name, kind in frame.dtypes:
+        want = SAME.get(kind, kind)
+        if other[name] != want:
+            notes.append(f"{name}: {kind} / {other[name]}")
+    return f"; types differ: {', '.join(notes)}" if notes else ""
+
+
 def compare(spark, con, directory: str, run, sql: str | None) -> tuple[bool, str]:
     frame = run(spark, directory)
     got = rows_of(frame.columns, frame.collect())
@@ -54,7 +77,7 @@ def compare(spark, con, directory: str, run, sql: str | None) -> tuple[bool, str
     if sorted(names) != sorted(frame.columns):
         return False, f"columns {sorted(frame.columns)} != {sorted(names)}"
     if got == want:
-        return True, f"{len(got)} rows"
+        return True, f"{len(got)} rows{type_notes(frame, result)}"
     extra = [r for r in got if r not in want][:2] if len(got) < 5000 else got[:1]
     missing = [r for r in want if r not in got][:2] if len(got) < 5000 else want[:1]
     return False, f"{len(got)} vs {len(want)} rows; extra {extra}; missing {missing}"
