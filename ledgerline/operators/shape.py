@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,5 +98,19 @@ def page_after(
     return df.where(following).orderBy(F.desc_nulls_last(value), F.asc(key)).limit(size)
 
 
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def spread_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", parts: int = 16
+) -> DataFrame:
+    """Join to a side with one row per key, spreading busy keys over tasks.
+
+    The right side is usually an aggregate, whose skew Spark cannot split at
+    run time. Each left row draws a part from its content; the right rows are
+    repeated once per part.
+    """
+    part = F.pmod(F.xxhash64(*left.columns), F.lit(parts))
+    copies = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return (
+        left.withColumn("part", part)
+        .join(copies.withColumn("part", F.col("part").cast("long")), [key, "part"], how)
+        .drop("part")
+    )
