@@ -295,6 +295,14 @@ def load_summary(spark: SparkSession, directory: str) -> DataFrame:
     return files.sales_load_summary(spark, landed_sales(spark, directory), "year=*")
 
 
+def upload_failures(spark: SparkSession, directory: str) -> DataFrame:
+    """The load results of refused files: one year came again without quantities."""
+    folder = landed_sales(spark, directory)
+    lacking = raw_sales(spark, directory).where(F.col("year") == 2000).drop("quantity", "year")
+    lacking.write.option("header", True).csv(f"{folder}/year=2000-again")
+    return files.upload_failures(files.sales_load_summary(spark, folder, "year=*"))
+
+
 def export_csv(spark: SparkSession, directory: str) -> DataFrame:
     """The customer list after a round trip through its CSV export."""
     listed = monthly.customer_list(
@@ -532,6 +540,12 @@ ENTRIES: dict[str, Entry] = {
             "FROM raw_sales GROUP BY year(day)",
         ),
     ),
+    "upload_failures": Entry(
+        upload_failures,
+        "SELECT 'year=2000-again' AS file, 'Transactions' AS kind, count(*) AS rows, "
+        "CAST(0 AS BIGINT) AS imported, 'Failed' AS status, 'missing columns: quantity' AS note "
+        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE year(o_orderdate) = 2000",
+    ),
     "export_csv": Entry(export_csv, snap_sql(LIST_SQL)),
     "stored_snapshot": Entry(stored_snapshot, snap_sql(f"SELECT {SNAPSHOT_LIST} FROM snap")),
     "report_json": Entry(

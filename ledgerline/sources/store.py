@@ -40,11 +40,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def write_snapshot(snapshot: DataFrame, path: str) -> None:
     """Replace the months present in the relation, leave the others.
 
-    Rows are ranged by month and customer first: a month is written by many
-    tasks, each with few open files, and customers are clustered in them.
+    Rebalancing gives each month as many tasks as its size needs, so that files
+    are neither tiny nor written by one task; rows are sorted within a file.
     """
     (
-        snapshot.repartitionByRange(MONTH, "customer_id")
+        snapshot.hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, "customer_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -80,7 +80,8 @@ class Refresh:
 
     def replace_partitions(self, rows: DataFrame, name: str, *columns: str) -> None:
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", *columns)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*columns)
             .parquet(self.path(name))

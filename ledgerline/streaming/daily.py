@@ -11,9 +11,15 @@ BATCHES = "batch_id bigint, day date, customer_id bigint, amount double, purchas
 
 
 def purchases(events: DataFrame) -> DataFrame:
+    """Purchases with their wall-clock time as an instant in UTC.
+
+    Spark aligns day windows to UTC and watermarks need instants, while the
+    days wanted are those on the clock, whatever the session's time zone.
+    """
+    instant = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
     return events.where(F.col("event_type") == "purchase").select(
         "event_id",
-        "ts",
+        instant.alias("ts"),
         F.col("user_id").alias("customer_id"),
         F.col("value").alias("amount"),
     )
@@ -24,14 +30,13 @@ def daily_totals(stream: DataFrame, delay: str = DELAY) -> DataFrame:
 
     Rows later than the delay are dropped, which bounds the state kept.
     """
+    day = F.to_utc_timestamp("span.start", F.current_timezone()).cast("date")
     return (
         stream.withWatermark("ts", delay)
         .dropDuplicatesWithinWatermark(["event_id"])
         .groupBy(F.window("ts", "1 day").alias("span"), "customer_id")
         .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("purchases"))
-        .select(
-            F.col("span.start").cast("date").alias("day"), "customer_id", "amount", "purchases"
-        )
+        .select(day.alias("day"), "customer_id", "amount", "purchases")
     )
 
 
