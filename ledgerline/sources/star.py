@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,14 +52,6 @@ def ladder_params() -> LadderParams:
     )
 
 
-@dataclass(frozen=True)
-class Tables:
-    sales: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    locations: DataFrame
-
-
 def read(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """A table by its declared columns, which saves a job to infer them."""
     return spark.read.schema(COLUMNS[name]).parquet(f"{directory}/{name}.parquet")
@@ -138,13 +130,31 @@ def locations(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+class Tables:
+    """The canonical tables of a directory, opened when first used."""
+
+    def __init__(self, spark: SparkSession, directory: str) -> None:
+        self.spark, self.directory = spark, directory
+
+    def read(self, name: str) -> DataFrame:
+        return read(self.spark, self.directory, name)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return sales(self.read("lineitem"), self.read("orders"))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self.read("customer"), self.read("nation"))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self.read("part"))
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return locations(self.read("supplier"), self.read("nation"))
+
+
 def load(spark: SparkSession, directory: str) -> Tables:
-    nation = read(spark, directory, "nation")
-    return Tables(
-        sales=sales(
-            read(spark, directory, "lineitem"), read(spark, directory, "orders")
-        ),
-        customers=customers(read(spark, directory, "customer"), nation),
-        products=products(read(spark, directory, "part")),
-        locations=locations(read(spark, directory, "supplier"), nation),
-    )
+    return Tables(spark, directory)
