@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,3 +116,7 @@ def spread_join(
         .join(copies.withColumn("part", F.col("part").cast("long")), [key, "part"], how)
         .drop("part")
     )
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    return reduce(operator.or_, conditions)

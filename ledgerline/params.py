@@ -30,7 +30,11 @@ def month_last_day(number: int) -> date:
 
 @dataclass(frozen=True)
 class SnapshotParams:
-    """Volume model: report months, anonymous marker and tier gates."""
+    """Volume model: report months, anonymous marker and tier gates.
+
+    ``walk_in_ids`` names anonymous customers whose many lines should be
+    dropped at the scan already; they are never part of a snapshot.
+    """
 
     latest: date
     months: int = 12
@@ -41,6 +45,7 @@ class SnapshotParams:
     a_high: float = 1500.0
     f_high: int = 6
     f_mid: int = 3
+    walk_in_ids: tuple[int, ...] = ()
 
     @property
     def last_month(self) -> int:

@@ -1,8 +1,10 @@
-"""Refresh of stored lines, roll-up and snapshot as sales files arrive.
+"""Refresh of stored lines, roll-ups and snapshot as sales files arrive.
 
-Each step writes whole partitions and none reads what it overwrites, so a
+The monthly roll-up is also kept by year: years older than every window only
+count with their totals, so a long history is read as one row per customer and
+year. Each step writes whole partitions and none reads what it overwrites, so a
 batch that is run again after a failure leaves the same tables behind:
-lines are kept by batch and month, the roll-up and the snapshot by month.
+lines are kept by batch and month, roll-ups and snapshot by year and month.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ledgerline.functions.calendar import month_no
 from ledgerline.operators.lines import month_rollup, positive_lines
 from ledgerline.operators.quality import REASONS, sales_rules, split
-from ledgerline.params import ORDER_WINDOW, SnapshotParams, month_last_day
+from ledgerline.operators.shape import any_of
+from ledgerline.params import ORDER_WINDOW, WINDOW_MONTHS, SnapshotParams, month_last_day
 from ledgerline.plans.monthly import tier_change
 from ledgerline.plans.snapshot import snapshot_from_rollup
 from ledgerline.schemas import SALES
@@ -26,16 +29,15 @@ from ledgerline.sources.store import read_snapshot, write_snapshot
 LINES = T.StructType(
     [*SALES, T.StructField("batch_id", T.LongType()), T.StructField("month", T.IntegerType())]
 )
-ROLLUP = T.StructType(
-    [
-        T.StructField("customer_id", T.LongType()),
-        T.StructField("units", T.DecimalType(38, 8)),
-        T.StructField("first_date", T.DateType()),
-        T.StructField("last_date", T.DateType()),
-        T.StructField("device_date", T.DateType()),
-        T.StructField("month", T.IntegerType()),
-    ]
-)
+TOTALS = [
+    T.StructField("customer_id", T.LongType()),
+    T.StructField("units", T.DecimalType(38, 8)),
+    T.StructField("first_date", T.DateType()),
+    T.StructField("last_date", T.DateType()),
+    T.StructField("device_date", T.DateType()),
+]
+ROLLUP = T.StructType([*TOTALS, T.StructField("month", T.IntegerType())])
+YEARLY = T.StructType([*TOTALS, T.StructField("year", T.IntegerType())])
 
 
 def change_feed(snapshot: DataFrame) -> DataFrame:
@@ -75,6 +77,20 @@ class Refresh:
     def rollup(self) -> DataFrame:
         return self.spark.read.schema(ROLLUP).parquet(self.path("rollup"))
 
+    def yearly(self) -> DataFrame:
+        return self.spark.read.schema(YEARLY).parquet(self.path("yearly"))
+
+    def history(self, first: int) -> DataFrame:
+        """The roll-up as the months from ``first`` on need it.
+
+        A year that ends before every window of these months is read from the
+        yearly roll-up and stands in its last month.
+        """
+        closed = (first - max(WINDOW_MONTHS) + 1) // 12
+        old = self.yearly().where(F.col("year") < closed)
+        old = old.withColumn("month", F.col("year") * 12 + 11).drop("year")
+        return old.unionByName(self.rollup().where(F.col("month") >= closed * 12))
+
     def snapshot(self) -> DataFrame:
         return read_snapshot(self.spark, self.path("snapshot"))
 
@@ -110,6 +126,23 @@ class Refresh:
         rows = month_rollup(bought).withColumn("month", F.col("month").cast("int"))
         self.replace_partitions(rows.select(*ROLLUP.names), "rollup", "month")
 
+    def store_yearly(self, months: list[int]) -> None:
+        years = sorted({month // 12 for month in months})
+        spans = [F.col("month").between(y * 12, y * 12 + 11) for y in years]
+        year = F.floor(F.col("month") / 12).cast("int")
+        rows = (
+            self.rollup()
+            .where(any_of(spans))
+            .groupBy("customer_id", year.alias("year"))
+            .agg(
+                F.sum("units").cast("decimal(38,8)").alias("units"),
+                F.min("first_date").alias("first_date"),
+                F.max("last_date").alias("last_date"),
+                F.min("device_date").alias("device_date"),
+            )
+        )
+        self.replace_partitions(rows.select(*YEARLY.names), "yearly", "year")
+
     def store_snapshot(self, oldest: int) -> int | None:
         """Recompute from a changed month to the latest: totals never expire."""
         first = max(oldest, self.params.first_month)
@@ -120,7 +153,7 @@ class Refresh:
         recent = self.lines().where(F.col("month") > first - ORDER_WINDOW)
         bought = positive_lines(recent.drop("month", "batch_id"), self.products, "consumable")
         write_snapshot(
-            snapshot_from_rollup(self.rollup(), bought, self.customers, span),
+            snapshot_from_rollup(self.history(first), bought, self.customers, span),
             self.path("snapshot"),
         )
         return first
@@ -139,6 +172,7 @@ class Refresh:
         if not months:
             return
         self.store_rollup(months)
+        self.store_yearly(months)
         first = self.store_snapshot(months[0])
         if first is not None:
             self.store_feed(first, batch_id)

@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerline.params import SnapshotParams, month_last_day, month_number
-from ledgerline.plans.snapshot import customer_snapshot, single_month_snapshot
+from ledgerline.plans.snapshot import customer_snapshot, single_month_snapshot, with_walk_ins
 from ledgerline.schemas import CUSTOMERS, PRODUCTS, SALES
 
 PRODUCT_ROWS = [
@@ -114,6 +114,15 @@ def test_one_customer_per_branch(hand, plan):
     assert by_id[1].avg_monthly_consumption == 1600
 
 
+def test_walk_ins_dropped_at_the_scan(hand):
+    params = SnapshotParams(latest=D(2024, 12, 31), months=2)
+    few = with_walk_ins(hand[2], params)
+    assert few.walk_in_ids == (14,)
+    assert with_walk_ins(hand[2], params, limit=0) == params
+    left, right = customer_snapshot(*hand, params), customer_snapshot(*hand, few)
+    assert left.exceptAll(right).count() == 0 and left.count() == right.count()
+
+
 def brute_force(by_customer, first, last):
     """Every window of every report month, straight from the definition."""
     sizes = {i: s for i, category, s in PRODUCT_ROWS if category == "consumable"}

@@ -46,6 +46,10 @@ def test_two_drops_with_late_and_bad_lines_equal_one_batch(spark, canonical, tmp
     quarantine = spark.read.parquet(refresh.path("quarantine"))
     assert quarantine.count() == bad.count()
     assert {r.reasons for r in quarantine.select("reasons").distinct().collect()} == {"bad_date"}
+    # Old years were read from the yearly totals.
+    old = refresh.history(PARAMS.first_month).where("month < 1998 * 12")
+    assert old.count() == refresh.yearly().where("year < 1998").count() > 0
+    assert old.where("month % 12 != 11").count() == 0
     feed = spark.read.parquet(refresh.path("feed")).where("batch_id = 1").drop("batch_id")
     in_span = F.col("report_mth_eom") > F.lit(date(2001, 4, 30))
     assert same(feed, arrival.change_feed(whole).where(in_span))
