@@ -74,6 +74,9 @@ def spend_tier(rounded: Column, tiers: Sequence[tuple[str, int]]) -> Column:
     return rule.otherwise(tiers[-1][0])
 
 
+# The bucket limits below, in days and in orders a year.
+
+
 def recency_bucket(days: Column) -> Column:
     return F.when(days <= 30, 0).when(days <= 90, 1).when(days <= 180, 2).otherwise(3)
 

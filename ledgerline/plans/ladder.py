@@ -25,6 +25,8 @@ from ledgerline.operators.shape import (
 )
 from ledgerline.params import SPEND_TIERS, LadderParams
 
+# Window lengths, the recency of clients without purchases,
+# recency and frequency buckets, and the top of the ladder.
 YEAR = 365
 NEVER = 9999
 MONTH_DAYS = 30.44
