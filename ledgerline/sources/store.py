@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date
 
@@ -25,15 +24,10 @@ REPORT_SETS = (
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's shared checkpoint directory.
-
-    Only a local session may fall back to this machine's temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="ledgerline-")
+    """A new folder under the shared checkpoint directory, else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
