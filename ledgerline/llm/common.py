@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +39,28 @@ def ascii_lower(text: Column) -> Column:
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def packed_texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Ids with their texts compressed, for steps that must move whole texts.
+
+    Columns: doc_id and packed; a null text is packed as the empty one.
+    """
+
+    def pack(batches):
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = [squeeze(x.as_buffer() if x.is_valid else b"") for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"]
+            )
+
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(pack, f"doc_id {kind}, packed binary")
+
+
+def unpacked(packed) -> list[bytes]:
+    """The texts of an Arrow column of packed ones."""
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(x.as_buffer()) for x in packed]

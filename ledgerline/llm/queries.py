@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, mixing, sql
+from ledgerline.llm import exact_dedup, jaccard_join, mixing, sql
 from ledgerline.registry.common import Entry
 
 
@@ -24,11 +24,16 @@ def op1_source_mix(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard_join.near_groups(documents(spark, directory))
+
+
 def op10_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, directory))
 
 
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
+    "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
     "op10_exact_dedup": Entry(op10_exact_dedup, sql.EXACT),
 }
