@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, jaccard_join, mixing, sql
+from ledgerline.llm import exact_dedup, jaccard_join, mixing, sql, toxicity
 from ledgerline.registry.common import Entry
 
 
@@ -32,8 +32,15 @@ def op10_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, directory))
 
 
+def op8_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    labels = spark.read.parquet(f"{directory}/labels.parquet")
+    return toxicity.scores(docs, toxicity.fit(docs, labels))
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
     "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
     "op10_exact_dedup": Entry(op10_exact_dedup, sql.EXACT),
+    "op8_toxicity": Entry(op8_toxicity),
 }
