@@ -190,11 +190,15 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = max(1, size.get(1, 0)), max(1, size.get(0, 0))
-    lead = F.col("bad") / bad - F.col("good") / good
-    noise = F.sqrt((F.col("bad") + F.col("good") + 1) / (bad + good)) / (bad**0.5)
-    marks = counts.withColumn("lead", lead / noise).where(
-        # A landmark is several times likelier in a toxic text than in another.
-        (F.col("bad") >= 3) & (F.col("bad") / bad > 6 * (F.col("good") + 1) / good)
+    # How much likelier a word's texts are with their labels than by chance; of
+    # all words, chance alone lifts about one above the logarithm of their number.
+    share, n = bad / (bad + good), F.col("bad") + F.col("good")
+    likelier = F.col("bad") * F.log(F.col("bad") / n / share) + F.when(
+        F.col("good") > 0, F.col("good") * F.log(F.col("good") / n / (1 - share))
+    ).otherwise(0.0)
+    least = float(np.log(max(1, counts.count()))) + 1
+    marks = counts.withColumn("lead", likelier).where(
+        (F.col("lead") >= least) & (F.col("bad") / bad > 6 * F.col("good") / good)
     )
     landmarks = [r["word"] for r in marks.orderBy(F.desc("lead"), "word").limit(LANDMARKS).collect()]
     kernel = Kernel(landmarks)
