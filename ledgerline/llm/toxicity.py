@@ -179,14 +179,25 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         some = ids.where(F.col("toxic") == toxic).orderBy("place", "doc_id").limit(sample)
         chosen = some if chosen is None else chosen.union(some)
     known = rows.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").persist()
-    words = F.array_distinct(
-        F.split(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+", " "), " ")
+    letters = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+", " ")
+    around = F.transform(
+        "words",
+        lambda word, i: F.struct(
+            word.alias("word"),
+            F.get("words", i - 1).alias("left"),
+            F.get("words", i + 1).alias("right"),
+        ),
     )
+    # Copies of a text repeat its words between the same neighbours, and count once.
     counts = (
-        known.select("toxic", F.explode(words).alias("word"))
-        .where("length(word) between 3 and 20")
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+        known.select("toxic", F.split(letters, " ").alias("words"))
+        .select("toxic", F.explode(around).alias("at"))
+        .where("length(at.word) between 3 and 20")
+        .groupBy("at")
+        .agg(F.max("toxic").alias("bad"), F.max(1 - F.col("toxic")).alias("good"))
+        .groupBy(F.col("at.word").alias("word"))
+        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        .persist()
     )
     size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = max(1, size.get(1, 0)), max(1, size.get(0, 0))
@@ -200,7 +211,10 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     marks = counts.withColumn("lead", likelier).where(
         (F.col("lead") >= least) & (F.col("bad") / bad > 6 * F.col("good") / good)
     )
-    landmarks = [r["word"] for r in marks.orderBy(F.desc("lead"), "word").limit(LANDMARKS).collect()]
+    best = marks.orderBy(F.desc("lead"), "word").limit(LANDMARKS).collect()
+    # Words far weaker than the strongest one come from a few odd texts.
+    landmarks = [r["word"] for r in best if r["lead"] >= best[0]["lead"] / 4]
+    counts.unpersist()
     kernel = Kernel(landmarks)
 
     def run(batches):
