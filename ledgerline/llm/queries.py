@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, jaccard_join, mixing, sql, toxicity
+from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, mixing, sql, toxicity
 from ledgerline.registry.common import Entry
 
 
@@ -38,9 +38,14 @@ def op8_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, labels))
 
 
+def op5_merkle_fingerprint(spark: SparkSession, directory: str) -> DataFrame:
+    return fingerprints.compared(documents(spark, directory))
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
     "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
     "op10_exact_dedup": Entry(op10_exact_dedup, sql.EXACT),
     "op8_toxicity": Entry(op8_toxicity),
+    "op5_merkle_fingerprint": Entry(op5_merkle_fingerprint),
 }
