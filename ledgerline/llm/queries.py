@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, mixing, sql, toxicity
+from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, mixing, sql, substring_dedup, suffix_dedup, toxicity
 from ledgerline.registry.common import Entry
 
 
@@ -42,10 +42,20 @@ def op5_merkle_fingerprint(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.compared(documents(spark, directory))
 
 
+def op3_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return substring_dedup.without_passages(documents(spark, directory))
+
+
+def op9_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(spark, directory))
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
     "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
     "op10_exact_dedup": Entry(op10_exact_dedup, sql.EXACT),
     "op8_toxicity": Entry(op8_toxicity),
     "op5_merkle_fingerprint": Entry(op5_merkle_fingerprint),
+    "op3_substring_dedup": Entry(op3_substring_dedup),
+    "op9_suffix_dedup": Entry(op9_suffix_dedup),
 }
