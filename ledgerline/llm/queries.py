@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, mixing, sql, substring_dedup, suffix_dedup, toxicity
+from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, mixing, pieces, sql, substring_dedup, suffix_dedup, toxicity
 from ledgerline.registry.common import Entry
 
 
@@ -50,6 +50,12 @@ def op9_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return suffix_dedup.without_repeats(documents(spark, directory))
 
 
+def op6_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    coded = pieces.encoded(docs, pieces.Pieces())
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
     "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
@@ -58,4 +64,5 @@ ENTRIES: dict[str, Entry] = {
     "op5_merkle_fingerprint": Entry(op5_merkle_fingerprint),
     "op3_substring_dedup": Entry(op3_substring_dedup),
     "op9_suffix_dedup": Entry(op9_suffix_dedup),
+    "op6_sentencepiece": Entry(op6_sentencepiece),
 }
