@@ -102,7 +102,7 @@ def targets(
         .withColumn("full", (F.col("source_size") * cap).cast("double"))
         .withColumn("level", level)
         .withColumn("open", F.col("full") / F.col("weight") >= F.col("level"))
-        .withColumn("line", F.min(F.when(F.col("open"), F.col("level"))).over(everything))
+        .withColumn("line", F.max(F.when(F.col("open"), F.col("level"))).over(everything))
     )
     return filled.select(
         "source",

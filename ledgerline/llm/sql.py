@@ -25,7 +25,7 @@ WITH docs AS (
   FROM weighed
 ), aims AS (
   SELECT source, source_size, kind,
-         least(full_size, coalesce(min(CASE WHEN full_size / weight >= level THEN level END)
+         least(full_size, coalesce(max(CASE WHEN full_size / weight >= level THEN level END)
                OVER (), 'inf'::DOUBLE) * weight) AS target
   FROM levels
 ), placed AS (
