@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, mixing, pieces, sql, substring_dedup, suffix_dedup, toxicity
+from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, lm_score, mixing, pieces, secrets, sql, substring_dedup, suffix_dedup, toxicity
 from ledgerline.registry.common import Entry
 
 
@@ -56,6 +57,16 @@ def op6_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
+def op4_lm_score(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    return lm_score.scores(docs, lm_score.fit(docs))
+
+
+def op7_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    return secrets.scanned(docs, secrets.fit(docs))
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
     "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
@@ -65,4 +76,7 @@ ENTRIES: dict[str, Entry] = {
     "op3_substring_dedup": Entry(op3_substring_dedup),
     "op9_suffix_dedup": Entry(op9_suffix_dedup),
     "op6_sentencepiece": Entry(op6_sentencepiece),
+    "pipeline": Entry(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
+    "op4_lm_score": Entry(op4_lm_score),
+    "op7_secret_scan": Entry(op7_secret_scan),
 }

@@ -44,7 +44,7 @@ SELECT doc_id, size, source_size, target,
             WHEN kind = 0 THEN (sqrt(16.0 - part * 12.0) - 4.0) / -2.0
             WHEN kind = 1 THEN part
             WHEN part * 2.0 <= 0.75 THEN (sqrt(1.0 + part * 8.0) - 1.0) / 2.0
-            ELSE 0.5 + (sqrt(4.0 + (part * 2.0 - 0.75) * 4.0) - 2.0) / 2.0 END, 9) AS position
+            ELSE 0.5 + (sqrt(4.0 + (part * 2.0 - 0.75) * 4.0) - 2.0) / 2.0 END, 9) + 0.0 AS position
 FROM parts
 """
 
