@@ -114,6 +114,11 @@ def lattice(words: DataFrame, table: DataFrame, most: int) -> DataFrame:
     return words.join(edges, "word", "left")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _merged(edges: Column, chars: Column) -> Column:
     """Merge the best neighbours, the first of equals, until no piece is left to make."""
 
@@ -128,13 +133,16 @@ def _merged(edges: Column, chars: Column) -> Column:
             ),
         )
         best = F.array_max(F.filter(options, lambda o: o["score"].isNotNull()))
-        at = -best["at"]
-        merged = F.concat(
-            F.slice(parts, F.lit(1), at - 1),
-            F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
-            F.slice(parts, at + 2, F.size(parts)),
-        )
-        return F.when((F.size(parts) < 2) | best.isNull(), parts).otherwise(merged)
+
+        def merged(at: Column) -> Column:
+            return F.concat(
+                F.slice(parts, F.lit(1), at - 1),
+                F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
+                F.slice(parts, at + 2, F.size(parts)),
+            )
+
+        done = F.when(F.size(parts) < 2, F.lit(None).cast("int")).otherwise(-best["at"])
+        return bound(done, lambda at: F.when(at.isNull(), parts).otherwise(merged(at)))
 
     return F.aggregate(F.sequence(F.lit(1), F.size(chars)), chars, step)
 
@@ -159,11 +167,15 @@ def _best_path(edges: Column, chars: Column, most: int) -> Column:
             ),
         )
         best = F.array_max(F.filter(options, lambda o: o["score"].isNotNull()))
-        k = -best["back"]
-        path = F.concat(
-            F.element_at(ends, i - k + 1)["path"], F.array(F.substr(word, i - k + 1, k))
-        )
-        return F.concat(ends, F.array(F.struct(best["score"].alias("score"), path.alias("path"))))
+
+        def longer(b: Column) -> Column:
+            k = -b["back"]
+            path = F.concat(
+                F.element_at(ends, i - k + 1)["path"], F.array(F.substr(word, i - k + 1, k))
+            )
+            return F.array(F.struct(b["score"].alias("score"), path.alias("path")))
+
+        return F.concat(ends, bound(best, longer))
 
     ends = F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step)
     return F.element_at(ends, -1)["path"]
