@@ -135,6 +135,9 @@ def _settle(c: dict, rule: Rule) -> dict:
     for name in NAMES:
         values = c[name]
         out[name] = np.r_[values[span], values[entry]]
+    # Spans need no meeting place any more, and are dealt out by where they are.
+    n = int(span.sum())
+    out["anchor"][:n] = arrays.mix((out["tie"][:n] ^ out["start"][:n]).view(np.uint64)).view(np.int64)
     out["kind"] = np.r_[np.full(span.sum(), SPAN), np.full(entry.sum(), ENTRY)].astype(np.int32)
     out["many"] = np.r_[np.zeros(span.sum()), several[group[entry]]].astype(np.int32)
     return out
