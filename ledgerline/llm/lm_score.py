@@ -117,10 +117,9 @@ def train(flat: np.ndarray, examples: np.ndarray) -> np.ndarray:
         back *= 1 - h * h
         update("bias", back.sum(0) / n)
         for k in range(len(AROUND)):
-            ids, inverse = np.unique(around[k], return_inverse=True)
-            g = np.zeros((len(ids), HIDDEN), np.float32)
-            np.add.at(g, inverse, back / n)
-            update("embed", g, (k, ids))
+            order = np.argsort(around[k], kind="stable")
+            ids, start = np.unique(around[k][order], return_index=True)
+            update("embed", np.add.reduceat(back[order], start) / n, (k, ids))
     return flat
 
 
