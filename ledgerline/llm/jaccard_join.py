@@ -1,18 +1,19 @@
 """Similarity join on word shingles, as a blocked sparse product.
 
 The incidence matrix has a row per distinct shingle set and a column per
-shingle. Only the part that a linked pair must share is multiplied: of a set of
-n shingles, ordered from rare to common, a pair at the threshold shares one of
-the first n - ceil(t n) + 1. Columns are dealt to blocks by hash. In a block, a
-column's rows are candidates for each other unless a bound derived from their
-sizes rules them out: what is left after the positions of the shared column,
-or the parity sketches, whose differing bits are a lower bound for the number of
-shingles that only one set has. Overlaps of the rest are counted on whole texts.
-
-Groups of near copies would give the square of their size in pairs. So the first
-round pairs the rows of a column with its first row only, and the second one
-takes every pair of rows that the first has not put into one component already.
-Components are the same as with all pairs.
+shingle. Only the part that linked pairs must share is multiplied: of a set of n
+shingles, ordered from rare to common, a pair at the threshold t shares at least
+s of the first n - ceil(t n) + s, here with s growing with n. Columns are
+dealt to blocks by hash. Blocks count the columns that two rows share, the
+counts of a pair are added up over blocks, and pairs below s go. So do pairs
+whose sizes are too far apart, or whose parity sketches differ in more bits than
+a linked pair may have shingles that only one set has. What is left is
+counted on whole texts.
+
+Groups of near copies would give the square of their size in pairs. So a first
+round pairs each row of a column with the first and the next one, and the second
+one takes every pair of rows that the first has not put into one component
+already. Components are the same as with all pairs.
 
 Sets are held as 64-bit shingle hashes.
 """
@@ -36,6 +37,17 @@ PERCENT = 85
 # what every task needs to know of the corpus has a fixed size.
 BUCKETS = 1 << 16
 SKETCH_WORDS = 4  # of 64 bits
+# Columns with this many rows or fewer are paired together in one numpy call.
+SMALL = 32
+
+
+def spare(n):
+    """How many of the first shingles of a set of n a linked pair must share.
+
+    The part of a set that is multiplied is longer by this, less one.
+    """
+    return 1 + n // 20
+
 
 
 def _sets(batch, size: int):
@@ -116,35 +128,34 @@ def commonness(df: DataFrame, text: str, size: int) -> list[int]:
 
 
 def incidence(df: DataFrame, levels: list[int], doc_id: str, text: str, size: int, percent: int):
-    """The part of the matrix that is multiplied: shingle, class, n and position."""
+    """The part of the matrix that is multiplied: shingle, class and n."""
 
     def run(batches):
         level = np.asarray(levels, np.uint64)
         for batch in batches:
-            shingle, name, n, position = [], [], [], []
+            shingle, name, n = [], [], []
             for _, shingles in _sets(batch, size):
                 if not len(shingles):
                     continue
-                k = len(shingles) - -(-percent * len(shingles) // 100) + 1
+                k = len(shingles) - -(-percent * len(shingles) // 100)
+                k += spare(len(shingles))
                 rank = level[(shingles >> np.uint64(48)).astype(np.int64)]
                 order = np.lexsort((shingles, rank))[:k]
                 shingle.append(shingles[order])
                 name += [_name(shingles)] * k
                 n.append(np.full(k, len(shingles)))
-                position.append(np.arange(k))
             if name:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(shingle).view(np.int64)),
                         pa.array(name, pa.binary()),
                         pa.array(np.concatenate(n).astype(np.int32)),
-                        pa.array(np.concatenate(position).astype(np.int32)),
                     ],
-                    ["shingle", "class", "n", "position"],
+                    ["shingle", "class", "n"],
                 )
 
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "shingle long, class binary, n int, position int")
+    return rows.mapInArrow(run, "shingle long, class binary, n int")
 
 
 def shared_columns(entries: DataFrame) -> DataFrame:
@@ -170,80 +181,105 @@ def shared_columns(entries: DataFrame) -> DataFrame:
     )
 
 
+def _grid(start, count, most: int):
+    """All pairs of rows of the groups with at most ``most`` rows, in batches."""
+    for size in np.unique(count[(count > 1) & (count <= most)]):
+        i, j = np.triu_indices(size, 1)
+        heads = start[count == size]
+        step = max(1, 1_000_000 // len(i))
+        for k in range(0, len(heads), step):
+            rows = heads[k : k + step, None]
+            yield (rows + i).ravel(), (rows + j).ravel()
+
+
+def _stars(start, count):
+    """The first row of each group with all others, and each row with the next."""
+    many = count > 1
+    start, count = start[many], count[many]
+    rest = np.repeat(start, count - 1)
+    rows = rest + 1 + arrays.within(count - 1)
+    yield rest, rows
+    yield rows[rows - 1 > rest] - 1, rows[rows - 1 > rest]
+
+
+def _across(rows, component):
+    """Every pair of rows of different components."""
+    own = component[rows]
+    # The largest component's rows need no partners among themselves.
+    big = np.bincount(own).argmax()
+    others, most = rows[own != big], rows[own == big]
+    for i, row in enumerate(others):
+        partners = np.concatenate([most, others[i + 1 :]])
+        yield np.full(len(partners), row), partners
+
+
 def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> DataFrame:
-    """Candidate pairs ``a, b`` of classes (and their overlap so far) of each block.
+    """Candidate pairs ``a, b`` of classes of different components.
 
-    Rows of ``columns``: shingle, class, n, position, sketch, component. With
-    ``first_only``, each row is paired with the first one that the bounds allow;
-    else with all rows of other components.
+    Rows of ``columns``: shingle, class, n, sketch, component. Blocks count the
+    columns that a pair shares, the counts are added up, and pairs below the
+    bound for their sizes go. With ``first_only``, a row is paired only with the
+    first one of its column and with the next, and two shared columns are enough;
+    that finds most links, in as many rows as the columns have.
     """
 
     def run(batches):
-
-
         for table in arrays.whole_groups(batches, "shingle"):
-            names = table.column("class").combine_chunks()
             n = table.column("n").to_numpy().astype(np.int64)
-            left = n - table.column("position").to_numpy()
             flat = table.column("sketch").combine_chunks().flatten().to_numpy()
             sketch = flat.view(np.uint64).reshape(-1, SKETCH_WORDS)
+            ids, name = np.unique(
+                np.asarray(table.column("class").combine_chunks(), object), return_inverse=True
+            )
             _, component = np.unique(
                 np.asarray(table.column("component").combine_chunks(), object), return_inverse=True
             )
-            out_a, out_b = [], []
+
+            def allowed(a, b):
+                sizes = n[a] + n[b]
+                need = -(-percent * sizes // (100 + percent))
+                ok = (component[a] != component[b]) & (np.minimum(n[a], n[b]) >= need)
+                differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(-1, dtype=np.int64)
+                return ok & (differ <= sizes - 2 * need)
+
             start, count = arrays.group_bounds(table.column("shingle").to_numpy())
-            for first, size in zip(start, count, strict=True):
-                rest = np.arange(first, first + size)
-
-                def allowed(p, others):
-                    need = -(-percent * (n[p] + n[others]) // (100 + percent))
-                    ok = np.minimum(left[p], left[others]) >= need
-                    ok &= component[p] != component[others]
-                    others = others[ok]
-                    differ = np.bitwise_count(sketch[p] ^ sketch[others]).sum(1, dtype=np.int64)
-                    return others[differ <= n[p] + n[others] - 2 * need[ok]]
-
-                if first_only:
-                    while len(rest) > 1:
-                        p, rest = rest[0], rest[1:]
-                        found = allowed(p, rest)
-                        out_a.append(np.full(len(found), p))
-                        out_b.append(found)
-                        rest = np.setdiff1d(rest, found, assume_unique=True)
-                    continue
-                # The largest component's rows need no partners among themselves.
-                own = component[rest]
-                big = np.bincount(own).argmax() if len(own) else 0
-                others, most = rest[own != big], rest[own == big]
-                for i, p in enumerate(others):
-                    found = allowed(p, np.concatenate([most, others[i + 1 :]]))
-                    out_a.append(np.full(len(found), p))
-                    out_b.append(found)
-            if not out_a:
-                continue
-            a, b = np.concatenate(out_a), np.concatenate(out_b)
-            pair = np.stack([a, b], 1)
-            if len(pair):
-                # One row per pair and block part, with the columns it shares there.
-                ids, inverse = np.unique(np.asarray(names, object), return_inverse=True)
-                codes = np.sort(inverse[pair], 1)
-                codes, overlap = np.unique(codes, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[codes[:, 0]], pa.binary()),
-                        pa.array(ids[codes[:, 1]], pa.binary()),
-                        pa.array(overlap.astype(np.int64)),
-                    ],
-                    ["a", "b", "overlap"],
-                )
+            if first_only:
+                found = [_stars(start, count)]
+            else:
+                found = [_grid(start, count, SMALL)]
+                for first, size in zip(start[count > SMALL], count[count > SMALL], strict=True):
+                    found.append(_across(np.arange(first, first + size), component))
+            codes, needs = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
+            for a, b in (pair for pairs in found for pair in pairs):
+                ok = allowed(a, b)
+                codes.append(np.sort(np.stack([name[a[ok]], name[b[ok]]], 1), 1))
+                needs.append(spare(np.minimum(n[a[ok]], n[b[ok]])))
+            pairs, place, overlap = np.unique(
+                np.concatenate(codes), axis=0, return_index=True, return_counts=True
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[pairs[:, 0]], pa.binary()),
+                    pa.array(ids[pairs[:, 1]], pa.binary()),
+                    pa.array(overlap.astype(np.int64)),
+                    pa.array(np.concatenate(needs)[place]),
+                ],
+                ["a", "b", "overlap", "need"],
+            )
 
     found = (
         columns.repartition("shingle")
         .sortWithinPartitions("shingle", "class")
-        .select("shingle", "class", "n", "position", "sketch", "component")
-        .mapInArrow(run, "a binary, b binary, overlap long")
+        .select("shingle", "class", "n", "sketch", "component")
+        .mapInArrow(run, "a binary, b binary, overlap long, need long")
+    )
+    bound = F.least("need", F.lit(2)) if first_only else F.col("need")
+    return (
+        found.groupBy("a", "b")
+        .agg(F.sum("overlap").alias("overlap"), F.min("need").alias("need"))
+        .where(F.col("overlap") >= bound)
+        .select("a", "b")
     )
-    return found.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
