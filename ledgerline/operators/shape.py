@@ -89,14 +89,18 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 50) ->
 
 
 def page_after(
-    df: DataFrame, value: str, key: str, last_value: float, last_key: int, size: int = 50
+    df: DataFrame, value: str, key: str, last_value: float | None, last_key: int, size: int = 50
 ) -> DataFrame:
     """The page that follows a given last row in (value desc, key asc) order.
 
     Needs no count and skips no rows, so deep pages cost as much as the first.
+    Nulls come last; a null ``last_value`` is a row among them.
     """
     v, k = F.col(value), F.col(key)
-    following = (v < last_value) | ((v == last_value) & (k > last_key)) | v.isNull()
+    if last_value is None:
+        following = v.isNull() & (k > last_key)
+    else:
+        following = (v < last_value) | ((v == last_value) & (k > last_key)) | v.isNull()
     return df.where(following).orderBy(F.desc_nulls_last(value), F.asc(key)).limit(size)
 
 

@@ -106,7 +106,7 @@ def client_filter(t: star.Tables) -> DataFrame:
 def user_sort(t: star.Tables) -> DataFrame:
     clients = ladder.client_directory(t.sales, t.customers, LADDER)
     ordered = shape.sorted_by(clients, "avg_order", "customer_id", descending=True)
-    return ordered.limit(100).select("customer_id", "customer_name", "avg_order", "home_store")
+    return ordered.select("customer_id", "customer_name", "avg_order", "home_store")
 
 
 def audit_log(spark: SparkSession, directory: str) -> DataFrame:
@@ -371,7 +371,7 @@ ENTRIES: dict[str, Entry] = {
             "PARTITION BY customer_id ORDER BY n DESC, store_id) AS place "
             "FROM (SELECT customer_id, store_id, count(DISTINCT invoice_id) AS n FROM sales "
             "WHERE invoice_date <= DATE '2001-07-31' GROUP BY 1, 2) QUALIFY place = 1) USING (customer_id) "
-            "ORDER BY avg_order DESC, customer_id LIMIT 100"
+            "ORDER BY avg_order DESC, customer_id"
         ),
     ),
     "transition_matrix": Entry(

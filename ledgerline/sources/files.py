@@ -159,7 +159,9 @@ def arrivals(spark: SparkSession, directory: str, layout: T.StructType) -> DataF
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV parts with a header; NULL is empty, quotes are doubled."""
+    """CSV parts with a header; NULL is empty, quotes are doubled, blanks stay."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option(
         "escape", '"'
-    ).option("emptyValue", "").option("nullValue", "").csv(path)
+    ).option("emptyValue", "").option("nullValue", "").option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
