@@ -41,10 +41,11 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def packed_texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+def packed_texts(df: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
     """Ids with their texts compressed, for steps that must move whole texts.
 
-    Columns: doc_id and packed; a null text is packed as the empty one.
+    Columns: doc_id, packed and those named in ``more``; a null text is packed as
+    the empty one.
     """
 
     def pack(batches):
@@ -52,12 +53,14 @@ def packed_texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
         for batch in batches:
             packed = [squeeze(x.as_buffer() if x.is_valid else b"") for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"]
+                [batch.column("doc_id"), pa.array(packed, pa.binary()), *[batch.column(c) for c in more]],
+                ["doc_id", "packed", *more],
             )
 
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"), *more)
+    kinds = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in more)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(pack, f"doc_id {kind}, packed binary")
+    return rows.mapInArrow(pack, f"doc_id {kind}, packed binary{kinds}")
 
 
 def unpacked(packed) -> list[bytes]:

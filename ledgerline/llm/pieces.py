@@ -1,11 +1,12 @@
 """SentencePiece encoding and decoding as relations.
 
-A text is cut into words: a run of the blank sign with what follows it up to the
-next one. No piece spans two words, so each distinct word is encoded once: its
+A text is cut into words: a run of the blank sign with what follows it, up to the
+next one or to characters that no piece joins to those before. No piece spans two
+words, so each distinct word is encoded once: its
 substrings of bounded length are exploded, equi-joined to the piece table, and
 the matching pieces (the edges of its lattice) grouped by word. A higher-order
-aggregate then folds the word's characters over its edges, and encoded words
-are joined back to the texts.
+aggregate then folds the word over its edges, and encoded words are joined back
+to the texts.
 
 What the fold computes depends on the kind of model. For a unigram model it is
 the best path by the sum of scores (Viterbi). The public piece file is a
@@ -19,8 +20,10 @@ entries; each text's other words come back to it through a join.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 import sentencepiece
@@ -34,6 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 KNOWN = 1 << 19
 LONG = 48  # longer words are cut where no piece has the two characters side by side
+BITS = 61  # longer words, which no cut shortens, are merged by a queue
 WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 
@@ -58,32 +62,61 @@ class Pieces:
         return spark.createDataFrame(self.rows, "piece string, id int, score double")
 
 
-def words_of(text: str, pairs: set[str]) -> list[str]:
+class Cuts(NamedTuple):
+    """Where texts are cut: characters side by side in no piece stay apart."""
+
+    pattern: re.Pattern
+    pairs: frozenset[str]
+
+
+def cuts(pairs: set[str]) -> Cuts:
+    """The largest set of characters that pieces link, directly or through others,
+    is kept apart from all other characters, as no piece joins the two."""
+    group: dict[str, str] = {}
+
+    def root(c: str) -> str:
+        while group.setdefault(c, c) != c:
+            c = group[c]
+        return c
+
+    for one, other in pairs:
+        if BLANK not in (one, other):
+            group[root(one)] = root(other)
+    sizes = Counter(root(c) for c in group)
+    largest = max(sizes, key=lambda c: (sizes[c], c), default="")
+    linked = "".join(re.escape(c) for c in sorted(group) if root(c) == largest)
+    if not linked:
+        return Cuts(WORDS, frozenset(pairs))
+    runs = f"{BLANK}*[{linked}]+|{BLANK}*[^{linked}{BLANK}]+|{BLANK}+"
+    return Cuts(re.compile(runs), frozenset(pairs))
+
+
+def words_of(text: str, at: Cuts) -> list[str]:
     """The words of a text, blank signs in place of blanks."""
     if not text:
         return []
     out = []
-    for word in WORDS.findall(BLANK + text.replace(" ", BLANK)):
+    for word in at.pattern.findall(BLANK + text.replace(" ", BLANK)):
         if len(word) <= LONG:
             out.append(word)
             continue
         first = 0
         for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in pairs:
+            if word[k - 1 : k + 1] not in at.pairs:
                 out.append(word[first:k])
                 first = k
         out.append(word[first:])
     return out
 
 
-def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
+def distinct_words(df: DataFrame, at: Cuts, text: str) -> DataFrame:
     """word, n: all distinct words of all texts, counted."""
 
     def run(batches):
         for batch in batches:
             seen: Counter[str] = Counter()
             for value in batch.column("text"):
-                seen.update(words_of(value.as_py() or "", pairs))
+                seen.update(words_of(value.as_py() or "", at))
             yield pa.RecordBatch.from_pydict(
                 {"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())}
             )
@@ -93,25 +126,21 @@ def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
 
 
 def lattice(words: DataFrame, table: DataFrame, most: int) -> DataFrame:
-    """Each word with its edges: a map of the pieces in it to (score, id)."""
-    length = F.length("word")
-    cuts = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), length),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(most), length - i + 1)),
-                lambda k: F.substr(F.col("word"), i, k),
-            ),
-        )
-    )
-    parts = words.select("word", F.explode(F.array_distinct(cuts)).alias("piece"))
+    """Each word with its edges, the best first: rank, first (from 1), chars, id.
+
+    A character that is no piece has an edge too, without rank and id.
+    """
+    spans = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("first"))
+    spans = spans.select(
+        "*",
+        F.explode(
+            F.sequence(F.lit(1), F.least(F.lit(most), F.length("word") - F.col("first") + 1))
+        ).alias("chars"),
+    ).withColumn("piece", F.substr("word", "first", "chars"))
     # The table is as large as the model's vocabulary, whatever the corpus.
-    edges = parts.join(F.broadcast(table), "piece").groupBy("word").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("piece", F.struct("score", "id").alias("edge")))
-        ).alias("edges")
-    )
-    return words.join(edges, "word", "left")
+    found = spans.join(F.broadcast(table), "piece", "left").where("id is not null or chars = 1")
+    edge = F.struct((-F.col("score")).alias("rank"), "first", "chars", "id")
+    return found.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def bound(value: Column, use) -> Column:
@@ -119,104 +148,190 @@ def bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _merged(edges: Column, chars: Column) -> Column:
-    """Merge the best neighbours, the first of equals, until no piece is left to make."""
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
-    def step(parts: Column, _: Column) -> Column:
-        options = F.transform(
-            F.sequence(F.lit(1), F.size(parts) - 1),
-            lambda k: F.struct(
-                F.try_element_at(
-                    edges, F.concat(F.element_at(parts, k), F.element_at(parts, k + 1))
-                )["score"].alias("score"),
-                (-k).alias("at"),
-            ),
-        )
-        best = F.array_max(F.filter(options, lambda o: o["score"].isNotNull()))
 
-        def merged(at: Column) -> Column:
-            return F.concat(
-                F.slice(parts, F.lit(1), at - 1),
-                F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
-                F.slice(parts, at + 2, F.size(parts)),
+def _ends(e: Column) -> Column:
+    """The bits of the boundaries before and behind an edge."""
+    return _bit(e["first"] - 1).bitwiseOR(_bit(e["first"] - 1 + e["chars"]))
+
+
+def _inner(e: Column) -> Column:
+    """The bits of the boundaries within an edge."""
+    return _bit(e["first"] - 1 + e["chars"]) - _bit(e["first"])
+
+
+def _ids(word: Column, e: Column, pieces: Pieces) -> Column:
+    """The ids of an edge. A character that is no piece becomes its bytes, or unknown."""
+    first = pieces.bytes.get("<0x00>")
+    if first is None:
+        return F.array(F.coalesce(e["id"], F.lit(pieces.unknown)))
+    code = F.hex(F.encode(F.substr(word, e["first"], F.lit(1)), "UTF-8"))
+    codes = F.transform(
+        F.sequence(F.lit(1), F.length(code), F.lit(2)),
+        lambda k: F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int") + first,
+    )
+    return F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(codes)
+
+
+def _merged(word: Column, edges: Column, pieces: Pieces) -> Column:
+    """Merge the best neighbours, the first of equals, until no piece is left to make.
+
+    The state is the set of boundaries between parts, as the bits of a number; an
+    edge can be made if both its ends and just one boundary within are left. The
+    number is negative once no edge can.
+    """
+    steps = F.transform(
+        F.filter(edges, lambda e: e["chars"] > 1),
+        lambda e: F.struct(_ends(e).alias("ends"), _inner(e).alias("inner")),
+    )
+
+    def fold(steps: Column) -> Column:
+        def step(mask: Column, _: Column) -> Column:
+            def made(e: Column) -> Column:
+                within = mask.bitwiseAND(e["inner"])
+                return (
+                    (mask.bitwiseAND(e["ends"]) == e["ends"])
+                    & (within != 0)
+                    & (within.bitwiseAND(within - 1) == 0)
+                )
+
+            best = F.get(F.filter(steps, made), F.lit(0))["inner"]
+            return F.when(mask < 0, mask).otherwise(
+                bound(
+                    best,
+                    lambda inner: F.when(inner.isNull(), -mask).otherwise(
+                        mask - mask.bitwiseAND(inner)
+                    ),
+                )
             )
 
-        done = F.when(F.size(parts) < 2, F.lit(None).cast("int")).otherwise(-best["at"])
-        return bound(done, lambda at: F.when(at.isNull(), parts).otherwise(merged(at)))
+        length = F.length(word)
+        return F.abs(F.aggregate(F.sequence(F.lit(1), length), _bit(length + 1) - 1, step))
+
+    def path(mask: Column) -> Column:
+        kept = F.filter(
+            edges,
+            lambda e: (mask.bitwiseAND(_ends(e)) == _ends(e)) & (mask.bitwiseAND(_inner(e)) == 0),
+        )
+        parts = F.array_sort(
+            F.transform(kept, lambda e: F.struct(e["first"].alias("first"), e["id"].alias("id")))
+        )
+        return F.flatten(F.transform(parts, lambda e: _ids(word, e, pieces)))
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), chars, step)
+    return bound(bound(steps, fold), path)
 
 
-def _best_path(edges: Column, chars: Column, most: int) -> Column:
-    """The pieces of the best path; a character that is no piece is far below any."""
-    word = F.array_join(chars, "")
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<string>").alias("path")))
+def _best_path(word: Column, edges: Column, pieces: Pieces) -> Column:
+    """The best path by the sum of scores; a character that is no piece is far below any."""
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(ends: Column, i: Column) -> Column:
         options = F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(most), i)),
-            lambda k: F.struct(
+            F.filter(edges, lambda e: e["first"] + e["chars"] - 1 == i),
+            lambda e: F.struct(
                 (
-                    F.element_at(ends, i - k + 1)["score"]
-                    + F.coalesce(
-                        F.try_element_at(edges, F.substr(word, i - k + 1, k))["score"],
-                        F.when(k == 1, F.lit(-1e6)),
-                    )
+                    F.element_at(ends, e["first"])["score"] - F.coalesce(e["rank"], F.lit(1e6))
                 ).alias("score"),
-                (-k).alias("back"),
+                (-e["chars"]).alias("back"),
+                e.alias("edge"),
             ),
         )
-        best = F.array_max(F.filter(options, lambda o: o["score"].isNotNull()))
 
         def longer(b: Column) -> Column:
-            k = -b["back"]
-            path = F.concat(
-                F.element_at(ends, i - k + 1)["path"], F.array(F.substr(word, i - k + 1, k))
+            before = F.element_at(ends, b["edge"]["first"])["ids"]
+            return F.array(
+                F.struct(
+                    b["score"].alias("score"),
+                    F.concat(before, _ids(word, b["edge"], pieces)).alias("ids"),
+                )
             )
-            return F.array(F.struct(b["score"].alias("score"), path.alias("path")))
 
-        return F.concat(ends, bound(best, longer))
+        return F.concat(ends, bound(F.array_max(options), longer))
+
+    return F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step), -1)["ids"]
+
+
+def merged_run(word: str, table: dict[str, tuple[int, float]]) -> list[str]:
+    """The parts of one long word, merged by a queue of its pairs."""
+    n = len(word)
+    parts: list[str | None] = list(word)
+    after, before, queue = list(range(1, n + 1)), list(range(-1, n - 1)), []
+
+    def offer(i: int) -> None:
+        if i >= 0 and after[i] < n:
+            both = parts[i] + parts[after[i]]
+            if both in table:
+                heapq.heappush(queue, (-table[both][1], i, both))
+
+    for i in range(n):
+        offer(i)
+    while queue:
+        _, i, both = heapq.heappop(queue)
+        if parts[i] is None or after[i] >= n or parts[i] + parts[after[i]] != both:
+            continue
+        gone = after[i]
+        parts[i], parts[gone], after[i] = both, None, after[gone]
+        if after[i] < n:
+            before[after[i]] = i
+        offer(i)
+        offer(before[i])
+    return [p for p in parts if p is not None]
 
-    ends = F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step)
-    return F.element_at(ends, -1)["path"]
+
+def _long_words(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """word, n, ids of words with more characters than a number has bits."""
+    table = {p: (i, score) for p, i, score in pieces.rows}
+    codes, unknown = pieces.bytes, pieces.unknown
+
+    def run(batches):
+        for batch in batches:
+            ids = []
+            for word in batch.column("word").to_pylist():
+                own = []
+                for part in merged_run(word, table):
+                    if part in table:
+                        own.append(table[part][0])
+                    elif codes:
+                        own += [codes[f"<0x{x:02X}>"] for x in part.encode()]
+                    else:
+                        own.append(unknown)
+                ids.append(own)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))],
+                ["word", "n", "ids"],
+            )
+
+    return words.mapInArrow(run, "word string, n long, ids array<int>")
 
 
 def encoded_words(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFrame:
-    """word, n, ids. A character that is no piece becomes its bytes, or unknown."""
-    empty = F.map_from_entries(F.array().cast("array<struct<a:string,b:struct<score:double,id:int>>>"))
-    rows = lattice(words.repartition("word"), table, pieces.most).select(
-        "word",
-        "n",
-        F.coalesce("edges", empty).alias("edges"),
-        # One character each: split() with an empty pattern.
-        F.split("word", "").alias("chars"),
+    """word, n, ids of distinct words. A character that is no piece becomes its
+    bytes, or unknown."""
+    words = words.select("word", "n")
+    fits = F.length("word") <= BITS if pieces.merges else F.lit(True)
+    fold = _merged if pieces.merges else _best_path
+    rows = lattice(words.where(fits).repartition("word"), table, pieces.most).select(
+        "word", "n", bound(F.col("edges"), lambda e: fold(F.col("word"), e, pieces)).alias("ids")
     )
-    fold = _merged if pieces.merges else lambda e, c: _best_path(e, c, pieces.most)
-    first = pieces.bytes.get("<0x00>")
-    rows = rows.withColumn("parts", fold(F.col("edges"), F.col("chars")))
-
-    def fallback(part: Column) -> Column:
-        if first is None:
-            return F.array(F.lit(pieces.unknown))
-        code = F.hex(F.encode(part, "UTF-8"))
-        return F.transform(
-            F.sequence(F.lit(1), F.length(code), F.lit(2)),
-            lambda k: F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int") + first,
-        )
+    return rows.unionByName(_long_words(words.where(~fits), pieces)) if pieces.merges else rows
 
-    ids = F.flatten(
-        F.transform(
-            "parts",
-            lambda p: F.coalesce(
-                F.when(
-                    F.try_element_at("edges", p).isNotNull(),
-                    F.array(F.try_element_at("edges", p)["id"]),
-                ),
-                fallback(p),
-            ),
-        )
+
+def frequent_words(coded: DataFrame, known: int) -> DataFrame:
+    """The most frequent words, ``known`` at most, cut at a level of frequency."""
+    short = coded.where(F.length("word") <= LONG).withColumn(
+        "level", F.floor(F.log2("n") * 8).cast("int")
     )
-    return rows.select("word", "n", ids.alias("ids"))
+    # A row for each eighth of a doubling.
+    levels = sorted(short.groupBy("level").count().collect(), reverse=True)
+    total, least = 0, None
+    for level, count in levels:
+        total += count
+        if total > known:
+            break
+        least = level
+    return short.where(F.lit(False) if least is None else F.col("level") >= least).drop("level")
 
 
 def encoded(
@@ -235,42 +350,43 @@ def encoded(
     itself decodes with blanks in its place.
     """
     spark = df.sparkSession
-    pairs = pieces.pairs
-    table = pieces.table(spark)
-    words = staged(distinct_words(df, pairs, text), "words")
-    coded = staged(encoded_words(words, pieces, table), "coded-words")
-    top = coded.where(F.length("word") <= LONG).orderBy(F.desc("n"), "word").limit(known)
-    got = top.select("word", "ids").toArrow()
+    at = cuts(pieces.pairs)
+    words = staged(distinct_words(df, at, text), "words")
+    coded = staged(encoded_words(words, pieces, pieces.table(spark)), "coded-words")
+    got = frequent_words(coded, known).select("word", "ids").toArrow()
+    wide = "u2" if len(pieces.pieces) < 65536 else "u4"
     frequent = spark.sparkContext.broadcast(
-        {w.as_py(): i.values.to_numpy().astype("u2" if len(pieces.pieces) < 65536 else "u4").tobytes()
+        {w.as_py(): i.values.to_numpy().astype(wide).tobytes()
          for w, i in zip(got.column("word"), got.column("ids"), strict=True)}
     )
-    none = -(2**63)
+    value = F.col(text).cast("string")
+    # Rows that share a key only share the words looked up for them.
     keyed = df.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(none)).alias("doc_id"),
-        F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(doc_id), value).alias("key"),
+        F.col(doc_id).cast("long").alias("doc_id"),
+        value.alias("text"),
     )
 
     def rare(batches):
         table = frequent.value
         for batch in batches:
-            ids, out = [], []
-            for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                other = {w for w in words_of(value.as_py() or "", pairs) if w not in table}
-                ids += [key] * len(other)
+            keys, out = [], []
+            for key, value in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
+                other = {w for w in words_of(value.as_py() or "", at) if w not in table}
+                keys += [key] * len(other)
                 out += other
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": pa.array(ids, pa.int64()), "word": pa.array(out, pa.string())}
+                {"key": pa.array(keys, pa.int64()), "word": pa.array(out, pa.string())}
             )
 
     found = (
-        keyed.mapInArrow(rare, "doc_id long, word string")
+        keyed.select("key", "text")
+        .mapInArrow(rare, "key long, word string")
         .join(coded.select("word", "ids"), "word")
-        .groupBy("doc_id")
+        .groupBy("key")
         .agg(F.collect_list(F.struct("word", "ids")).alias("others"))
     )
     decode = decoder(pieces)
-    wide = "u2" if len(pieces.pieces) < 65536 else "u4"
 
     def run(batches):
         import numpy as np
@@ -284,19 +400,16 @@ def encoded(
                     own = {
                         o["word"]: np.asarray(o["ids"], wide).tobytes() for o in others.as_py() or ()
                     }
-                    got = b"".join(
-                        [table[w] if w in table else own[w] for w in words_of(value, pairs)]
-                    )
+                    got = b"".join([table[w] if w in table else own[w] for w in words_of(value, at)])
                     ids.append(np.frombuffer(got, wide).astype(np.int32))
                     same.append(decode(ids[-1].tolist()) == value)
-                keys = [None if k == none else k for k in batch.column("doc_id").to_pylist()]
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": pa.array(keys, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())),
+                    {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
                      "round_trip": pa.array(same, pa.bool_())}
                 )
 
-    texts = packed_texts(keyed, "doc_id", "text")
-    return texts.join(found, "doc_id", "left").mapInArrow(
+    texts = packed_texts(keyed, "doc_id", "text", "key")
+    return texts.join(found, "key", "left").mapInArrow(
         run, "doc_id long, ids array<int>, round_trip boolean"
     )
 
