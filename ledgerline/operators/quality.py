@@ -155,12 +155,15 @@ def orphan_keys(sales: DataFrame, customers: DataFrame, products: DataFrame) ->
 
 
 def without_orphans(sales: DataFrame, customers: DataFrame, products: DataFrame) -> Checked:
-    """Lines whose keys both exist, and the others with the missing key named."""
+    """Lines whose keys both exist, and the others with the missing key named.
+
+    A key that a master repeats counts once.
+    """
+    known_customers = customers.select("customer_id").distinct()
+    known_products = products.select("product_id").distinct()
     marked = sales.join(
-        customers.select("customer_id", F.lit(True).alias("known_customer")), "customer_id", "left"
-    ).join(
-        products.select("product_id", F.lit(True).alias("known_product")), "product_id", "left"
-    )
+        known_customers.withColumn("known_customer", F.lit(True)), "customer_id", "left"
+    ).join(known_products.withColumn("known_product", F.lit(True)), "product_id", "left")
     reasons = F.array_compact(
         F.array(
             F.when(F.col("known_customer").isNull(), F.lit("orphan_customer_id")),
@@ -272,12 +275,19 @@ def merge_duplicates(sales: DataFrame, merged: DataFrame) -> DataFrame:
     )
 
 
+def unaddressed_updates(updates: DataFrame) -> DataFrame:
+    """Updates that ``upsert_clients`` cannot apply: without id and without phone."""
+    lost = F.col("customer_id").isNull() & F.col("mobile_number").isNull()
+    return updates.where(lost).withColumn(REASONS, F.array(F.lit("no_id_or_phone")))
+
+
 def upsert_clients(clients: DataFrame, updates: DataFrame) -> DataFrame:
     """Create or update clients; the newest update of a client wins.
 
     ``updates`` has the client columns and ``updated_at``. An update belongs
     to the client with its customer_id; without an id, to the smallest id
     that has its phone; and failing that it creates a client under its phone.
+    ``unaddressed_updates`` returns those that have neither.
     Non-NULL values of the update replace the client's, others stay.
     """
     fields = [c for c in clients.columns if c != "customer_id"]

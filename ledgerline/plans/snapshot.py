@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,28 +25,11 @@ def eligible_customers(customers: DataFrame, anonymous_group: str) -> DataFrame:
     return customers.where(group != anonymous_group.lower()).select("customer_id")
 
 
-def with_walk_ins(customers: DataFrame, params: SnapshotParams, limit: int = 500) -> SnapshotParams:
-    """Parameters with the anonymous ids, if these are few.
-
-    A shop that books walk-in trade under a few ids can save shuffling it. At
-    most ``limit`` ids are read; with more the parameters stay as they are and
-    the ids drop out with the grid.
-    """
-    eligible = eligible_customers(customers, params.anonymous_group)
-    anonymous = customers.select("customer_id").distinct().join(eligible, "customer_id", "left_anti")
-    rows = anonymous.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return params
-    return replace(params, walk_in_ids=tuple(sorted(r.customer_id for r in rows)))
-
-
 def snapshot_lines(
     sales: DataFrame, products: DataFrame, params: SnapshotParams
 ) -> DataFrame:
     """Consumable and device lines known by the end of the latest month."""
     known = sales.where(F.col("invoice_date") <= params.latest_eom)
-    if params.walk_in_ids:
-        known = known.where(~F.col("customer_id").isin(*params.walk_in_ids))
     return positive_lines(known, products, "consumable", "device")
 
 

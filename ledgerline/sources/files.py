@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.quality import (
+    COPIES,
+    REASONS,
     Checked,
     checked,
     customer_rules,
     load_summary,
+    one_per_key,
     product_rules,
     sales_rules,
     split,
@@ -24,6 +27,7 @@ from ledgerline.schemas import CUSTOMERS, PRODUCTS, SALES, as_text
 SALES_FILES = "sales_transactions_*.csv"
 CUSTOMER_FILE = "customers_master.csv"
 PRODUCT_FILE = "products_master.csv"
+MALFORMED = "malformed"
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
@@ -60,6 +64,9 @@ def read_text_table(
 ) -> tuple[DataFrame, dict[str, list[str]]]:
     """The listed columns as text with their file name, and the files refused.
 
+    ``malformed`` holds the line of a row with too few or too many fields, which
+    ``with_shape`` turns into a rule.
+
     Columns are found by header name, in any order; an absent optional column
     is NULL, as are empty fields. Spark maps a CSV schema by position, so
     files are grouped by header and each group is read in one scan, which
@@ -78,22 +85,25 @@ def read_text_table(
             groups[names].append(path)
     frames = []
     for names, members in groups.items():
-        layout = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        layout = T.StructType([T.StructField(n, T.StringType()) for n in (*names, MALFORMED)])
         rows = (
             spark.read.schema(layout)
             .option("header", True)
             .option("enforceSchema", False)
             .option("escape", '"')
             .option("multiLine", line_breaks)
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", False)  # else fields are not counted
             .csv(members)
         )
         columns = [
             F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast("string").alias(f.name)
             for f in schema
         ]
-        frames.append(rows.select(*columns, delivered_file().alias("file")))
+        frames.append(rows.select(*columns, delivered_file().alias("file"), MALFORMED))
     if not frames:
-        empty = T.StructType([*as_text(schema), T.StructField("file", T.StringType())])
+        more = [T.StructField(n, T.StringType()) for n in ("file", MALFORMED)]
+        empty = T.StructType([*as_text(schema), *more])
         return spark.createDataFrame([], empty), refused
     table = frames[0]
     for frame in frames[1:]:
@@ -101,13 +111,33 @@ def read_text_table(
     return table, refused
 
 
+def with_shape(rules: dict[str, Column]) -> dict[str, Column]:
+    return {**rules, "malformed_row": F.col(MALFORMED).isNotNull()}
+
+
 def read_csv_table(
     spark: SparkSession, path: str, schema: T.StructType, rules: dict, line_breaks: bool = False
 ) -> Checked:
     rows, refused = read_text_table(spark, list_files(spark, path), schema, line_breaks)
     if refused:
         raise ValueError(f"required columns missing: {refused}")
-    return split(rows, schema, rules)
+    clean, bad = split(rows, schema, with_shape(rules))
+    return Checked(clean.drop(MALFORMED), bad.drop(MALFORMED))
+
+
+def read_master(
+    spark: SparkSession, path: str, schema: T.StructType, rules: dict, key: str
+) -> Checked:
+    """One row per key. The smallest row stays, others go to quarantine as text,
+    equal ones as one row with their number in ``copies``."""
+    rows, bad = read_csv_table(spark, path, schema, rules, True)
+    clean, repeated = one_per_key(rows, key)
+    again = repeated.select(
+        *[F.col(c).cast("string").alias(c) for c in rows.columns],
+        F.array(F.lit("duplicate_id")).alias(REASONS),
+        COPIES,
+    )
+    return Checked(clean, bad.withColumn(COPIES, F.lit(1).cast("long")).unionByName(again))
 
 
 def read_sales_years(
@@ -117,11 +147,13 @@ def read_sales_years(
 
 
 def read_customers(spark: SparkSession, directory: str) -> Checked:
-    return read_csv_table(spark, f"{directory}/{CUSTOMER_FILE}", CUSTOMERS, customer_rules(), True)
+    path = f"{directory}/{CUSTOMER_FILE}"
+    return read_master(spark, path, CUSTOMERS, customer_rules(), "customer_id")
 
 
 def read_products(spark: SparkSession, directory: str) -> Checked:
-    return read_csv_table(spark, f"{directory}/{PRODUCT_FILE}", PRODUCTS, product_rules(), True)
+    path = f"{directory}/{PRODUCT_FILE}"
+    return read_master(spark, path, PRODUCTS, product_rules(), "product_id")
 
 
 def sales_load_summary(
@@ -129,7 +161,7 @@ def sales_load_summary(
 ) -> DataFrame:
     """Load result per sales file, refused files included."""
     rows, refused = read_text_table(spark, list_files(spark, f"{directory}/{pattern}"), SALES)
-    summary = load_summary(checked(rows, sales_rules()), "Transactions")
+    summary = load_summary(checked(rows, with_shape(sales_rules())), "Transactions")
     for path, lacking in refused.items():
         lines = spark.read.option("header", True).csv(path)
         failed = lines.agg(F.count(F.lit(1)).alias("rows")).select(

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,13 +144,37 @@ class Refresh:
         )
         self.replace_partitions(rows.select(*YEARLY.names), "yearly", "year")
 
-    def store_snapshot(self, oldest: int) -> int | None:
-        """Recompute from a changed month to the latest: totals never expire."""
-        first = max(oldest, self.params.first_month)
-        last = self.params.last_month
+    def snapshot_months(self) -> list[int]:
+        """Months stored: partition values, so a short list; none before the first."""
+        try:
+            stored = self.snapshot()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        months = stored.select(month_no(F.col("report_mth_eom")).alias("month")).distinct()
+        return sorted(int(r.month) for r in months.collect())
+
+    def complete_month(self, newest: int) -> int:
+        """The newest month that is over by the stored lines: a month ends with
+        lines of its last day or of a later month."""
+        lines = self.lines().where(F.col("month") == newest)
+        last = lines.agg(F.max("invoice_date").alias("day")).first().day
+        return newest if last == month_last_day(newest) else newest - 1
+
+    def store_snapshot(self, months: list[int]) -> int | None:
+        """Recompute from the oldest changed month on: totals never expire.
+
+        All stored months are renewed as far as they can change, and months
+        follow up to the newest complete one, so dates ahead of time must have
+        gone to quarantine.
+        """
+        stored = self.snapshot_months() or [self.params.first_month, self.params.last_month]
+        last = max(self.complete_month(months[-1]), stored[-1], self.params.last_month)
+        first = max(min(months[0], stored[-1] + 1), min(stored[0], self.params.first_month))
         if first > last:
             return None
-        span = replace(self.params, months=last - first + 1)
+        span = replace(self.params, latest=month_last_day(last), months=last - first + 1)
         recent = self.lines().where(F.col("month") > first - ORDER_WINDOW)
         bought = positive_lines(recent.drop("month", "batch_id"), self.products, "consumable")
         write_snapshot(
@@ -173,7 +198,7 @@ class Refresh:
             return
         self.store_rollup(months)
         self.store_yearly(months)
-        first = self.store_snapshot(months[0])
+        first = self.store_snapshot(months)
         if first is not None:
             self.store_feed(first, batch_id)
 

@@ -189,6 +189,27 @@ def test_masters_keep_text_and_line_breaks(spark, tmp_path):
     assert bad.first().customer_name == "Ann\nLee"
 
 
+def test_repeated_master_keys_and_malformed_rows(spark, tmp_path):
+    head = ",".join(CUSTOMERS.names) + "\n"
+    row = "8,Bo,,,2024-02-28,,0051,1,,0"
+    (tmp_path / files.CUSTOMER_FILE).write_text(
+        head + f"{row}\n{row}\n{row}\n8,Cy,,,2024-02-28,,0052,1,,0\n9,Di,,\n10,Ed,,,2024-02-28,,0053,1,,0,7\n"
+    )
+    clean, bad = files.read_customers(spark, str(tmp_path))
+    assert [(r.customer_id, r.customer_name) for r in clean.collect()] == [(8, "Bo")]
+    got = {(r.customer_id, r.customer_name): (r.copies, r.reasons) for r in bad.collect()}
+    assert got[("8", "Bo")] == (2, ["duplicate_id"])
+    assert got[("8", "Cy")] == (1, ["duplicate_id"])
+    assert "malformed_row" in got[("9", "Di")][1] and "malformed_row" in got[("10", "Ed")][1]
+
+
+def test_updates_without_address(spark):
+    rows = [(1, None), (None, "5"), (None, None)]
+    updates = spark.createDataFrame(rows, "customer_id long, mobile_number string")
+    lost = quality.unaddressed_updates(updates).collect()
+    assert [tuple(r)[:2] for r in lost] == [(None, None)] and lost[0].reasons == ["no_id_or_phone"]
+
+
 def test_export_quotes(spark, tmp_path):
     frame = spark.createDataFrame([(1, 'say "a", b', None), (2, "", "x")], "id int, t string, u string")
     files.export_csv(frame.coalesce(1), str(tmp_path / "out"))

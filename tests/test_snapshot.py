@@ -6,9 +6,10 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.params import SnapshotParams, month_last_day, month_number
-from ledgerline.plans.snapshot import customer_snapshot, single_month_snapshot, with_walk_ins
+from ledgerline.plans.snapshot import customer_snapshot, single_month_snapshot
 from ledgerline.schemas import CUSTOMERS, PRODUCTS, SALES
 
 PRODUCT_ROWS = [
@@ -114,15 +115,6 @@ def test_one_customer_per_branch(hand, plan):
     assert by_id[1].avg_monthly_consumption == 1600
 
 
-def test_walk_ins_dropped_at_the_scan(hand):
-    params = SnapshotParams(latest=D(2024, 12, 31), months=2)
-    few = with_walk_ins(hand[2], params)
-    assert few.walk_in_ids == (14,)
-    assert with_walk_ins(hand[2], params, limit=0) == params
-    left, right = customer_snapshot(*hand, params), customer_snapshot(*hand, few)
-    assert left.exceptAll(right).count() == 0 and left.count() == right.count()
-
-
 def brute_force(by_customer, first, last):
     """Every window of every report month, straight from the definition."""
     sizes = {i: s for i, category, s in PRODUCT_ROWS if category == "consumable"}
@@ -171,3 +163,15 @@ def test_many_months_against_brute_force(spark, months):
         for r in rows
     }
     assert got == brute_force(by_customer, params.first_month, params.last_month)
+
+
+def test_many_anonymous_ids_have_the_plan_of_one(spark, hand):
+    sales, products, customers = hand
+    params = SnapshotParams(latest=D(2024, 12, 31), months=2)
+    ids = spark.range(10_000, 10_700).select(F.col("id").alias("customer_id"))
+    more = ids.withColumn("customer_group", F.lit("General"))
+    with_many = customers.unionByName(more, allowMissingColumns=True)
+    walk_in = sales.limit(1).drop("customer_id").crossJoin(ids)
+    left = customer_snapshot(sales, products, customers, params)
+    right = customer_snapshot(sales.unionByName(walk_in), products, with_many, params)
+    assert left.exceptAll(right).count() == 0 and left.count() == right.count()

@@ -1,5 +1,6 @@
 """Arrival refresh and the daily stream: replays, late lines, re-sent rows."""
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -68,6 +69,27 @@ def test_running_a_batch_again_changes_nothing(spark, canonical, tmp_path):
     assert refresh.lines().count() == sales.count()
 
 
+def test_old_late_lines_and_new_months(spark, canonical, tmp_path):
+    t, sales = canonical
+    start = replace(PARAMS, latest=date(2001, 1, 31), months=2)
+    refresh = arrival.Refresh(spark, str(tmp_path), t.products, t.customers, start)
+    text = [F.col(n).cast("string") for n in SALES.names]
+    late, new = F.col("quantity") > 45, F.col("invoice_date") >= "2001-04-01"
+    refresh(sales.where(~late & ~new).select(text), 0)
+    # A month without lines lies between, and then lines of all old months come.
+    refresh(sales.where(~late & (F.col("invoice_date") >= "2001-05-01")).select(text), 1)
+    rest = late | (new & (F.col("invoice_date") < "2001-05-01"))
+    refresh(sales.where(rest).select(text), 2)
+    newest = sales.agg(F.max("invoice_date")).first()[0] + timedelta(days=1)
+    latest = newest.replace(day=1) - timedelta(days=1)
+    assert latest > date(2001, 5, 1)
+    months = (latest.year - 2000) * 12 + latest.month - 12 + 1
+    whole = customer_snapshot(
+        sales, t.products, t.customers, replace(start, latest=latest, months=months)
+    )
+    assert same(refresh.snapshot(), whole)
+
+
 def test_batch_of_bad_rows_only(spark, canonical, tmp_path):
     t, sales = canonical
     refresh = arrival.Refresh(spark, str(tmp_path), t.products, t.customers, PARAMS)
