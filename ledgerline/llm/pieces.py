@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as relations.
 
-A text is cut into words: a run of the blank sign with what follows it, up to the
-next one or to characters that no piece joins to those before. No piece spans two
+A text is cut into tokens, blanks with what follows up to the next ones, and these
+into words wherever no piece has the two characters side by side. No piece spans two
 words, so each distinct word is encoded once: its
 substrings of bounded length are exploded, equi-joined to the piece table, and
 the matching pieces (the edges of its lattice) grouped by word. A higher-order
@@ -23,7 +23,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections import Counter
-from typing import NamedTuple
 
 import pyarrow as pa
 import sentencepiece
@@ -31,14 +30,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import arrays
-from ledgerline.llm.common import packed_texts, staged, unpacked
+from ledgerline.llm.common import packed_texts, partitions, staged, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 KNOWN = 1 << 19
-LONG = 48  # longer words are cut where no piece has the two characters side by side
-BITS = 61  # longer words, which no cut shortens, are merged by a queue
-WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+LONG = 48  # longer words don't count as frequent
+BITS = 61  # longer words are merged by a queue
+SHARE = 16384  # words whose edges one task groups
+TOKENS = re.compile(" *[^ ]+| +")
 
 
 class Pieces:
@@ -62,61 +62,39 @@ class Pieces:
         return spark.createDataFrame(self.rows, "piece string, id int, score double")
 
 
-class Cuts(NamedTuple):
-    """Where texts are cut: characters side by side in no piece stay apart."""
-
-    pattern: re.Pattern
-    pairs: frozenset[str]
-
-
-def cuts(pairs: set[str]) -> Cuts:
-    """The largest set of characters that pieces link, directly or through others,
-    is kept apart from all other characters, as no piece joins the two."""
-    group: dict[str, str] = {}
-
-    def root(c: str) -> str:
-        while group.setdefault(c, c) != c:
-            c = group[c]
-        return c
-
-    for one, other in pairs:
-        if BLANK not in (one, other):
-            group[root(one)] = root(other)
-    sizes = Counter(root(c) for c in group)
-    largest = max(sizes, key=lambda c: (sizes[c], c), default="")
-    linked = "".join(re.escape(c) for c in sorted(group) if root(c) == largest)
-    if not linked:
-        return Cuts(WORDS, frozenset(pairs))
-    runs = f"{BLANK}*[{linked}]+|{BLANK}*[^{linked}{BLANK}]+|{BLANK}+"
-    return Cuts(re.compile(runs), frozenset(pairs))
-
-
-def words_of(text: str, at: Cuts) -> list[str]:
-    """The words of a text, blank signs in place of blanks."""
+def tokens_of(text: str) -> list[str]:
+    """The runs of a text from blanks to the next blanks, with a blank before the first."""
     if not text:
         return []
-    out = []
-    for word in at.pattern.findall(BLANK + text.replace(" ", BLANK)):
-        if len(word) <= LONG:
-            out.append(word)
-            continue
-        first = 0
-        for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in at.pairs:
-                out.append(word[first:k])
-                first = k
-        out.append(word[first:])
+    if BLANK in text:
+        text = text.replace(BLANK, " ")
+    return TOKENS.findall(" " + text)
+
+
+def words_of(token: str, pairs: set[str]) -> list[str]:
+    """The words of a token, blank signs in place of blanks."""
+    token = token.replace(" ", BLANK)
+    out, first = [], 0
+    for k in range(1, len(token)):
+        if token[k - 1 : k + 1] not in pairs:
+            out.append(token[first:k])
+            first = k
+    out.append(token[first:])
     return out
 
 
-def distinct_words(df: DataFrame, at: Cuts, text: str) -> DataFrame:
+def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
     """word, n: all distinct words of all texts, counted."""
 
     def run(batches):
         for batch in batches:
-            seen: Counter[str] = Counter()
+            tokens: Counter[str] = Counter()
             for value in batch.column("text"):
-                seen.update(words_of(value.as_py() or "", at))
+                tokens.update(tokens_of(value.as_py()))
+            seen: Counter[str] = Counter()
+            for token, n in tokens.items():
+                for word in words_of(token, pairs):
+                    seen[word] += n
             yield pa.RecordBatch.from_pydict(
                 {"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())}
             )
@@ -312,7 +290,10 @@ def encoded_words(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFra
     words = words.select("word", "n")
     fits = F.length("word") <= BITS if pieces.merges else F.lit(True)
     fold = _merged if pieces.merges else _best_path
-    rows = lattice(words.where(fits).repartition("word"), table, pieces.most).select(
+    # More tasks than the bytes of the words ask for, as each word has many edges.
+    tasks = max(partitions(words), words.count() // SHARE + 1)
+    spread = words.where(fits).repartition(tasks, "word")
+    rows = lattice(spread, table, pieces.most).select(
         "word", "n", bound(F.col("edges"), lambda e: fold(F.col("word"), e, pieces)).alias("ids")
     )
     return rows.unionByName(_long_words(words.where(~fits), pieces)) if pieces.merges else rows
@@ -350,8 +331,8 @@ def encoded(
     itself decodes with blanks in its place.
     """
     spark = df.sparkSession
-    at = cuts(pieces.pairs)
-    words = staged(distinct_words(df, at, text), "words")
+    pairs = pieces.pairs
+    words = staged(distinct_words(df, pairs, text), "words")
     coded = staged(encoded_words(words, pieces, pieces.table(spark)), "coded-words")
     got = frequent_words(coded, known).select("word", "ids").toArrow()
     wide = "u2" if len(pieces.pieces) < 65536 else "u4"
@@ -368,13 +349,21 @@ def encoded(
     )
 
     def rare(batches):
-        table = frequent.value
+        table, lacking = frequent.value, {}
         for batch in batches:
             keys, out = [], []
             for key, value in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
-                other = {w for w in words_of(value.as_py() or "", at) if w not in table}
+                other: set[str] = set()
+                for token in set(tokens_of(value.as_py())):
+                    lack = lacking.get(token)
+                    if lack is None:
+                        lack = tuple(w for w in words_of(token, pairs) if w not in table)
+                        lacking[token] = lack
+                    other.update(lack)
                 keys += [key] * len(other)
                 out += other
+                if len(lacking) > known:
+                    lacking.clear()
             yield pa.RecordBatch.from_pydict(
                 {"key": pa.array(keys, pa.int64()), "word": pa.array(out, pa.string())}
             )
@@ -391,7 +380,7 @@ def encoded(
     def run(batches):
         import numpy as np
 
-        table = frequent.value
+        table, coded_tokens = frequent.value, {}
         for whole in batches:
             for batch in arrays.in_parts(whole, "packed"):
                 ids, same = [], []
@@ -400,8 +389,18 @@ def encoded(
                     own = {
                         o["word"]: np.asarray(o["ids"], wide).tobytes() for o in others.as_py() or ()
                     }
-                    got = b"".join([table[w] if w in table else own[w] for w in words_of(value, at)])
-                    ids.append(np.frombuffer(got, wide).astype(np.int32))
+                    got = []
+                    for token in tokens_of(value):
+                        code = coded_tokens.get(token)
+                        if code is None:
+                            code = b"".join(
+                                [table[w] if w in table else own[w] for w in words_of(token, pairs)]
+                            )
+                            coded_tokens[token] = code
+                        got.append(code)
+                    if len(coded_tokens) > known:
+                        coded_tokens.clear()
+                    ids.append(np.frombuffer(b"".join(got), wide).astype(np.int32))
                     same.append(decode(ids[-1].tolist()) == value)
                 yield pa.RecordBatch.from_pydict(
                     {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
