@@ -5,8 +5,11 @@ embeddings by position add up to a hidden layer, and the word follows as a class
 and a member of it. The log-probabilities of all words of a text, each given
 its true neighbours, add up to its score.
 
-Words are the ``TOP`` most frequent of the whole corpus and hash buckets for the
-others. Training is data-parallel over every ``EVERY``-th word of every text: in
+The network knows the ``TOP`` most frequent words of the whole corpus, hash
+buckets for its other words, and ``UNSEEN`` for words that the corpus lacks. All
+words are counted: a word of a bucket scores as the bucket times the word's share of
+the bucket's occurrences. The counts stay in Spark and are joined to the distinct
+words of blocks of texts. Training is data-parallel over every ``EVERY``-th word of every text: in
 each round, tasks train from the same weights on their share of the examples,
 and the weights are averaged, by number of examples. Only weights, whose number
 is fixed, reach the driver.
@@ -14,8 +17,11 @@ is fixed, reach the driver.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +32,14 @@ CLASSES, MEMBERS = 32, 32
 SIZE = CLASSES * MEMBERS
 TOP = SIZE - 64
 EDGE = SIZE - 1  # stands for what lies outside the text
+UNSEEN = SIZE - 2  # stands for words that the corpus lacks
+HALF = 0.5  # occurrences that such a word counts as
 AROUND = (-2, -1, 1, 2)
 HIDDEN = 16
 EVERY = 8
 ROUNDS = 2
 STEP = 1024
+BLOCK = 1 << 20  # bytes of texts whose distinct words are looked up together
 RATE = 0.15
 SHAPES = {
     "embed": (len(AROUND), SIZE, HIDDEN),
@@ -123,18 +132,42 @@ def train(flat: np.ndarray, examples: np.ndarray) -> np.ndarray:
     return flat
 
 
-def word_ids(t: arrays.Texts, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a slice's words, lowered, and where each row's begin.
+class Vocabulary(NamedTuple):
+    """The frequent words' hashes, sorted, and ids; all words' counts; sums of buckets."""
 
-    ``names`` are the hashes of the frequent words, sorted, with their ids.
-    """
+    names: np.ndarray
+    ids: np.ndarray
+    counts: DataFrame  # word, n
+    totals: np.ndarray
+
+
+def buckets(h: np.ndarray) -> np.ndarray:
+    return TOP + (h % np.uint64(UNSEEN - TOP)).astype(np.int64)
+
+
+def hashed(t: arrays.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a slice's words, lowered, and where each row's begin."""
     w = arrays.words(t)
-    h = arrays.word_hashes(arrays.lowered(t.data), w)
-    ids = TOP + (h % np.uint64(EDGE - TOP)).astype(np.int64)
-    if len(names[0]):
-        at = np.minimum(np.searchsorted(names[0], h), len(names[0]) - 1)
-        ids = np.where(names[0][at] == h, names[1][at], ids)
-    return ids, w.offsets
+    return arrays.word_hashes(arrays.lowered(t.data), w), w.offsets
+
+
+def frequent(h: np.ndarray, names) -> np.ndarray:
+    """Ids of hashed words; those that aren't frequent have ``UNSEEN``."""
+    if not len(names[0]):
+        return np.full(len(h), UNSEEN)
+    at = np.minimum(np.searchsorted(names[0], h), len(names[0]) - 1)
+    return np.where(names[0][at] == h, names[1][at], UNSEEN)
+
+
+def word_ids(t: arrays.Texts, names, corpus: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a slice's words, and where each row's begin.
+
+    ``names`` are the hashes of the frequent words, sorted, with their ids. With
+    ``corpus``, the others are words of the corpus and have their buckets.
+    """
+    h, offsets = hashed(t)
+    ids = frequent(h, names)
+    return np.where(ids == UNSEEN, buckets(h), ids) if corpus else ids, offsets
 
 
 def neighbours(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -147,36 +180,67 @@ def neighbours(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def vocabulary(df: DataFrame, text: str):
-    """Hashes of the most frequent words of all texts, sorted, and their ranks."""
+def vocabulary(df: DataFrame, text: str) -> Vocabulary:
+    """All words of all texts with their counts; the most frequent ones by rank."""
 
     def run(batches):
         for batch in batches:
-            parts = [np.empty(0, np.uint64)]
-            for t in arrays.slices(batch.column("text")):
-                parts.append(arrays.word_hashes(arrays.lowered(t.data), arrays.words(t)))
-            names, counts = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names.view(np.int64)), pa.array(counts)], ["word", "n"]
-            )
+            for t in arrays.slices(batch.column("text"), BLOCK):
+                h, n = np.unique(hashed(t)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(buckets(h).astype(np.int32)), pa.array(n)],
+                    ["word", "bucket", "n"],
+                )
 
     rows = df.select(F.col(text).cast("string").alias("text"))
-    top = rows.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    got = top.orderBy(F.desc("n"), "word").limit(TOP).collect()
+    counts = staged(
+        rows.mapInArrow(run, "word long, bucket int, n long")
+        .groupBy("word", "bucket")
+        .agg(F.sum("n").alias("n")),
+        "words",
+    )
+    got = counts.orderBy(F.desc("n"), "word").limit(TOP).collect()
+    totals = np.zeros(SIZE)
+    for r in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        totals[r["bucket"]] = r["n"]
+    for r in got:
+        totals[r["bucket"]] -= r["n"]
     names = np.array([r["word"] for r in got], np.int64).view(np.uint64)
     order = np.argsort(names)
-    return names[order], order
+    return Vocabulary(names[order], order, counts.select("word", "n"), totals)
+
+
+def with_unseen(flat: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Weights by which ``UNSEEN``, never met in training, counts as half a word.
+
+    Among the members of its class its share is ``HALF`` to the class's count; as a
+    neighbour it is the mean of the buckets.
+    """
+    flat = flat.copy()
+    w = views(flat)
+    kind, member = divmod(UNSEEN, MEMBERS)
+    others = np.arange(MEMBERS) != member
+    count = max(1.0, totals[kind * MEMBERS : (kind + 1) * MEMBERS].sum())
+    weight = totals[TOP:UNSEEN] + 1e-9
+    w["embed"][:, UNSEEN] = np.average(w["embed"][:, TOP:UNSEEN], axis=1, weights=weight)
+    # The same direction as the buckets', so that the share holds in any place.
+    share = np.where(others, totals[kind * MEMBERS : (kind + 1) * MEMBERS], 0) + 1e-9 * others
+    w["wm"][kind][:, member] = w["wm"][kind] @ (share / share.sum())
+    bias = w["bm"][kind][others]
+    w["bm"][kind][member] = np.log(HALF / count) + bias.max() + np.log(np.exp(bias - bias.max()).sum())
+    return flat
 
 
 def fit(df: DataFrame, text: str = "text", rounds: int = ROUNDS):
-    """The frequent words and the trained weights."""
-    names = vocabulary(df, text)
+    """The vocabulary and the trained weights."""
+    vocab = vocabulary(df, text)
+    names = vocab[:2]
 
     def pick(batches):
         for batch in batches:
             blobs = []
             for t in arrays.slices(batch.column("text")):
-                ids, offsets = word_ids(t, names)
+                ids, offsets = word_ids(t, names, corpus=True)
                 some = np.flatnonzero(arrays.within(np.diff(offsets)) % EVERY == EVERY // 2)
                 both = np.r_[neighbours(ids, offsets)[:, some], ids[some][None]]
                 blobs.append(both.T.astype(np.int16).tobytes())
@@ -213,7 +277,7 @@ def fit(df: DataFrame, text: str = "text", rounds: int = ROUNDS):
         if len(got):
             flat = np.zeros(TOTAL, np.float32)
             flat[got["i"].to_numpy()] = got["weight"]
-    return names, flat
+    return vocab, with_unseen(flat, vocab.totals)
 
 
 def scores(df: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,25 +287,70 @@ def scores(df: DataFrame, model, doc_id: str = "doc_id", text: str = "text") ->
     rows are each returned; a null id stays null. Other columns are not read, an
     empty table gives no rows.
     """
-    names, flat = model
+    vocab, flat = model
+    names, totals = vocab[:2], vocab.totals
+    key = df.select(F.col(doc_id).alias("doc_id")).schema["doc_id"].dataType.simpleString()
+
+    def code(batches):
+        at = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for t in arrays.slices(batch.column("text"), BLOCK):
+                h, offsets = hashed(t)
+                ids = frequent(h, names)
+                rare, inverse = np.unique(h[ids == UNSEEN], return_inverse=True)
+                ids[ids == UNSEEN] = SIZE + inverse.ravel()
+                own = batch.column("doc_id").slice(t.first, t.rows)
+                ends = pa.array([0, t.rows], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at]), pa.ListArray.from_arrays(ends, own),
+                     pa.array([np.diff(offsets).astype(np.int32).tobytes()]),
+                     pa.array([ids.astype(np.int32).tobytes()]),
+                     pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare.view(np.int64))],
+                    ["block", "doc_ids", "sizes", "ids", "rare"],
+                )
+                at += 1
+
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    coded = staged(
+        rows.mapInArrow(
+            code, f"block long, doc_ids array<{key}>, sizes binary, ids binary, rare array<long>"
+        ),
+        "blocks",
+    )
+    found = (
+        coded.select("block", F.explode("rare").alias("word"))
+        .join(vocab.counts, "word")
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    )
 
     def run(batches):
         w = views(flat)
         for batch in batches:
-            count = np.zeros(batch.num_rows, np.int64)
-            total = np.zeros(batch.num_rows)
-            for t in arrays.slices(batch.column("text")):
-                ids, offsets = word_ids(t, names)
-                p = np.r_[0.0, np.cumsum(log_probabilities(w, neighbours(ids, offsets), ids))]
-                own = slice(t.first, t.first + t.rows)
-                count[own], total[own] = np.diff(offsets), np.diff(p[offsets])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count), pa.array(total)],
-                ["doc_id", "n_words", "log_likelihood"],
-            )
+            for k in range(batch.num_rows):
+                rare = batch.column("rare")[k].values.to_numpy(zero_copy_only=False)
+                count = np.zeros(len(rare))
+                got = batch.column("found")[k].values
+                if got is not None and len(got):
+                    # ``rare`` is in unsigned order.
+                    word = got.field("word").to_numpy().view(np.uint64)
+                    count[np.searchsorted(rare.view(np.uint64), word)] = got.field("n").to_numpy()
+                kind = np.where(count > 0, buckets(rare.view(np.uint64)), UNSEEN)
+                share = np.log(np.where(count > 0, count / np.maximum(totals[kind], 1), 1.0))
+                ids = np.frombuffer(batch.column("ids")[k].as_py(), np.int32).astype(np.int64)
+                sizes = np.frombuffer(batch.column("sizes")[k].as_py(), np.int32).astype(np.int64)
+                offsets = np.r_[0, np.cumsum(sizes)]
+                ids, more = np.r_[np.arange(SIZE), kind][ids], np.r_[np.zeros(SIZE), share][ids]
+                p = log_probabilities(w, neighbours(ids, offsets), ids) + more
+                p = np.r_[0.0, np.cumsum(p)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_ids")[k].values, pa.array(sizes), pa.array(np.diff(p[offsets]))],
+                    ["doc_id", "n_words", "log_likelihood"],
+                )
 
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, n_words long, log_likelihood double"
-    ).withColumn("per_word", F.try_divide("log_likelihood", "n_words"))
+    return (
+        coded.join(found, "block", "left")
+        .select("doc_ids", "sizes", "ids", "rare", "found")
+        .mapInArrow(run, f"doc_id {key}, n_words long, log_likelihood double")
+        .withColumn("per_word", F.try_divide("log_likelihood", "n_words"))
+    )

@@ -256,6 +256,27 @@ def test_language_model(spark, docs, none, small):
     assert lm_score.scores(none, model).count() == 0
 
 
+def test_rare_words_score_by_their_counts(spark):
+    common = " ".join(f"top{i}" for i in range(lm_score.TOP))
+    tail = " ".join([f"often{i} " * 4 + f"once{i}" for i in range(3000)])
+    rows = [(i, common) for i in range(8)] + [(8, tail)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_score.fit(corpus)
+    names = ["top5", "often7", "once7", "never-met"]
+    one = spark.createDataFrame([(i, w) for i, w in enumerate(names)], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in lm_score.scores(one, model).collect()}
+    assert got[0] > got[1] > got[2] > got[3]
+    # Alone in a text, words of one bucket differ by their counts only.
+    h, _ = lm_score.hashed(next(arrays.slices(pa.array([tail]))))
+    bucket, n = defaultdict(list), Counter(h.tolist())
+    for word, x in zip(tail.split(), h, strict=True):
+        bucket[int(lm_score.buckets(np.array([x]))[0])].append((n[int(x)], word))
+    few, many = min(next(iter(bucket.values()))), max(next(iter(bucket.values())))
+    pair = spark.createDataFrame([(0, few[1]), (1, many[1])], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in lm_score.scores(pair, model).collect()}
+    assert got[1] - got[0] == pytest.approx(np.log(many[0] / few[0]), rel=1e-6)
+
+
 def test_toxicity(spark, docs, none):
     directory = "/root/testdata/sf0.01"
     corpus = spark.read.parquet(f"{directory}/documents.parquet")
