@@ -9,10 +9,11 @@ The network knows the ``TOP`` most frequent words of the whole corpus, hash
 buckets for its other words, and ``UNSEEN`` for words that the corpus lacks. All
 words are counted: a word of a bucket scores as the bucket times the word's share of
 the bucket's occurrences. The counts stay in Spark and are joined to the distinct
-words of blocks of texts. Training is data-parallel over every ``EVERY``-th word of every text: in
-each round, tasks train from the same weights on their share of the examples,
-and the weights are averaged, by number of examples. Only weights, whose number
-is fixed, reach the driver.
+words of blocks of texts. Training is data-parallel over every word of every text: in each round,
+tasks train from the same weights on their share of the examples, and the weights
+are averaged, by number of examples. Round r of n takes the words at places r,
+r + n, r + 2n, ... of each text, so that all rounds together take each word once. Only
+weights, whose number is fixed, reach the driver.
 """
 
 from __future__ import annotations
@@ -36,8 +37,7 @@ UNSEEN = SIZE - 2  # stands for words that the corpus lacks
 HALF = 0.5  # occurrences that such a word counts as
 AROUND = (-2, -1, 1, 2)
 HIDDEN = 16
-EVERY = 8
-ROUNDS = 2
+ROUNDS = 8
 STEP = 1024
 BLOCK = 1 << 20  # bytes of texts whose distinct words are looked up together
 RATE = 0.15
@@ -50,6 +50,8 @@ SHAPES = {
     "bm": (CLASSES, MEMBERS),
 }
 TOTAL = sum(int(np.prod(s)) for s in SHAPES.values())
+SHARDS = 64  # parts of the weights that are averaged side by side
+TASK = 1 << 18  # words below which a task's share isn't worth a task
 
 
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -97,10 +99,12 @@ def log_probabilities(w: dict, around: np.ndarray, word: np.ndarray) -> np.ndarr
     return out
 
 
-def train(flat: np.ndarray, examples: np.ndarray) -> np.ndarray:
-    """One pass of AdaGrad over examples: rows of the neighbours and the word."""
-    flat = flat.copy()
-    w, seen = views(flat), views(np.full(TOTAL, 1e-2, np.float32))
+def train(flat: np.ndarray, squares: np.ndarray, examples: np.ndarray) -> None:
+    """One pass of AdaGrad over examples: rows of the neighbours and the word.
+
+    Changes the weights and their summed squares of gradients in place.
+    """
+    w, seen = views(flat), views(squares)
 
     def update(name, grad, where=...):
         seen[name][where] += grad * grad
@@ -129,7 +133,6 @@ def train(flat: np.ndarray, examples: np.ndarray) -> np.ndarray:
             order = np.argsort(around[k], kind="stable")
             ids, start = np.unique(around[k][order], return_index=True)
             update("embed", np.add.reduceat(back[order], start) / n, (k, ids))
-    return flat
 
 
 class Vocabulary(NamedTuple):
@@ -139,6 +142,7 @@ class Vocabulary(NamedTuple):
     ids: np.ndarray
     counts: DataFrame  # word, n
     totals: np.ndarray
+    words: int  # occurrences of all words
 
 
 def buckets(h: np.ndarray) -> np.ndarray:
@@ -180,6 +184,11 @@ def neighbours(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def targets(sizes: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Words that a round learns, of texts of these numbers of words."""
+    return np.flatnonzero(arrays.within(sizes) % rounds == turn)
+
+
 def vocabulary(df: DataFrame, text: str) -> Vocabulary:
     """All words of all texts with their counts; the most frequent ones by rank."""
 
@@ -203,11 +212,12 @@ def vocabulary(df: DataFrame, text: str) -> Vocabulary:
     totals = np.zeros(SIZE)
     for r in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         totals[r["bucket"]] = r["n"]
+    words = int(totals.sum())
     for r in got:
         totals[r["bucket"]] -= r["n"]
     names = np.array([r["word"] for r in got], np.int64).view(np.uint64)
     order = np.argsort(names)
-    return Vocabulary(names[order], order, counts.select("word", "n"), totals)
+    return Vocabulary(names[order], order, counts.select("word", "n"), totals, words)
 
 
 def with_unseen(flat: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -238,45 +248,65 @@ def fit(df: DataFrame, text: str = "text", rounds: int = ROUNDS):
 
     def pick(batches):
         for batch in batches:
-            blobs = []
-            for t in arrays.slices(batch.column("text")):
+            for t in arrays.slices(batch.column("text"), BLOCK // 8):
                 ids, offsets = word_ids(t, names, corpus=True)
-                some = np.flatnonzero(arrays.within(np.diff(offsets)) % EVERY == EVERY // 2)
-                both = np.r_[neighbours(ids, offsets)[:, some], ids[some][None]]
-                blobs.append(both.T.astype(np.int16).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary())], ["examples"])
+                sizes = np.diff(offsets).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids.astype(np.int16).tobytes()]), pa.array([sizes.tobytes()])],
+                    ["ids", "sizes"],
+                )
 
     rows = df.select(F.col(text).cast("string").alias("text"))
-    examples = staged(rows.mapInArrow(pick, "examples binary"), "examples")
+    tasks = int(min(partitions(df), max(1, vocab.words // TASK)))
+    coded = staged(
+        rows.mapInArrow(pick, "ids binary, sizes binary").repartition(tasks), "words-coded"
+    )
     flat = initial()
-    for _ in range(rounds):
+    for turn in range(rounds):
         start = flat
 
-        def learn(batches, start=start):
-            parts = [
-                np.frombuffer(x.as_buffer(), np.int16).reshape(-1, len(AROUND) + 1)
-                for batch in batches
-                for x in batch.column("examples")
-            ]
-            own = np.concatenate(parts).astype(np.int64) if parts else np.empty((0, 5), np.int64)
-            if len(own):
-                got = train(start, own)
+        def learn(batches, start=start, turn=turn):
+            own, squares, n = start.copy(), np.full(TOTAL, 1e-2, np.float32), 0
+            for batch in batches:
+                for x, y in zip(batch.column("ids"), batch.column("sizes"), strict=True):
+                    ids = np.frombuffer(x.as_buffer(), np.int16).astype(np.int64)
+                    sizes = np.frombuffer(y.as_buffer(), np.int32).astype(np.int64)
+                    some = targets(sizes, turn, rounds)
+                    around = neighbours(ids, np.r_[0, np.cumsum(sizes)])[:, some]
+                    train(own, squares, np.r_[around, ids[some][None]].T)
+                    n += len(some)
+            if n:
+                parts = np.array_split(own.astype(float) * n, SHARDS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(SHARDS)), pa.array([p.tobytes() for p in parts]),
+                     pa.array(np.full(SHARDS, n))],
+                    ["shard", "weighted", "n"],
+                )
+
+        def add(batches):
+            sums, n = {}, {}
+            for batch in batches:
+                for shard, x, size in zip(
+                    batch.column("shard").to_pylist(), batch.column("weighted"),
+                    batch.column("n").to_pylist(), strict=True,
+                ):
+                    sums[shard] = sums.get(shard, 0) + np.frombuffer(x.as_buffer(), np.float64)
+                    n[shard] = n.get(shard, 0) + size
+            if sums:
+                means = [(sums[s] / n[s]).astype(np.float32).tobytes() for s in sums]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(TOTAL)), pa.array(got.astype(float) * len(own)),
-                     pa.array(np.full(TOTAL, len(own)))],
-                    ["i", "weighted", "n"],
+                    [pa.array(list(sums), pa.int64()), pa.array(means)], ["shard", "weights"]
                 )
 
         got = (
-            examples.repartition(partitions(df))
-            .mapInArrow(learn, "i long, weighted double, n long")
-            .groupBy("i")
-            .agg((F.sum("weighted") / F.sum("n")).alias("weight"))
-            .toPandas()
+            coded.mapInArrow(learn, "shard long, weighted binary, n long")
+            .repartition(min(SHARDS, partitions(df)), "shard")
+            .mapInArrow(add, "shard long, weights binary")
+            .collect()
         )
-        if len(got):
-            flat = np.zeros(TOTAL, np.float32)
-            flat[got["i"].to_numpy()] = got["weight"]
+        if got:
+            got.sort(key=lambda r: r["shard"])
+            flat = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in got])
     return vocab, with_unseen(flat, vocab.totals)
 
 

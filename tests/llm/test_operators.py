@@ -277,6 +277,19 @@ def test_rare_words_score_by_their_counts(spark):
     assert got[1] - got[0] == pytest.approx(np.log(many[0] / few[0]), rel=1e-6)
 
 
+def test_every_word_is_a_target_once(spark):
+    sizes = np.array([3, 0, 22, 1])
+    for rounds in (1, 2, lm_score.ROUNDS):
+        taken = np.concatenate([lm_score.targets(sizes, k, rounds) for k in range(rounds)])
+        assert sorted(taken) == list(range(sizes.sum()))
+    # Texts of a few words teach too, and what lies outside a text is learned.
+    corpus = spark.createDataFrame([(1, "a b c"), (2, ""), (3, "z")], "doc_id long, text string")
+    _, flat = lm_score.fit(corpus)
+    before = lm_score.views(lm_score.initial())["embed"]
+    after = lm_score.views(flat)["embed"]
+    assert all((after[k][lm_score.EDGE] != before[k][lm_score.EDGE]).any() for k in range(4))
+
+
 def test_toxicity(spark, docs, none):
     directory = "/root/testdata/sf0.01"
     corpus = spark.read.parquet(f"{directory}/documents.parquet")
