@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import arrays
 
-LANDMARKS = 48
 SAMPLE = 6000  # labelled texts of each class that the fit reads at most
 DECAY = 0.7
 GAPS = (1, 2, 3)
@@ -197,23 +196,35 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .agg(F.max("toxic").alias("bad"), F.max(1 - F.col("toxic")).alias("good"))
         .groupBy(F.col("at.word").alias("word"))
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        .persist()
     )
+    # A word of one odd text stands between many neighbours, so texts count as well.
+    texts = (
+        known.select("toxic", F.explode(F.array_distinct(F.split(letters, " "))).alias("word"))
+        .groupBy("word")
+        .agg(F.sum("toxic").alias("bad_texts"), F.sum(1 - F.col("toxic")).alias("good_texts"))
+    )
+    counts = counts.join(texts, "word").persist()
     size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = max(1, size.get(1, 0)), max(1, size.get(0, 0))
     # How much likelier a word's texts are with their labels than by chance; of
     # all words, chance alone lifts about one above the logarithm of their number.
-    share, n = bad / (bad + good), F.col("bad") + F.col("good")
-    likelier = F.col("bad") * F.log(F.col("bad") / n / share) + F.when(
-        F.col("good") > 0, F.col("good") * F.log(F.col("good") / n / (1 - share))
-    ).otherwise(0.0)
+    share = bad / (bad + good)
+
+    def lead(bad_n, good_n):
+        n = bad_n + good_n
+        return F.when(bad_n > 0, bad_n * F.log(bad_n / n / share)).otherwise(0.0) + F.when(
+            good_n > 0, good_n * F.log(good_n / n / (1 - share))
+        ).otherwise(0.0)
+
     least = float(np.log(max(1, counts.count()))) + 1
-    marks = counts.withColumn("lead", likelier).where(
-        (F.col("lead") >= least) & (F.col("bad") / bad > 6 * F.col("good") / good)
-    )
-    best = marks.orderBy(F.desc("lead"), "word").limit(LANDMARKS).collect()
-    # Words far weaker than the strongest one come from a few odd texts.
-    landmarks = [r["word"] for r in best if r["lead"] >= best[0]["lead"] / 4]
+    marks = counts.withColumn(
+        "lead",
+        F.least(
+            lead(F.col("bad"), F.col("good")), lead(F.col("bad_texts"), F.col("good_texts"))
+        ),
+    ).where((F.col("lead") >= least) & (F.col("bad") / bad > 6 * F.col("good") / good))
+    # Every word beyond chance is a landmark; the SVM weighs weak ones.
+    landmarks = [r["word"] for r in marks.orderBy(F.desc("lead"), "word").collect()]
     counts.unpersist()
     kernel = Kernel(landmarks)
 

@@ -308,6 +308,23 @@ def test_toxicity(spark, docs, none):
     assert toxicity.without_toxic(docs, model).columns == docs.columns
 
 
+def test_rare_insults_are_landmarks(spark):
+    rng = np.random.default_rng(4)
+    plain = [f"word{c}{d}" for c in "abcdefghij" for d in "klmnopqrst"]
+    some = lambda: " ".join(rng.choice(plain, 12))
+    rows = [(some() + " blockhead " + some(), 1) for _ in range(400)]
+    rows += [(some() + " nincompoop " + some(), 1) for _ in range(40)]
+    rows += [(some(), 0) for _ in range(1500)]
+    # One odd text with a word between many neighbours proves nothing.
+    rows.append((" ".join(f"harmless {w}" for w in plain), 1))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic long")
+    model = toxicity.fit(docs, labels)
+    assert "nincompoop" in model.landmarks and "harmless" not in model.landmarks
+    one = spark.createDataFrame([(1, "you nincompoop"), (2, "you harmless")], "doc_id long, text string")
+    assert [r.predicted for r in toxicity.scores(one, model).orderBy("doc_id").collect()] == [1, 0]
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
