@@ -1,7 +1,9 @@
 """Document fingerprints as Merkle trees over paragraphs and sections.
 
 The leaves are paragraphs, cut further where the hash of a word says so, each
-with its trailing white space; a section ends where the hash of a leaf says so;
+with its trailing white space. A leaf over ``MOST`` bytes, as of texts without white
+space, is cut where the hash of the bytes before says so, at ``MOST`` bytes at the
+latest. A section ends where the hash of a leaf says so;
 the root covers the sections. As cuts depend on the words around them only, an
 edit changes the leaves it touches, their sections and the root. Equal roots
 mean equal texts; else the comparison goes down into sections that differ.
@@ -24,7 +26,10 @@ from ledgerline.llm.common import partitions, unpacked
 
 LEAF = np.uint64(3)  # a word ends a leaf if these bits of its hash are 0: 1 of 4
 SECTION = np.uint64(15)
-MOST = 255  # a leaf's length as held in the fingerprint
+MOST = 255  # no leaf is longer, so that a byte of the fingerprint holds its length
+WINDOW = 16  # bytes whose hash cuts a long leaf
+APART = 32  # bytes between such cuts at least
+BYTES = np.uint64(63)  # they are where these bits of the hash are 0
 
 
 def _sums(values: np.ndarray, start: np.ndarray, total: int, seed: int) -> np.ndarray:
@@ -34,9 +39,27 @@ def _sums(values: np.ndarray, start: np.ndarray, total: int, seed: int) -> np.nd
     return arrays.mix(np.add.reduceat(values * factor, start) + count.astype(np.uint64))
 
 
+def long_cuts(data: np.ndarray, powers: arrays.Powers) -> list[int]:
+    """Where a leaf of over ``MOST`` bytes is cut, by the bytes before each place."""
+    h = arrays.run_hashes(arrays.multipliers(256, 19)[data], WINDOW, powers)
+    at = np.flatnonzero((h & BYTES) == 0) + WINDOW
+    # The first of places close to each other stands; runs of one byte give none after it.
+    at = at[np.diff(at, prepend=-APART) >= APART]
+    out, last = [], 0
+    for end in [*at[at < len(data)].tolist(), len(data)]:
+        while end - last > MOST:
+            # Elsewhere the smallest hash in reach decides, so that cuts fall in step again.
+            last += APART + int(np.argmin(h[last + APART - WINDOW : last + MOST - WINDOW + 1]))
+            out.append(last)
+        if end < len(data):
+            out.append(end)
+        last = end
+    return out
+
+
 def trees(texts: list[bytes]) -> list[str]:
     """Fingerprints of texts."""
-    out = []
+    out, powers = [], arrays.Powers(31)
     for t in arrays.slices(pa.array(texts, pa.large_binary()).cast(pa.large_string())):
         n = len(t.data)
         cut = np.zeros(n + 1, bool)
@@ -47,6 +70,11 @@ def trees(texts: list[bytes]) -> list[str]:
         cut[w.start[1:][ends[:-1]]] = True
         cut[np.flatnonzero(t.data == 10) + 1] = True
         start = np.flatnonzero(cut[:n])
+        size = np.diff(np.r_[start, n])
+        for k in np.flatnonzero(size > MOST):
+            own = long_cuts(t.data[start[k] : start[k] + size[k]], powers)
+            cut[start[k] + np.array(own, np.int64)] = True
+        start = np.flatnonzero(cut[:n])
         leaf = _sums(t.data.astype(np.uint64) + np.uint64(1), start, n, 13) if n else None
         size = np.diff(np.r_[start, n])
         first = np.searchsorted(start, t.offsets)
@@ -66,7 +94,7 @@ def _tree(leaf: np.ndarray, size: np.ndarray, raw: bytes) -> str:
     count = np.diff(np.r_[start, len(leaf)])
     root = blake2b(section.tobytes() + len(raw).to_bytes(8, "big"), digest_size=16).hexdigest()
     above = np.stack([section & np.uint64(0xFFFFFFFF), count.astype(np.uint64)], 1).astype(">u4")
-    below = ((leaf & np.uint64(0xFFFFFF)) << np.uint64(8)) | np.minimum(size, MOST).astype(np.uint64)
+    below = ((leaf & np.uint64(0xFFFFFF)) << np.uint64(8)) | size.astype(np.uint64)
     return f"{root}.{above.tobytes().hex()}.{below.astype('>u4').tobytes().hex()}"
 
 

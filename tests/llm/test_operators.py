@@ -156,6 +156,25 @@ def test_fingerprints(docs, none):
     assert fingerprints.compared(none).count() == 0
 
 
+def test_fingerprints_of_long_leaves():
+    rng = np.random.default_rng(2)
+    token = "".join(rng.choice(list("ABCDEFGHJKLMNOPQ0123456789"), 40_000))
+    han = "".join(map(chr, rng.integers(0x4E00, 0x9000, 20_000)))
+    other = "".join(rng.choice(list("abcdefghij"), 40_000))
+    for text in (token, han, "spam " * 8000, "a" * 40_000):
+        one, new = fingerprints.trees([text.encode(), fingerprints.edited(text, other).encode()])
+        size = fingerprints._parsed(one)[2] & 255
+        assert size.sum() == len(text.encode()) and size.max() <= fingerprints.MOST
+        kept = len(text[: len(text) - len(text) // 4].encode())
+        both = len(text.encode()) + len(fingerprints.edited(text, other).encode())
+        assert fingerprints.likeness(one, new) == pytest.approx(2 * kept / both, abs=0.02)
+        # An insertion in front shifts all bytes and changes few leaves.
+        assert fingerprints.likeness(one, fingerprints.trees([b"xy" + text.encode()])[0]) > 0.9
+    # A long equal line outweighs many short new ones.
+    pair = [token + "".join(f"\n{w}{i}" for i in range(300)) for w in ("x", "y")]
+    assert fingerprints.likeness(*fingerprints.trees([x.encode() for x in pair])) > 0.9
+
+
 def test_pieces_equal_the_library(docs, none):
     import sentencepiece
 
