@@ -123,6 +123,18 @@ def features(t: arrays.Texts, w: arrays.Words) -> np.ndarray:
     return np.stack(bins).astype(np.int32)
 
 
+def uncovered(starts, ends, base: list) -> list[tuple[int, int]]:
+    """Parts of a span of tokens outside the base spans, from token to token."""
+    at, out = int(starts[0]), []
+    for a, b in [*sorted((x[0], x[2]) for x in base), (int(ends[-1]), int(ends[-1]))]:
+        a = min(a, int(ends[-1]))
+        own = np.flatnonzero((ends > at) & (starts < a))
+        if len(own):
+            out.append((max(at, int(starts[own[0]])), min(a, int(ends[own[-1]]))))
+        at = max(at, b)
+    return out
+
+
 def char_positions(t: arrays.Texts) -> np.ndarray:
     """Characters before each byte of the slice."""
     out = np.zeros(len(t.data) + 1, np.int64)
@@ -274,8 +286,8 @@ def scanned(df: DataFrame, model, doc_id: str = "doc_id", text: str = "text") ->
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of each row.
 
     Spans are kind:start:end in characters, by start, then kind, joined by
-    commas; those of the CRF have the kind crf and never overlap a base one. A null
-    text is the empty one and has none; so has one without tokens. Repeated rows
+    commas; those of the CRF have the kind crf and never overlap a base one: of a
+    stretch that does, the parts outside base spans are given. A null text is the empty one and has none; so has one without tokens. Repeated rows
     are each returned, a null id stays null. Other columns are not read, an
     empty table gives no rows.
     """
@@ -301,12 +313,12 @@ def scanned(df: DataFrame, model, doc_id: str = "doc_id", text: str = "text") ->
                     y = tags[own]
                     begin = np.flatnonzero((y == B) | ((y == I) & (np.r_[O, y[:-1]] == O)))
                     close = np.flatnonzero((y != O) & (np.r_[y[1:], O] != I))
-                    starts = chars[w.start[own][begin]] - chars[a]
-                    ends = chars[w.end[own][close]] - chars[a]
+                    starts = chars[w.start[own]] - chars[a]
+                    ends = chars[w.end[own]] - chars[a]
                     more = [
-                        (int(s), 3, int(e))
-                        for s, e in zip(starts, ends, strict=True)
-                        if not any(s < x[2] and x[0] < e for x in base)
+                        (s, 3, e)
+                        for i, j in zip(begin, close, strict=True)
+                        for s, e in uncovered(starts[i : j + 1], ends[i : j + 1], base)
                     ]
                     base = [x[:3] for x in base]
                     text_of = lambda spans: ",".join(

@@ -229,6 +229,23 @@ def test_secrets(docs, none):
     assert got[2].spans == "" and secrets.scanned(none, secrets.fit(none)).count() == 0
 
 
+def test_parts_of_crf_spans_outside_base_spans(spark, monkeypatch):
+    starts, ends = np.array([0, 10, 20]), np.array([8, 18, 28])
+    assert secrets.uncovered(starts, ends, []) == [(0, 28)]
+    assert secrets.uncovered(starts, ends, [(0, 0, 18, 10)]) == [(20, 28)]
+    assert secrets.uncovered(starts, ends, [(2, 2, 6, 2), (10, 0, 18, 10)]) == [(0, 2), (6, 8), (20, 28)]
+    assert secrets.uncovered(starts, ends, [(0, 0, 40, 0)]) == []
+    # A model that tags every token as inside: all that no pattern covers is returned.
+    text = "password=hunter2secret1 Zq9Zq9Zq9 XX" + "0af3" * 6 + "YY"
+    move = np.full((3, 3), -50.0)
+    move[1, 2] = move[2, 2] = 0.0
+    weights = np.zeros((secrets.BINS, 3))
+    weights[:, 2] = 1.0
+    one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = secrets.scanned(one, (weights, move)).first().spans
+    assert got == "assign:0:23,crf:24:36,hex:36:60,crf:60:62"
+
+
 def test_viterbi_is_the_best_chain():
     from itertools import product
 
