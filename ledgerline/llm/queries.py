@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, fingerprints, jaccard_join, lm_score, mixing, pieces, secrets, sql, substring_dedup, suffix_dedup, toxicity
+from ledgerline.llm import conversations, exact_dedup, fingerprints, jaccard_join, lm_score, mixing, packing, pieces, secrets, spelling, sql, substring_dedup, suffix_dedup, toxicity
 from ledgerline.registry.common import Entry
 
 
@@ -67,6 +68,19 @@ def op7_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
     return secrets.scanned(docs, secrets.fit(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
+    rows = spark.read.parquet(f"{directory}/conversations.parquet")
+    return conversations.audited(conversations.damaged(rows))
+
+
+def op12_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.variants(documents(spark, directory))
+
+
+def op13_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.packed(documents(spark, directory), public_tokenizers.path(packing.TOKENIZER))
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_source_mix": Entry(op1_source_mix, sql.MIXED),
     "op2_ngram_jaccard": Entry(op2_ngram_jaccard),
@@ -79,4 +93,7 @@ ENTRIES: dict[str, Entry] = {
     "pipeline": Entry(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op4_lm_score": Entry(op4_lm_score),
     "op7_secret_scan": Entry(op7_secret_scan),
+    "op11_conversation_repair": Entry(op11_conversation_repair, sql.REPAIRED),
+    "op12_spelling_variants": Entry(op12_spelling_variants, sql.VARIANTS),
+    "op13_packing": Entry(op13_packing),
 }
