@@ -37,6 +37,9 @@ SOUND, BLANK, DUPLICATE, TRUNCATED = range(4)
 RETYPE, DELETE, INSERT, CUT_OFF = 2, 3, 2, 1
 # No more than two inserted rows in a row can be part of cheapest edits.
 MOST_INSERTS = 2
+# Whatever may follow one state may follow another too, for an inserted row that ends
+# an open turn and the deletion of a system row. A survivor dearer by more is lost.
+SLACK = INSERT + DELETE
 SPACES = " \t\n\x0b\x0c\r"
 ENDS = ".!?"
 
@@ -78,6 +81,7 @@ def advanced(costs: Costs, ranks: Costs, initial: str, fault: int):
             if after not in best or way < best[after]:
                 best[after] = way
     least = min(way[0] for way in best.values())
+    best = {after: way for after, way in best.items() if way[0] <= least + SLACK}
     order = sorted(best, key=lambda after: best[after][1:3])
     return (
         least,
