@@ -17,8 +17,11 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -37,10 +40,18 @@ TOKENIZER = "word_bpe_49k.json"
 # marks that never join a letter. An apostrophe may, as in 's.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 # Runs of text remembered by a task, and the longest of them in bytes.
-REMEMBERED, LONGEST = 1 << 19, 64
+REMEMBERED, LONGEST = 3 << 18, 64
 RANK_BITS = 44
 
 
+def unsigned(ids: Iterable[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Coder(dict):
     """Ids of texts as little-endian unsigned 32-bit bytes, run by run.
 
@@ -65,13 +76,16 @@ class Coder(dict):
         plain = PLAIN.fullmatch(text)
         if plain is not None:
             word, marks = plain.groups()
-            word = word.lower().translate(self.visible)
-            ids = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-            ids += self[marks.encode()] if marks else b""
+            lower = word.lower()
+            if marks or lower != word:
+                # Most words come with several marks and cases, and are merged once.
+                ids = self[lower.encode()] + (self[marks.encode()] if marks else b"")
+            else:
+                ids = unsigned(t.id for t in self.model.tokenize(word.translate(self.visible)))
         elif len(run) > 1 and run.isdigit():
             ids = b"".join(self[bytes((digit,))] for digit in run)
         else:
-            ids = np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = unsigned(self.full.encode(text, add_special_tokens=False).ids)
         if len(run) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -98,7 +112,7 @@ def pieces(
         kinds = [to_arrow_type(id_type), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary()]
         coder, seen = Coder(tokenizer), defaultdict(int)
         task = TaskContext.get().partitionId()
-        last = np.array([end], "<u4").tobytes()
+        last = unsigned([end])
 
         def made(rows):
             columns = zip(*rows)
