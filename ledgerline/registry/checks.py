@@ -6,6 +6,9 @@ lines get an unreadable date or quantity, some products a wrong category.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -287,12 +290,12 @@ def landed_sales(spark: SparkSession, directory: str) -> str:
 
 
 def read_sales_years(spark: SparkSession, directory: str) -> DataFrame:
-    clean = files.read_sales_years(spark, landed_sales(spark, directory), "year=*").clean
+    clean = files.read_sales_years(spark, landed_sales(spark, directory), "year=*", "folder").clean
     return doubles(clean, "quantity", "revenue")
 
 
 def load_summary(spark: SparkSession, directory: str) -> DataFrame:
-    return files.sales_load_summary(spark, landed_sales(spark, directory), "year=*")
+    return files.sales_load_summary(spark, landed_sales(spark, directory), "year=*", "folder")
 
 
 def upload_failures(spark: SparkSession, directory: str) -> DataFrame:
@@ -300,7 +303,7 @@ def upload_failures(spark: SparkSession, directory: str) -> DataFrame:
     folder = landed_sales(spark, directory)
     lacking = raw_sales(spark, directory).where(F.col("year") == 2000).drop("quantity", "year")
     lacking.write.option("header", True).csv(f"{folder}/year=2000-again")
-    return files.upload_failures(files.sales_load_summary(spark, folder, "year=*"))
+    return files.upload_failures(files.sales_load_summary(spark, folder, "year=*", "folder"))
 
 
 def export_csv(spark: SparkSession, directory: str) -> DataFrame:
@@ -357,18 +360,37 @@ def report_json_customers(spark: SparkSession, directory: str) -> DataFrame:
 # -- streams ------------------------------------------------------------------
 
 
-def refreshed(spark: SparkSession, directory: str) -> arrival.Refresh:
-    """Sales landed in two drops, the second holding late lines of old months."""
+FIRST_LATEST = date(2001, 6, 30)
+
+
+def refreshed(
+    spark: SparkSession, directory: str, process=arrival.refresh_on_arrival
+) -> arrival.Refresh:
+    """Sales landed in four drops, from eleven stored months to the full twelve.
+
+    The second has its columns in another order and late lines of all years, the
+    third brings a new month and a file without quantities, and the fourth the rest
+    with lines dated far ahead.
+    """
     t = tables(spark, directory)
     folder = store.shared_folder(spark, "arrival")
-    rows = t.sales.select(*SALES.names)
-    late = (F.col("quantity") > 40) | (F.col("invoice_date") > "2001-03-10")
-    refresh = arrival.Refresh(spark, folder, t.products, t.customers, PARAMS)
-    layout = T.StructType([T.StructField(n, T.StringType()) for n in SALES.names])
-    for drop, part in enumerate((rows.where(~late), rows.where(late))):
-        files.export_csv(part, f"{folder}/landing/drop{drop}")
-        arriving = files.arrivals(spark, f"{folder}/landing/*", layout)
-        arrival.refresh_on_arrival(arriving, refresh).awaitTermination()
+    rows = t.sales.select(*[F.col(n).cast("string") for n in SALES.names])
+    late, new = F.col("quantity").cast("double") > 40, F.col("invoice_date") >= "2001-07-01"
+    last = F.col("invoice_date") >= "2001-07-20"
+    start = replace(PARAMS, latest=FIRST_LATEST, months=PARAMS.months - 1)
+    refresh = arrival.Refresh(spark, folder, t.products, t.customers, start, "folder")
+    misdated = rows.where("invoice_date = '2001-07-20'").withColumn("invoice_date", F.lit("2099-07-20"))
+    drops = [
+        {"first": rows.where(~late & ~new)},
+        {"late": rows.where(late & ~new).select(*reversed(SALES.names))},
+        {"july": rows.where(new & ~last), "lacking": rows.where(new & last).drop("quantity")},
+        {"rest": rows.where(new & last).unionByName(misdated)},
+    ]
+    for drop in drops:
+        for name, part in drop.items():
+            files.export_csv(part, f"{folder}/landing/{name}")
+        arriving = files.arrivals(spark, f"{folder}/landing/*")
+        process(arriving, refresh).awaitTermination()
     return refresh
 
 
@@ -376,11 +398,22 @@ def refresh_on_arrival(spark: SparkSession, directory: str) -> DataFrame:
     return refreshed(spark, directory).snapshot()
 
 
+def refused_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Files that were refused while the others loaded."""
+    return refreshed(spark, directory, arrival.load_on_arrival).refused().drop("batch_id")
+
+
+def misdated_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines that were kept apart for a date too far ahead."""
+    refresh = refreshed(spark, directory, arrival.load_on_arrival)
+    kept = spark.read.parquet(refresh.path("quarantine")).where(F.col("reasons") == "date_ahead")
+    numbers = [F.col(n).cast("bigint") for n in ("invoice_id", "customer_id", "product_id")]
+    return kept.select(*numbers, "invoice_date", "batch_id")
+
+
 def change_feed_stream(spark: SparkSession, directory: str) -> DataFrame:
-    """The feed of the second drop, which recomputes all twelve months."""
-    refresh = refreshed(spark, directory)
-    feed = spark.read.parquet(refresh.path("feed"))
-    return feed.where(F.col("batch_id") == 1).drop("batch_id")
+    """The events that stand after all four drops, retracted ones left out."""
+    return arrival.standing_events(refreshed(spark, directory).feed())
 
 
 def daily_totals(spark: SparkSession, directory: str) -> DataFrame:
@@ -574,6 +607,16 @@ ENTRIES: dict[str, Entry] = {
     "change_feed": Entry(on_snapshot(arrival.change_feed), CHANGE_SQL),
     "refresh_on_arrival": Entry(refresh_on_arrival, snap_sql(f"SELECT {SNAPSHOT_LIST} FROM snap")),
     "change_feed_stream": Entry(change_feed_stream, CHANGE_SQL),
+    "refused_files": Entry(
+        refused_files, "SELECT 'lacking' AS file, 'quantity' AS missing"
+    ),
+    "misdated_lines": Entry(
+        misdated_lines,
+        canonical(
+            "SELECT invoice_id, customer_id, product_id, '2099-07-20' AS invoice_date, "
+            "CAST(3 AS INTEGER) AS batch_id FROM sales WHERE invoice_date = DATE '2001-07-20'"
+        ),
+    ),
     "daily_rollup_stream": Entry(
         lambda spark, d: rounded(daily_totals(spark, d), "amount"),
         "SELECT CAST(ts AS DATE) AS day, user_id AS customer_id, round(sum(value), 6) AS amount, "

@@ -1,34 +1,65 @@
 """Refresh of stored lines, roll-ups and snapshot as sales files arrive.
 
+The stream only tells which files are new. They are read by their own headers,
+so columns may come in any order; a file that lacks a required column is refused
+and the others load.
+
+Lines are kept in folders by batch and month, and a manifest names the live ones.
+Where months have gathered several folders, they are merged into one before the
+next batch, and the manifest switches to it in one rename.
+
 The monthly roll-up is also kept by year: years older than every window only
 count with their totals, so a long history is read as one row per customer and
-year. Each step writes whole partitions and none reads what it overwrites, so a
-batch that is run again after a failure leaves the same tables behind:
-lines are kept by batch and month, roll-ups and snapshot by year and month.
+year. No step reads what it overwrites, and all start from the tables as the
+batches before left them, so a batch that is run again after a failure leaves the
+same tables behind.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ledgerline.functions.calendar import month_no
 from ledgerline.operators.lines import month_rollup, positive_lines
-from ledgerline.operators.quality import REASONS, sales_rules, split
+from ledgerline.operators.quality import REASONS, sales_rules, split, typed
 from ledgerline.operators.shape import any_of
 from ledgerline.params import ORDER_WINDOW, WINDOW_MONTHS, SnapshotParams, month_last_day
 from ledgerline.plans.monthly import tier_change
 from ledgerline.plans.snapshot import snapshot_from_rollup
 from ledgerline.schemas import SALES
+from ledgerline.sources.files import ARRIVED, MALFORMED, read_text_table, with_shape
+from ledgerline.sources.manifest import Manifest, Version
 from ledgerline.sources.store import read_snapshot, write_snapshot
 
-LINES = T.StructType(
-    [*SALES, T.StructField("batch_id", T.LongType()), T.StructField("month", T.IntegerType())]
+# Days that a line may lie ahead of the newest complete month, and of the arrival
+# of its file, before it counts as misdated.
+AHEAD_DAYS = 366
+CLOCK_DAYS = 1
+# Folders of one month before they are merged.
+MOST_FOLDERS = 8
+REFUSED = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("missing", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+EVENT = ["report_mth_eom", "customer_id", "event", "before", "after"]
+FEED = T.StructType(
+    [
+        T.StructField("report_mth_eom", T.DateType()),
+        T.StructField("customer_id", T.LongType()),
+        *[T.StructField(n, T.StringType()) for n in ("event", "before", "after", "action")],
+        T.StructField("batch_id", T.LongType()),
+    ]
 )
 TOTALS = [
     T.StructField("customer_id", T.LongType()),
@@ -59,6 +90,23 @@ def change_feed(snapshot: DataFrame) -> DataFrame:
     return changes.select("report_mth_eom", "customer_id", F.inline(events))
 
 
+def standing_events(feed: DataFrame) -> DataFrame:
+    """The events that hold after all batches of a feed: added and not retracted."""
+    weight = F.when(F.col("action") == "added", 1).otherwise(-1)
+    return feed.groupBy(*EVENT).agg(F.sum(weight).alias("n")).where(F.col("n") > 0).drop("n")
+
+
+def feed_difference(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Events added and retracted between two versions, nulls equal to nulls.
+
+    Both anti joins are one grouping: an event of both versions adds up to 0.
+    """
+    weighed = now.withColumn("n", F.lit(1)).unionByName(before.withColumn("n", F.lit(-1)))
+    changed = weighed.groupBy(*EVENT).agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+    action = F.when(F.col("n") > 0, "added").otherwise("retracted")
+    return changed.withColumn("action", action).drop("n")
+
+
 @dataclass(frozen=True)
 class Refresh:
     """Where the tables are kept and what they are computed with."""
@@ -68,12 +116,26 @@ class Refresh:
     products: DataFrame
     customers: DataFrame
     params: SnapshotParams
+    unit: str = "file"
+    ahead_days: int = AHEAD_DAYS
+    most_folders: int = MOST_FOLDERS
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def lines(self) -> DataFrame:
-        return self.spark.read.schema(LINES).parquet(self.path("lines"))
+    @cached_property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, self.path("manifest"))
+
+    def lines(self, months: list[int] | None = None) -> DataFrame:
+        """Live lines; only the folders of the given months are opened."""
+        return self.lines_of(self.manifest.read(), months)
+
+    def lines_of(self, version: Version, months: list[int] | None = None) -> DataFrame:
+        paths = version.paths(months)
+        if not paths:
+            return self.spark.createDataFrame([], SALES)
+        return self.spark.read.schema(SALES).parquet(*paths)
 
     def rollup(self) -> DataFrame:
         return self.spark.read.schema(ROLLUP).parquet(self.path("rollup"))
@@ -104,26 +166,70 @@ class Refresh:
             .parquet(self.path(name))
         )
 
-    def store_lines(self, batch: DataFrame, batch_id: int) -> None:
-        clean, bad = split(batch, SALES, sales_rules())
-        month = month_no(F.col("invoice_date")).cast("int")
-        rows = clean.withColumns({"batch_id": F.lit(batch_id).cast("long"), "month": month})
-        self.replace_partitions(rows.select(*LINES.names), "lines", "batch_id", "month")
-        reasons = F.array_join(REASONS, "; ")
-        self.replace_partitions(
-            bad.withColumns({REASONS: reasons, "batch_id": F.lit(batch_id)}),
-            "quarantine",
-            "batch_id",
-        )
+    def merged(self, version: Version) -> Version:
+        """Months of too many folders in one folder each.
+
+        The merged folders are new, so that readers of the old version are not
+        disturbed; ``vacuum`` removes what no version needs.
+        """
+        crowded = sorted(m for m, paths in version.folders.items() if len(paths) > self.most_folders)
+        if not crowded:
+            return version
+        folder = self.path(f"lines/merged-{uuid.uuid4().hex}")
+        rows = self.lines_of(version, crowded).withColumn("month", line_month())
+        rows.hint("rebalance", "month").write.partitionBy("month").parquet(folder)
+        folders = version.folders | {m: [f"{folder}/month={m}"] for m in crowded}
+        switched = replace(version, folders=folders)
+        self.manifest.commit(switched)
+        return switched
 
-    def touched_months(self, batch_id: int) -> list[int]:
-        """Months of a batch: partition values, so a short list."""
-        rows = self.lines().where(F.col("batch_id") == batch_id).select("month").distinct()
-        return sorted(r.month for r in rows.collect())
+    def vacuum(self) -> None:
+        """Remove folders of lines that the last version doesn't name.
+
+        Not while a batch or a reader of an older version is at work.
+        """
+        live = {path.rsplit("/lines/", 1)[1] for path in self.manifest.read().paths()}
+        stored = self.manifest.subfolders(self.path("lines"), 2)
+        self.manifest.remove([p for p in stored if p.rsplit("/lines/", 1)[1] not in live])
+
+    def date_ahead(self, version: Version, arrived: bool) -> Column:
+        """A date too far ahead of what is known, or later than its file arrived.
+
+        As a watermark does for late lines, this bounds what one misdated line
+        can do: without it, every month up to its date would get a snapshot.
+        """
+        newest = self.params.last_month if version.newest is None else version.newest
+        known = month_last_day(max(newest, self.params.last_month))
+        day = typed(SALES["invoice_date"])
+        ahead = day > F.date_add(F.lit(known), self.ahead_days)
+        if arrived:
+            ahead = ahead | (day > F.date_add(F.to_date(ARRIVED), CLOCK_DAYS))
+        return F.coalesce(ahead, F.lit(False))
+
+    def store_lines(self, batch: DataFrame, batch_id: int, base: Version) -> list[int]:
+        """Write a batch's lines and make them live; the months that it touches."""
+        rules = with_shape(sales_rules()) if MALFORMED in batch.columns else sales_rules()
+        rules["date_ahead"] = self.date_ahead(base, ARRIVED in batch.columns)
+        clean, bad = split(batch, SALES, rules)
+        folder = self.path(f"lines/batch_id={batch_id}")
+        rows = clean.select(*SALES.names).withColumn("month", line_month())
+        rows.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(folder)
+        reasons = F.array_join(REASONS, "; ")
+        refused = bad.select(*SALES.names, reasons.alias(REASONS))
+        refused.write.mode("overwrite").parquet(self.path(f"quarantine/batch_id={batch_id}"))
+        months = sorted(int(p.rsplit("=", 1)[1]) for p in self.manifest.subfolders(folder, 1))
+        folders = dict(base.folders)
+        for month in months:
+            folders[month] = [*folders.get(month, []), f"{folder}/month={month}"]
+        version = Version(batch_id, base.newest, folders)
+        if months:
+            complete = self.complete_month(version, months[-1])
+            version = replace(version, newest=max(complete, base.newest or complete))
+        self.manifest.commit(version)
+        return months
 
     def store_rollup(self, months: list[int]) -> None:
-        touched = self.lines().where(F.col("month").isin(*months)).drop("month", "batch_id")
-        bought = positive_lines(touched, self.products, "consumable", "device")
+        bought = positive_lines(self.lines(months), self.products, "consumable", "device")
         rows = month_rollup(bought).withColumn("month", F.col("month").cast("int"))
         self.replace_partitions(rows.select(*ROLLUP.names), "rollup", "month")
 
@@ -155,45 +261,82 @@ class Refresh:
         months = stored.select(month_no(F.col("report_mth_eom")).alias("month")).distinct()
         return sorted(int(r.month) for r in months.collect())
 
-    def complete_month(self, newest: int) -> int:
-        """The newest month that is over by the stored lines: a month ends with
+    def complete_month(self, version: Version, newest: int) -> int:
+        """The newest month that is over by the live lines: a month ends with
         lines of its last day or of a later month."""
-        lines = self.lines().where(F.col("month") == newest)
-        last = lines.agg(F.max("invoice_date").alias("day")).first().day
+        last = self.lines_of(version, [newest]).agg(F.max("invoice_date").alias("day")).first().day
         return newest if last == month_last_day(newest) else newest - 1
 
     def store_snapshot(self, months: list[int]) -> int | None:
         """Recompute from the oldest changed month on: totals never expire.
 
         All stored months are renewed as far as they can change, and months
-        follow up to the newest complete one, so dates ahead of time must have
-        gone to quarantine.
+        follow up to the newest complete one.
         """
         stored = self.snapshot_months() or [self.params.first_month, self.params.last_month]
-        last = max(self.complete_month(months[-1]), stored[-1], self.params.last_month)
+        version = self.manifest.read()
+        last = max(version.newest or 0, stored[-1], self.params.last_month)
         first = max(min(months[0], stored[-1] + 1), min(stored[0], self.params.first_month))
         if first > last:
             return None
         span = replace(self.params, latest=month_last_day(last), months=last - first + 1)
-        recent = self.lines().where(F.col("month") > first - ORDER_WINDOW)
-        bought = positive_lines(recent.drop("month", "batch_id"), self.products, "consumable")
+        reach = [m for m in version.folders if first - ORDER_WINDOW < m <= last]
+        bought = positive_lines(self.lines_of(version, sorted(reach)), self.products, "consumable")
         write_snapshot(
             snapshot_from_rollup(self.history(first), bought, self.customers, span),
             self.path("snapshot"),
         )
         return first
 
+    def feed(self) -> DataFrame:
+        """All events as they were told, with the batch and action that told them."""
+        return self.spark.read.schema(FEED).parquet(self.path("feed"))
+
     def store_feed(self, first: int, batch_id: int) -> None:
+        """Tell what changed against the events told by the batches before.
+
+        Kept by month and batch, so that only recomputed months are compared.
+        """
         since = F.lit(month_last_day(first - 1))
-        feed = change_feed(self.snapshot().where(F.col("report_mth_eom") >= since))
-        changed = feed.where(F.col("report_mth_eom") > since)
+        later = F.col("report_mth_eom") > since
+        now = change_feed(self.snapshot().where(F.col("report_mth_eom") >= since)).where(later)
+        try:
+            told = self.feed().where(later & (F.col("batch_id") < batch_id))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            told = self.spark.createDataFrame([], FEED)
+        changed = feed_difference(standing_events(told), now.select(*EVENT))
         self.replace_partitions(
-            changed.withColumn("batch_id", F.lit(batch_id)), "feed", "batch_id"
+            changed.withColumn("batch_id", F.lit(batch_id).cast("long")).select(*FEED.names),
+            "feed",
+            "report_mth_eom",
+            "batch_id",
         )
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.store_lines(batch, batch_id)
-        months = self.touched_months(batch_id)
+    def load(self, batch: DataFrame, batch_id: int) -> list[int]:
+        """Take in rows, columns of sales as text; the months that they touch."""
+        base = self.merged(self.manifest.read(before=batch_id))
+        return self.store_lines(batch, batch_id, base)
+
+    def load_files(self, arrived: DataFrame, batch_id: int) -> list[int]:
+        """Take in files, each by its own header; the months that they touch.
+
+        Only their paths come to the driver. Refused files are listed with the
+        columns they lack.
+        """
+        paths = sorted(row.path for row in arrived.collect())
+        if not paths:
+            return []
+        rows, refused = read_text_table(self.spark, paths, SALES, unit=self.unit)
+        listed = [(path, ", ".join(lacking), batch_id) for path, lacking in sorted(refused.items())]
+        self.spark.createDataFrame(listed, REFUSED).drop("batch_id").write.mode("overwrite").parquet(
+            self.path(f"refused/batch_id={batch_id}")
+        )
+        return self.load(rows, batch_id)
+
+    def renew(self, months: list[int], batch_id: int) -> None:
+        """Bring roll-ups, snapshot and feed up to date with changed months."""
         if not months:
             return
         self.store_rollup(months)
@@ -202,12 +345,34 @@ class Refresh:
         if first is not None:
             self.store_feed(first, batch_id)
 
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.renew(self.load(batch, batch_id), batch_id)
+
+    def take_files(self, arrived: DataFrame, batch_id: int) -> None:
+        self.renew(self.load_files(arrived, batch_id), batch_id)
 
-def refresh_on_arrival(arriving: DataFrame, refresh: Refresh) -> StreamingQuery:
-    """Process the files that have landed, then stop."""
+    def refused(self) -> DataFrame:
+        return self.spark.read.schema(REFUSED).parquet(self.path("refused"))
+
+
+def line_month() -> Column:
+    return month_no(F.col("invoice_date")).cast("int")
+
+
+def on_arrival(arriving: DataFrame, refresh: Refresh, step) -> StreamingQuery:
     return (
-        arriving.writeStream.foreachBatch(refresh)
+        arriving.writeStream.foreachBatch(step)
         .option("checkpointLocation", refresh.path("checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
+
+
+def refresh_on_arrival(arriving: DataFrame, refresh: Refresh) -> StreamingQuery:
+    """Process the files that have landed, then stop."""
+    return on_arrival(arriving, refresh, refresh.take_files)
+
+
+def load_on_arrival(arriving: DataFrame, refresh: Refresh) -> StreamingQuery:
+    """Take in the files that have landed without renewing what stands on them."""
+    return on_arrival(arriving, refresh, refresh.load_files)

@@ -5,7 +5,6 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.plans.snapshot import customer_snapshot
 from ledgerline.registry.common import tables
@@ -13,7 +12,6 @@ from ledgerline.schemas import SALES
 from ledgerline.sources import files, star
 from ledgerline.streaming import arrival, daily
 
-LAYOUT = T.StructType([T.StructField(n, T.StringType()) for n in SALES.names])
 PARAMS = star.snapshot_params(4)
 
 
@@ -28,7 +26,7 @@ def same(left, right):
 
 
 def arrive(spark, refresh, folder):
-    arriving = files.arrivals(spark, f"{folder}/landing/*", LAYOUT)
+    arriving = files.arrivals(spark, f"{folder}/landing/*")
     arrival.refresh_on_arrival(arriving, refresh).awaitTermination()
 
 
@@ -51,9 +49,15 @@ def test_two_drops_with_late_and_bad_lines_equal_one_batch(spark, canonical, tmp
     old = refresh.history(PARAMS.first_month).where("month < 1998 * 12")
     assert old.count() == refresh.yearly().where("year < 1998").count() > 0
     assert old.where("month % 12 != 11").count() == 0
-    feed = spark.read.parquet(refresh.path("feed")).where("batch_id = 1").drop("batch_id")
-    in_span = F.col("report_mth_eom") > F.lit(date(2001, 4, 30))
-    assert same(feed, arrival.change_feed(whole).where(in_span))
+    feed = refresh.feed()
+    assert same(arrival.standing_events(feed), arrival.change_feed(whole))
+    # An event is told once, and again only after it was retracted.
+    told = feed.groupBy(*arrival.EVENT).agg(
+        F.count_if(F.col("action") == "added").alias("added"),
+        F.count_if(F.col("action") == "retracted").alias("retracted"),
+    )
+    assert told.where("added - retracted not in (0, 1) or added > 2").count() == 0
+    assert feed.where("action = 'retracted'").count() > 0
 
 
 def test_running_a_batch_again_changes_nothing(spark, canonical, tmp_path):
@@ -101,6 +105,99 @@ def test_batch_of_bad_rows_only(spark, canonical, tmp_path):
     assert spark.read.parquet(refresh.path("quarantine")).count() == sales.count()
 
 
+def as_text(rows):
+    return rows.select([F.col(n).cast("string") for n in SALES.names])
+
+
+def test_one_misdated_line_adds_no_months(spark, canonical, tmp_path):
+    t, sales = canonical
+    start = replace(PARAMS, latest=date(2001, 1, 31), months=2)
+    refresh = arrival.Refresh(spark, str(tmp_path), t.products, t.customers, start)
+    early = as_text(sales.where("invoice_date < '2001-02-01'"))
+    refresh(early, 0)
+    before = refresh.snapshot().collect()
+    for number, day in ((1, "2012-01-15"), (2, "9999-12-31")):
+        refresh(early.limit(1).withColumn("invoice_date", F.lit(day)), number)
+    assert sorted(refresh.snapshot().collect(), key=str) == sorted(before, key=str)
+    assert refresh.snapshot().select("report_mth_eom").distinct().count() == 2
+    quarantine = spark.read.parquet(refresh.path("quarantine"))
+    assert [r.reasons for r in quarantine.collect()] == ["date_ahead"] * 2
+
+
+def write_lines(path, header, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([header, *lines]) + "\n")
+
+
+def test_files_load_by_their_own_headers(spark, canonical, tmp_path):
+    t, _ = canonical
+    refresh = arrival.Refresh(spark, str(tmp_path), t.products, t.customers, PARAMS)
+    landing = tmp_path / "landing" / "a day"
+    usual = "invoice_id,customer_id,invoice_date,product_id,quantity,revenue,store_id"
+    write_lines(landing / "part-1.csv", usual, "a,1,2001-05-02,1,2.0,9.0,4")
+    write_lines(landing / "part-2.csv", "revenue,quantity,product_id,invoice_date,customer_id,invoice_id", "7.5,3.0,2,2001-05-03,2,b")
+    write_lines(landing / "c.csv", "invoice_id,customer_id,invoice_date,product_id,revenue", "c,1,2001-05-02,1,9.0")
+    write_lines(landing / "d.csv", usual, "d,1,2090-05-02,1,2.0,9.0,4", "e,1,2001-05-02,1", "f,x,2001-05-02,1,1,1,1")
+    arrive(spark, refresh, tmp_path)
+    rows = {r.invoice_id: (float(r.quantity), float(r.revenue), r.store_id) for r in refresh.lines().collect()}
+    assert rows == {"a": (2.0, 9.0, 4), "b": (3.0, 7.5, None)}
+    assert [(r.file, r.missing, r.batch_id) for r in refresh.refused().collect()] == [("c.csv", "quantity", 0)]
+    reasons = {r.invoice_id: r.reasons for r in spark.read.parquet(refresh.path("quarantine")).collect()}
+    assert reasons["d"] == "date_ahead" and "malformed_row" in reasons["e"] and reasons["f"] == "bad_customer_id"
+
+
+def test_many_drops_become_one_folder_a_month(spark, canonical, tmp_path):
+    t, sales = canonical
+    refresh = arrival.Refresh(spark, str(tmp_path), t.products, t.customers, PARAMS, most_folders=4)
+    span = sales.where("invoice_date between '2001-05-01' and '2001-06-30'")
+    part = F.pmod(F.xxhash64("invoice_id", "product_id", "quantity"), F.lit(20))
+    text = as_text(span.withColumn("part", part).sort("invoice_id")).withColumn("part", part).persist()
+    for drop in range(20):
+        refresh.load(as_text(text.where(F.col("part") == drop)), drop)
+    expected = as_text(span).exceptAll(as_text(refresh.lines()))
+    assert expected.count() == 0 and refresh.lines().count() == span.count()
+    version = refresh.manifest.read()
+    assert all(len(paths) <= 5 for paths in version.folders.values())
+    # Killed after the merged folder is written and before the switch: nothing has changed.
+    class Killed(Exception):
+        pass
+
+    def killed(*_):
+        raise Killed
+
+    eager = replace(refresh, most_folders=1)
+    eager.manifest.commit, kept = killed, eager.manifest.commit
+    with pytest.raises(Killed):
+        eager.merged(version)
+    assert refresh.manifest.read() == version and refresh.lines().count() == span.count()
+    eager.manifest.commit = kept
+    reading = refresh.lines()
+    merged = eager.merged(version)
+    # Readers of the old version go on; the new one has a folder a month.
+    assert reading.count() == refresh.lines().count() == span.count()
+    assert {m: len(paths) for m, paths in merged.folders.items()} == dict.fromkeys(version.folders, 1)
+    refresh.vacuum()
+    left = refresh.manifest.subfolders(refresh.path("lines"), 2)
+    assert sorted(p.rsplit("=", 1)[1] for p in left) == sorted(str(m) for m in version.folders)
+    assert as_text(span).exceptAll(as_text(refresh.lines())).count() == 0
+
+
+def test_a_replayed_batch_starts_from_the_batches_before(spark, canonical, tmp_path):
+    t, sales = canonical
+    refresh = arrival.Refresh(spark, str(tmp_path), t.products, t.customers, PARAMS, most_folders=1)
+    old, new = F.col("invoice_date") < "2001-06-01", F.col("quantity") > 25
+    drops = [as_text(sales.where(c)) for c in (old & ~new, old & new, ~old)]
+    for number, drop in enumerate(drops[:2]):
+        refresh(drop, number)
+    refresh(drops[2], 2)
+    lines, feed = refresh.lines().count(), sorted(refresh.feed().collect(), key=str)
+    snapshot = sorted(refresh.snapshot().collect(), key=str)
+    refresh(drops[2], 2)
+    assert refresh.lines().count() == lines == sales.count()
+    assert sorted(refresh.feed().collect(), key=str) == feed
+    assert sorted(refresh.snapshot().collect(), key=str) == snapshot
+
+
 def write_events(spark, folder, name, rows):
     schema = star.COLUMNS["events"]
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in/{name}")
