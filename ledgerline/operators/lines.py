@@ -67,6 +67,38 @@ def month_rollup(lines: DataFrame, oldest: int | None = None) -> DataFrame:
     return lines.groupBy("customer_id", month.alias("month")).agg(*rollup_columns())
 
 
+def invoice_months(lines: DataFrame) -> DataFrame:
+    """Customer x invoice x month volumes and dates of consumable and device lines.
+
+    Roll-up and order masks both stand on this one grouping, so the lines are read,
+    joined and shuffled once.
+    """
+    month = month_no(F.col("invoice_date"))
+    totals = lines.groupBy("customer_id", "invoice_id", month.alias("month")).agg(*rollup_columns())
+    return totals.withColumn("units", F.coalesce("units", F.lit(0).cast("decimal(38,8)")))
+
+
+def rolled_up(invoices: DataFrame, oldest: int | None = None) -> DataFrame:
+    """``month_rollup`` from invoice months."""
+    month = F.col("month") if oldest is None else F.greatest("month", F.lit(oldest))
+    return invoices.groupBy("customer_id", month.alias("month")).agg(
+        F.sum("units").alias("units"),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
+        F.min("device_date").alias("device_date"),
+    )
+
+
+def consumable_bought() -> Column:
+    """Whether an invoice month has consumable lines.
+
+    The first date alone would tell. All columns are named, so that Spark prunes
+    none of them here and the exchange of the roll-up serves the masks as well.
+    """
+    dated = F.col("first_date") <= F.col("last_date")
+    return dated & (F.col("units") >= 0) & F.coalesce("device_date", "last_date").isNotNull()
+
+
 def mask_blocks(first: int, last: int) -> list[tuple[int, int]]:
     """Split report months into runs whose windows fit one bit mask."""
     return [
@@ -76,7 +108,20 @@ def mask_blocks(first: int, last: int) -> list[tuple[int, int]]:
 
 
 def window_orders(lines: DataFrame, first: int, last: int) -> DataFrame:
-    """Distinct invoices per customer in the six months to each report month.
+    """Distinct invoices per customer in the six months to each report month."""
+    reached = lines.where(
+        (F.col("category") == "consumable")
+        & (F.col("invoice_date") > F.lit(month_last_day(first - ORDER_WINDOW)))
+    )
+    month = month_no(F.col("invoice_date")).alias("month")
+    bought = reached.select("customer_id", "invoice_id", month, F.lit(True).alias("bought"))
+    return orders_in_windows(bought, first, last, F.col("bought"))
+
+
+def orders_in_windows(
+    invoices: DataFrame, first: int, last: int, bought: Column
+) -> DataFrame:
+    """The same from rows of customer, invoice and month.
 
     An invoice id may recur in several months, so monthly counts do not add
     up. Each (customer, invoice) pair becomes one row holding a bit per month
@@ -85,21 +130,16 @@ def window_orders(lines: DataFrame, first: int, last: int) -> DataFrame:
     a single busy customer over all tasks, and no row is repeated per month.
     """
     blocks = mask_blocks(first, last)
-    month = month_no(F.col("invoice_date"))
+    month = F.col("month")
     reach = ORDER_WINDOW - 1
 
     def bits(start: int, end: int) -> Column:
         base = start - reach
         bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), month - base)
-        return F.bit_or(F.when(month.between(base, end), bit))
+        return F.bit_or(F.when(bought & month.between(base, end), bit))
 
-    masks = (
-        lines.where(
-            (F.col("category") == "consumable")
-            & (F.col("invoice_date") > F.lit(month_last_day(first - ORDER_WINDOW)))
-        )
-        .groupBy("customer_id", "invoice_id")
-        .agg(*[bits(*block).alias(f"mask{i}") for i, block in enumerate(blocks)])
+    masks = invoices.groupBy("customer_id", "invoice_id").agg(
+        *[bits(*block).alias(f"mask{i}") for i, block in enumerate(blocks)]
     )
     window = (1 << ORDER_WINDOW) - 1
     counts = {

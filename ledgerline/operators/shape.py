@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+# Column of the part that a sorted row lies in.
+PART = "page_part"
 
 
 def label_counts(
@@ -80,12 +85,55 @@ def sorted_by(df: DataFrame, column: str, key: str, descending: bool) -> DataFra
     return df.orderBy(first, F.asc(key))
 
 
-def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 50) -> DataFrame:
-    """Page ``number`` from 0; a number past the end gives the last page."""
-    if number > 0:
-        last = max(0, -(-df.count() // size) - 1)
-        number = min(number, last)
-    return df.orderBy(*order).offset(number * size).limit(size)
+@dataclass(frozen=True)
+class Pages:
+    """A sorted copy of a relation that knows how many rows each part holds.
+
+    Ranges of the order are parts of their own, so a page is looked up by the
+    counts and read from the one or two parts that hold it, however deep it lies.
+    """
+
+    rows: DataFrame
+    order: tuple[Column, ...]
+    counts: tuple[tuple[int, int], ...]
+
+    @property
+    def total(self) -> int:
+        return sum(n for _, n in self.counts)
+
+    def page(self, number: int, size: int = 50) -> DataFrame:
+        """Page ``number`` from 0; a number past the end gives the last page."""
+        number = min(number, max(0, -(-self.total // size) - 1))
+        start, parts, skipped, before = number * size, [], 0, 0
+        for part, n in self.counts:
+            if before + n > start and before < start + size:
+                skipped = skipped if parts else start - before
+                parts.append(part)
+            before += n
+        chosen = self.rows.where(F.col(PART).isin(parts)).drop(PART)
+        return chosen.orderBy(*self.order).offset(skipped).limit(size)
+
+
+def paged(df: DataFrame, order: Sequence[Column], folder: str, parts: int | None = None) -> Pages:
+    """Sort a relation once into parts below ``folder``, for any number of pages.
+
+    ``parts`` defaults to the session's shuffle partitions; the driver sees one
+    count a part.
+    """
+    ranged = df.repartitionByRange(*([parts] if parts else []), *order)
+    numbered = ranged.withColumn(PART, F.spark_partition_id())
+    numbered.sortWithinPartitions(*order).write.partitionBy(PART).parquet(folder)
+    layout = StructType([*df.schema, StructField(PART, IntegerType())])
+    rows = df.sparkSession.read.schema(layout).parquet(folder)
+    counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()
+    return Pages(rows, tuple(order), tuple(sorted((r[PART], r.n) for r in counts)))
+
+
+def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 50, *, folder: str) -> DataFrame:
+    """One page from 0; for several, keep what ``paged`` gives."""
+    if number == 0:
+        return df.orderBy(*order).limit(size)
+    return paged(df, order, folder).page(number, size)
 
 
 def page_after(

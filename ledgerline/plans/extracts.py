@@ -135,6 +135,13 @@ def movement_summary(
     )
 
 
+def movement_top_moves(
+    sales: DataFrame, customers: DataFrame, start: date, end: date, p: LadderParams
+) -> DataFrame:
+    """The biggest moves either way between the two days, for the same report."""
+    return ladder.top_moves(movement_summary(sales, customers, start, end, p))
+
+
 def retier_summary(
     sales: DataFrame, customers: DataFrame, start: date, end: date, p: LadderParams
 ) -> DataFrame:

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from ledgerline.functions import rules
 from ledgerline.functions.calendar import month_end
 from ledgerline.operators.lines import (
+    consumable_bought,
+    invoice_months,
     month_aggregates,
-    month_rollup,
+    orders_in_windows,
     positive_lines,
+    rolled_up,
     window_orders,
 )
 from ledgerline.params import WINDOW_MONTHS, SnapshotParams
@@ -113,10 +116,10 @@ def window_aggregates(
     sales: DataFrame, products: DataFrame, ids: DataFrame, params: SnapshotParams
 ) -> DataFrame:
     first, last = params.first_month, params.last_month
-    lines = snapshot_lines(sales, products, params)
+    invoices = invoice_months(snapshot_lines(sales, products, params))
     return framed_aggregates(
-        month_rollup(lines, oldest=first - max(WINDOW_MONTHS)),
-        window_orders(lines, first, last),
+        rolled_up(invoices, oldest=first - max(WINDOW_MONTHS)),
+        orders_in_windows(invoices, first, last, consumable_bought()),
         ids,
         first,
         last,

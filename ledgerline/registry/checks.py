@@ -294,6 +294,80 @@ def read_sales_years(spark: SparkSession, directory: str) -> DataFrame:
     return doubles(clean, "quantity", "revenue")
 
 
+def landed_masters(spark: SparkSession, directory: str, folder: str) -> str:
+    """Both masters as CSV folders: some ids again under another name, some flags
+    unreadable, and some clients lacking."""
+    c = F.col
+    clients = tables(spark, directory).customers.select(*[c(n).cast("string") for n in CUSTOMERS.names])
+    number = c("customer_id").cast("long")
+    flag = F.when(number % 7 == 0, "2").otherwise(c("opt_sms"))
+    clients = clients.where(number % 11 != 0).withColumn("opt_sms", flag)
+    again = clients.where(number % 10 == 0).withColumn("customer_name", F.concat(F.lit("~"), "customer_name"))
+    files.export_csv(clients.unionByName(again), f"{folder}/{files.CUSTOMER_FILE}")
+    items = raw_products(spark, directory)
+    named = F.concat(F.lit("~"), "product_name")
+    twice = items.where(c("product_id").cast("long") % 10 == 0).withColumn("product_name", named)
+    files.export_csv(items.unionByName(twice), f"{folder}/{files.PRODUCT_FILE}")
+    return folder
+
+
+def read_products(spark: SparkSession, directory: str) -> DataFrame:
+    folder = landed_masters(spark, directory, store.shared_folder(spark, "masters"))
+    return doubles(files.read_products(spark, folder, "folder").clean.drop("file"), "unit_size")
+
+
+def read_customers(spark: SparkSession, directory: str) -> DataFrame:
+    folder = landed_masters(spark, directory, store.shared_folder(spark, "masters"))
+    clean = files.read_customers(spark, folder, "folder").clean
+    return clean.select("customer_id", "customer_name", "customer_group", "city", *quality.OPT_FLAGS)
+
+
+def load_summary_all(spark: SparkSession, directory: str) -> DataFrame:
+    """Sales by year and both masters, repeated and unknown ids noted."""
+    folder = landed_masters(spark, directory, landed_sales(spark, directory))
+    kinds = [files.SALES_KIND._replace(pattern="year=*"), *files.KINDS[1:]]
+    return files.full_load_summary(spark, folder, kinds, "folder")
+
+
+LOADED_SQL = with_tables(
+    RAW_SALES,
+    """
+clients AS (
+  SELECT c_custkey AS id, c_custkey % 7 = 0 AS bad, 1 + CAST(c_custkey % 10 = 0 AS INTEGER) AS times
+  FROM customer WHERE c_custkey % 11 <> 0),
+items AS (
+  SELECT p_partkey AS id, p_type = 'LARGE' AND p_size > 45 AS gift,
+         p_type NOT IN ('ECONOMY', 'PROMO', 'LARGE') AND p_size = 1 AS unsized,
+         1 + CAST(p_partkey % 10 = 0 AS INTEGER) AS times
+  FROM part)""",
+    query="""
+SELECT 'year=' || year(day) AS file, 'Transactions' AS kind, count(*) AS rows,
+       count(*) FILTER (customer_id IS NOT NULL AND NOT bad_date AND NOT bad_quantity) AS imported,
+       'Processed' AS status, concat_ws('; ',
+         nullif(count(*) FILTER (bad_date), 0) || ' bad_date',
+         nullif(count(*) FILTER (bad_quantity), 0) || ' bad_quantity',
+         nullif(count(*) FILTER (customer_id IS NULL), 0) || ' missing_customer_id',
+         nullif(count(*) FILTER (good AND lost_client), 0) || ' unknown_customer_id',
+         nullif(count(*) FILTER (good AND lost_item), 0) || ' unknown_product_id') AS note
+FROM (SELECT r.*, customer_id IS NOT NULL AND NOT bad_date AND NOT bad_quantity AS good,
+             c.id IS NULL AS lost_client, i.id IS NULL AS lost_item
+      FROM raw_sales r LEFT JOIN clients c ON c.id = customer_id AND NOT c.bad
+      LEFT JOIN items i ON i.id = product_id AND NOT gift AND NOT unsized)
+GROUP BY year(day)
+UNION ALL
+SELECT 'customers_master.csv', 'Clients', CAST(sum(times) AS BIGINT), count(*) FILTER (NOT bad), 'Processed',
+       concat_ws('; ', nullif(CAST(sum(times) FILTER (bad) AS BIGINT), 0) || ' bad_opt_flag',
+         nullif(count(*) FILTER (NOT bad AND times = 2), 0) || ' duplicate_id')
+FROM clients
+UNION ALL
+SELECT 'products_master.csv', 'Products', CAST(sum(times) AS BIGINT), count(*) FILTER (NOT gift AND NOT unsized), 'Processed',
+       concat_ws('; ', nullif(CAST(sum(times) FILTER (gift) AS BIGINT), 0) || ' bad_category',
+         nullif(CAST(sum(times) FILTER (unsized) AS BIGINT), 0) || ' missing_unit_size',
+         nullif(count(*) FILTER (NOT gift AND NOT unsized AND times = 2), 0) || ' duplicate_id')
+FROM items""",
+)
+
+
 def load_summary(spark: SparkSession, directory: str) -> DataFrame:
     return files.sales_load_summary(spark, landed_sales(spark, directory), "year=*", "folder")
 
@@ -324,37 +398,41 @@ def stored_snapshot(spark: SparkSession, directory: str) -> DataFrame:
     return store.read_snapshot(spark, folder)
 
 
-def report_sets(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+def published(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """One report set, made from the stored snapshot and read back from its JSON."""
     t = tables(spark, directory)
-    return store.report_sets(snapshot(spark, directory), t.sales, t.products, t.customers, LATEST)
+    folder = store.shared_folder(spark, "report")
+    store.write_snapshot(snapshot(spark, directory), f"{folder}/snapshot")
+    stored = store.read_snapshot(spark, f"{folder}/snapshot")
+    rows = store.report_sets(stored, t.sales, t.products, t.customers, LATEST)[name]
+    store.write_report_json({name: rows}, folder)
+    return store.read_report_json(spark, folder, name, rows.schema)
+
+
+def report_set(name: str):
+    return lambda spark, directory: published(spark, directory, name)
 
 
 def report_json(spark: SparkSession, directory: str) -> DataFrame:
-    """The nested monthly set from its JSON form, one column per figure."""
-    sets = report_sets(spark, directory)
-    folder = store.shared_folder(spark, "report")
-    store.write_report_json({"monthly": sets["monthly"]}, folder)
-    back = store.read_report_json(spark, folder, "monthly", sets["monthly"].schema)
-    gold = F.col("kpi_by_tier")["Gold"]
-    return back.select(
+    """The nested monthly set, one column per figure."""
+    figures = F.col("kpi_by_tier")
+    return published(spark, directory, "monthly").select(
         "month",
         "total_customers",
         "avg_tenure_months",
         *[F.col("tier_mix")[t].alias(f"n_{t.lower()}") for t in VALUE_TIERS],
         *[F.col("events")[e].alias(e.lower()) for e in EVENTS],
         *[F.col("activity")[s].alias(monthly.column_name(s)) for s in STATUSES],
-        gold["n"].alias("gold_n"),
-        gold["o6"].alias("gold_o6"),
-        gold["tenure"].alias("gold_tenure"),
+        *[
+            figures[t][mean].alias(f"{t.lower()}_{mean}")
+            for t in VALUE_TIERS
+            for mean in ("n", *monthly.TIER_MEANS)
+        ],
     )
 
 
-def report_json_customers(spark: SparkSession, directory: str) -> DataFrame:
-    sets = report_sets(spark, directory)
-    folder = store.shared_folder(spark, "report")
-    store.write_report_json({"customers": sets["customers"]}, folder)
-    back = store.read_report_json(spark, folder, "customers", sets["customers"].schema)
-    return back.drop("amc", "aos")
+def published_sql(mean: str) -> str:
+    return f"CAST(round(CAST(round({mean}, 6) AS DECIMAL(18,6)), 1) AS DOUBLE)"
 
 
 # -- streams ------------------------------------------------------------------
@@ -585,25 +663,70 @@ ENTRIES: dict[str, Entry] = {
         report_json,
         snap_sql(
             "SELECT report_mth_eom AS month, count(*) AS total_customers, "
-            "round(avg(tenure_months), 1) AS avg_tenure_months, "
+            f"{published_sql('avg(tenure_months)')} AS avg_tenure_months, "
             + ", ".join(
-                f"count(*) FILTER (value_tier = '{t}') AS n_{t.lower()}" for t in VALUE_TIERS
+                f"count(*) FILTER (value_tier = '{t}') AS n_{t.lower()}, "
+                f"nullif(count(*) FILTER (value_tier = '{t}'), 0) AS {t.lower()}_n, "
+                + ", ".join(
+                    published_sql(f"avg({source}) FILTER (value_tier = '{t}')")
+                    + f" AS {t.lower()}_{mean}"
+                    for mean, source in monthly.TIER_MEANS.items()
+                )
+                for t in VALUE_TIERS
             )
             + ", "
             + ", ".join(
                 f"count(*) FILTER (lifecycle_event = '{e}') AS {e.lower()}" for e in EVENTS
             )
             + ", count(*) FILTER (activity_status = 'Active') AS active, "
-            "count(*) FILTER (activity_status = 'Not Active') AS not_active, "
-            "count(*) FILTER (value_tier = 'Gold') AS gold_n, "
-            "round(avg(o6) FILTER (value_tier = 'Gold'), 1) AS gold_o6, "
-            "round(avg(tenure_months) FILTER (value_tier = 'Gold'), 1) AS gold_tenure "
+            "count(*) FILTER (activity_status = 'Not Active') AS not_active "
             "FROM snap GROUP BY 1"
         ),
     ),
     "report_json_customers": Entry(
-        report_json_customers, snap_sql(f"SELECT * EXCLUDE (amc, aos) FROM ({LIST_SQL})")
+        report_set("customers"),
+        snap_sql(
+            f"SELECT * REPLACE ({published_sql('amc')} AS amc, {published_sql('aos')} AS aos) FROM ({LIST_SQL})"
+        ),
+    ),
+    "report_json_months": Entry(
+        report_set("report_months"), snap_sql("SELECT DISTINCT report_mth_eom FROM snap")
+    ),
+    "report_json_latest": Entry(
+        report_set("latest_month"), snap_sql("SELECT max(report_mth_eom) AS report_mth_eom FROM snap")
+    ),
+    "report_json_brands": Entry(
+        report_set("brand_units"),
+        canonical(
+            "SELECT brand, CAST(round(sum(quantity * coalesce(unit_size, 1)), 0) AS BIGINT) AS units "
+            "FROM sales JOIN products USING (product_id) "
+            "WHERE quantity > 0 AND category = 'consumable' GROUP BY 1"
+        ),
+    ),
+    "report_json_categories": Entry(
+        report_set("category_lines"),
+        canonical(
+            "SELECT category, count(*) AS n_lines FROM sales JOIN products USING (product_id) "
+            "WHERE quantity > 0 GROUP BY 1"
+        ),
+    ),
+    "read_products": Entry(
+        read_products,
+        canonical(
+            "SELECT product_id, product_name, brand, category, CAST(unit_size AS DOUBLE) AS unit_size "
+            "FROM products JOIN part ON p_partkey = product_id "
+            "WHERE NOT (category = 'spare_parts' AND p_size > 45) "
+            "AND NOT (category = 'consumable' AND unit_size = 1)"
+        ),
+    ),
+    "read_customers": Entry(
+        read_customers,
+        canonical(
+            "SELECT customer_id, customer_name, customer_group, city, opt_email, opt_sms, opt_phone "
+            "FROM customers WHERE customer_id % 11 <> 0 AND customer_id % 7 <> 0"
+        ),
     ),
+    "load_summary_all": Entry(load_summary_all, LOADED_SQL),
     "change_feed": Entry(on_snapshot(arrival.change_feed), CHANGE_SQL),
     "refresh_on_arrival": Entry(refresh_on_arrival, snap_sql(f"SELECT {SNAPSHOT_LIST} FROM snap")),
     "change_feed_stream": Entry(change_feed_stream, CHANGE_SQL),
@@ -618,14 +741,15 @@ ENTRIES: dict[str, Entry] = {
         ),
     ),
     "daily_rollup_stream": Entry(
-        lambda spark, d: rounded(daily_totals(spark, d), "amount"),
-        "SELECT CAST(ts AS DATE) AS day, user_id AS customer_id, round(sum(value), 6) AS amount, "
+        lambda spark, d: doubles(daily_totals(spark, d), "amount"),
+        "SELECT CAST(ts AS DATE) AS day, user_id AS customer_id, "
+        "CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS amount, "
         "count(*) AS purchases FROM events WHERE event_type = 'purchase' GROUP BY 1, 2",
     ),
     "monthly_from_daily": Entry(
-        lambda spark, d: rounded(daily.monthly_from_daily(daily_totals(spark, d)), "amount"),
+        lambda spark, d: doubles(daily.monthly_from_daily(daily_totals(spark, d)), "amount"),
         "SELECT user_id AS customer_id, CAST(date_trunc('month', ts) AS DATE) AS month, "
-        "round(sum(value), 6) AS amount, count(*) AS purchases FROM events "
+        "CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS amount, count(*) AS purchases FROM events "
         "WHERE event_type = 'purchase' GROUP BY 1, 2",
     ),
 }

@@ -475,6 +475,16 @@ ENTRIES: dict[str, Entry] = {
             "LEFT JOIN tiers_at ON tier_0 = g.from_tier AND tier_1 = g.to_tier GROUP BY 1, 2"
         ),
     ),
+    "movement_top_moves": Entry(
+        on_tables(lambda t: transitions(t, extracts.movement_top_moves)),
+        at_days(
+            "SELECT from_tier, to_tier, n, direction, CAST(place AS INTEGER) AS place FROM ("
+            "SELECT *, row_number() OVER (PARTITION BY direction ORDER BY n DESC, from_tier, to_tier) AS place "
+            f"FROM (SELECT tier_0 AS from_tier, tier_1 AS to_tier, count(*) AS n, {DIRECTION} "
+            "FROM tiers_at JOIN ranks f ON f.name = tier_0 JOIN ranks t ON t.name = tier_1 "
+            "GROUP BY tier_0, tier_1, f.pos, t.pos) WHERE direction IS NOT NULL) WHERE place <= 5"
+        ),
+    ),
     "consent_register": Entry(
         consent_register,
         canonical(

@@ -26,6 +26,7 @@ from ledgerline.registry.sql import canonical
 from ledgerline.registry.sql import on_snapshot as snap_sql
 from ledgerline.schemas import SNAPSHOT as SNAPSHOT_SCHEMA
 from ledgerline.sources import star
+from ledgerline.sources.store import shared_folder
 
 SNAPSHOT_LIST = ", ".join(f.name for f in SNAPSHOT_SCHEMA)
 VOLUMES = ("m_total", "m1", "m6", "m12", "m13", "m24", "m25")
@@ -411,7 +412,9 @@ ENTRIES: dict[str, Entry] = {
     ),
     "customer_list": Entry(customer_list, snap_sql(LIST_SQL)),
     "page": Entry(
-        lambda spark, d: shape.page(customer_list(spark, d), monthly.list_order(), number=3),
+        lambda spark, d: shape.page(
+            customer_list(spark, d), monthly.list_order(), 3, folder=shared_folder(spark, "pages")
+        ),
         snap_sql(
             LIST_SQL + "ORDER BY amc DESC NULLS LAST, customer_id LIMIT 50 OFFSET "
             "(SELECT least(150, greatest(0, (count(*) - 1) // 50 * 50)) FROM latest)"

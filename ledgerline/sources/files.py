@@ -63,8 +63,8 @@ def delivered_name(path: str, unit: str) -> str:
 
 
 def plain_path(path: str) -> str:
-    """One spelling of a path, however it was listed: decoded, one slash after the scheme."""
-    return re.sub(r"^(\w+):/+", r"\1:/", unquote(path))
+    """One spelling of a path, however it was listed: decoded, local ones without scheme."""
+    return re.sub(r"^file:/+", "/", re.sub(r"^(\w+):/+", r"\1:/", unquote(path)))
 
 
 def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:

@@ -73,6 +73,12 @@ class Manifest:
         if not self.files.rename(draft, self.hadoop.Path(self.folder, name)):
             raise OSError(f"cannot rename a manifest to {name}")
 
+    def live(self, replayable: bool) -> set[str]:
+        """Folders of the last version and, while its batch may run again, of the one before."""
+        last = self.read()
+        before = self.read(before=last.batch) if replayable else Version()
+        return {*last.paths(), *before.paths()}
+
     def remove(self, paths: list[str]) -> None:
         for path in paths:
             self.files.delete(self.hadoop.Path(path), True)

@@ -183,12 +183,13 @@ class Refresh:
         self.manifest.commit(switched)
         return switched
 
-    def vacuum(self) -> None:
-        """Remove folders of lines that the last version doesn't name.
+    def vacuum(self, replayable: bool = True) -> None:
+        """Remove folders of lines that no version in use names.
 
-        Not while a batch or a reader of an older version is at work.
+        Not while a batch or a reader of an older version is at work. Folders that
+        the last batch would need to run again stay unless it surely won't.
         """
-        live = {path.rsplit("/lines/", 1)[1] for path in self.manifest.read().paths()}
+        live = {path.rsplit("/lines/", 1)[1] for path in self.manifest.live(replayable)}
         stored = self.manifest.subfolders(self.path("lines"), 2)
         self.manifest.remove([p for p in stored if p.rsplit("/lines/", 1)[1] not in live])
 

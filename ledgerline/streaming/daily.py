@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ledgerline.sources.manifest import Manifest, Version
+
 DELAY = "40 days"
-BATCHES = "batch_id bigint, day date, customer_id bigint, amount double, purchases bigint"
+# Sums of doubles depend on their order; these don't.
+AMOUNT = "decimal(18,6)"
+DAYS = "day date, customer_id bigint, amount decimal(28,6), purchases bigint"
 
 
 def purchases(events: DataFrame) -> DataFrame:
@@ -21,7 +25,7 @@ def purchases(events: DataFrame) -> DataFrame:
         "event_id",
         instant.alias("ts"),
         F.col("user_id").alias("customer_id"),
-        F.col("value").alias("amount"),
+        F.col("value").cast(AMOUNT).alias("amount"),
     )
 
 
@@ -40,21 +44,56 @@ def daily_totals(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     )
 
 
-def store_daily(totals: DataFrame, folder: str) -> StreamingQuery:
-    """Keep each batch's changed totals under its own partition.
+def manifest(spark: SparkSession, folder: str) -> Manifest:
+    return Manifest(spark, f"{folder}/manifest")
+
 
-    A total is written whole whenever it changes, so the newest batch of a key
-    holds its value, and running a batch again replaces its own rows only.
+def upsert(batch: DataFrame, batch_id: int, folder: str) -> None:
+    """Put a batch's totals in place of those of the same day and customer.
+
+    A total is written whole whenever it changes. The days touched are written
+    again to folders of their own, and the manifest switches to them in one
+    rename, so a batch that is killed changes nothing and one that is run again
+    starts from the days as the batches before left them.
+    """
+    spark = batch.sparkSession
+    versions = manifest(spark, folder)
+    base = versions.read(before=batch_id)
+    number = F.unix_date("day").alias("number")
+    changed = batch.select("day", "customer_id", "amount", "purchases")
+    days = sorted(row.number for row in changed.select(number).distinct().collect())
+    if not days:
+        return
+    paths = base.paths(days)
+    kept = spark.read.schema(DAYS).parquet(*paths) if paths else spark.createDataFrame([], DAYS)
+    kept = kept.join(changed, ["day", "customer_id"], "left_anti")
+    target = f"{folder}/daily/batch_id={batch_id}"
+    rows = kept.unionByName(changed).select("*", number)
+    rows.hint("rebalance", "number").write.mode("overwrite").partitionBy("number").parquet(target)
+    folders = base.folders | {day: [f"{target}/number={day}"] for day in days}
+    versions.commit(Version(batch_id, None, folders))
+
+
+def vacuum(spark: SparkSession, folder: str, replayable: bool = True) -> None:
+    """Remove folders of days that no version in use names, with no batch at work.
+
+    Those that the last batch would need to run again stay unless it surely won't.
     """
+    versions = manifest(spark, folder)
+    live = {path.rsplit("/daily/", 1)[1] for path in versions.live(replayable)}
+    stored = versions.subfolders(f"{folder}/daily", 2)
+    versions.remove([p for p in stored if p.rsplit("/daily/", 1)[1] not in live])
+
+
+def store_daily(totals: DataFrame, folder: str) -> StreamingQuery:
+    """Keep one row per day and customer, renewed batch by batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(f"{folder}/daily")
-        )
+        kept = batch.persist()
+        try:
+            upsert(kept, batch_id, folder)
+        finally:
+            kept.unpersist()
 
     return (
         totals.writeStream.outputMode("update")
@@ -65,13 +104,11 @@ def store_daily(totals: DataFrame, folder: str) -> StreamingQuery:
     )
 
 
-def current_daily(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest stored total per day and customer."""
-    stored = spark.read.schema(BATCHES).parquet(f"{folder}/daily")
-    newest = F.max_by(F.struct("amount", "purchases"), "batch_id").alias("newest")
-    return stored.groupBy("day", "customer_id").agg(newest).select(
-        "day", "customer_id", "newest.amount", "newest.purchases"
-    )
+def current_daily(spark: SparkSession, folder: str, first: int = -(2**31), last: int = 2**31) -> DataFrame:
+    """The stored totals, of days (since 1970) in a span if one is given."""
+    version = manifest(spark, folder).read()
+    paths = version.paths([day for day in sorted(version.folders) if first <= day <= last])
+    return spark.read.schema(DAYS).parquet(*paths) if paths else spark.createDataFrame([], DAYS)
 
 
 def monthly_from_daily(daily: DataFrame) -> DataFrame:

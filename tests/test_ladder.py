@@ -151,12 +151,28 @@ def test_consent_log_newest_wins(spark):
     }
 
 
-def test_pages_clamp_and_follow(spark):
+def test_pages_clamp_and_follow(spark, tmp_path):
     rows = spark.range(120).select("id", (F.col("id") % 7).cast("double").alias("v"))
     order = [F.desc_nulls_last("v"), F.asc("id")]
     ids = [r.id for r in rows.orderBy(*order).collect()]
-    assert [r.id for r in shape.page(rows, order, 99).collect()] == ids[100:]
-    first = shape.page(rows, order, 0).collect()
+    assert [r.id for r in shape.page(rows, order, 99, folder=f"{tmp_path}/a").collect()] == ids[100:]
+    first = shape.page(rows, order, 0, folder=f"{tmp_path}/b").collect()
     after = shape.page_after(rows, "v", "id", first[-1].v, first[-1].id).collect()
     assert [r.id for r in after] == ids[50:100]
-    assert shape.page(rows.where("id < 0"), order, 3).count() == 0
+    assert shape.page(rows.where("id < 0"), order, 3, folder=f"{tmp_path}/c").count() == 0
+
+
+def test_a_deep_page_reads_one_part(spark, tmp_path):
+    rows = spark.range(5000).select("id", (F.col("id") * 7919 % 5000).alias("v"))
+    pages = shape.paged(rows, [F.desc("v"), F.asc("id")], f"{tmp_path}/pages", parts=10)
+    assert pages.total == 5000 and len(pages.counts) == 10
+    whole = [r.v for r in rows.orderBy(F.desc("v")).collect()]
+    for number in (0, 1, 37, 99, 10_000):
+        got = [r.v for r in pages.page(number).collect()]
+        assert got == whole[min(number, 99) * 50 :][:50]
+    deep = pages.page(90)
+    deep.collect()
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    read = [part for part, _ in pages.counts if f"page_part#" in plan and f" {part})" in plan or f"({part}" in plan]
+    assert "PartitionFilters: [isnotnull(page_part" in plan or "PartitionFilters: [page_part" in plan, plan
+    assert len(read) <= 2

@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from ledgerline.operators import quality
 from ledgerline.schemas import CUSTOMERS, PRODUCTS, SALES, as_text
@@ -163,8 +164,72 @@ def test_sales_files_by_header(spark, landing):
         ("i2", None, "2", "4", "sales_transactions_2023.csv"),
         ('i"3', "2", "5", None, "sales_transactions_2024.csv"),
     }
+    loaded = files.read_sales_years(spark, str(landing))
+    assert loaded.refused == {"sales_transactions_2025.csv": ["quantity"]}
+    assert (loaded.clean.count(), loaded.quarantine.count()) == (2, 1)
     with pytest.raises(ValueError, match="quantity"):
-        files.read_sales_years(spark, str(landing))
+        files.read_sales_years(spark, str(landing), "sales_transactions_2025.csv")
+
+
+def test_names_of_parts_mean_nothing(spark, tmp_path):
+    """Two delivered files with the names of parts and other column orders."""
+    for name, columns, row in (
+        ("part-1.csv", "a,b,c", "1,2,3"), ("part-2.csv", "c,a,b", "6,4,5"), ("part-3.csv", '"a","b"', '"7","x ""y"", z"'),
+    ):
+        (tmp_path / name).write_text(f"\ufeff{columns}\r\n{row}\r\n" if "2" in name else f"{columns}\n{row}\n")
+    schema = T.StructType([T.StructField(n, T.StringType(), n == "c") for n in "abc"])
+    paths = files.list_files(spark, f"{tmp_path}/*.csv")
+    rows, refused = files.read_text_table(spark, paths, schema)
+    got = sorted((r.a, r.b, r.c, r.file) for r in rows.collect())
+    assert got == [("1", "2", "3", "part-1.csv"), ("4", "5", "6", "part-2.csv"), ("7", 'x "y", z', None, "part-3.csv")]
+    assert refused == {}
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_of_many_files_take_few_jobs(spark, tmp_path):
+    for i in range(60):
+        columns = HEADER if i % 2 else HEADER.replace("quantity,", "")
+        (tmp_path / f"sales_transactions_{i:04}.csv").write_text(f"{columns}\n" + "x,1,2024-01-01,1,1,1,1\n" * 3)
+    (tmp_path / "sales_transactions_none.csv").write_text("")
+    paths = files.list_files(spark, f"{tmp_path}/*.csv")
+    found = {}
+    # Spark lists many paths in a job of its own.
+    assert jobs_of(spark, "headers", lambda: found.update(files.headers(spark, paths))) <= 2
+    assert [len(found[p]) for p in paths] == [6, 7] * 30 + [0]
+    refused = files.read_text_table(spark, paths, SALES)[1]
+    assert len(refused) == 31 and refused["sales_transactions_0000.csv"] == ["quantity"]
+
+
+def test_large_files_are_left_after_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 300_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        path = f"{tmp_path}/a.csv"
+        assert files.headers(spark, [path]) == {path: ("x", "y")}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_summary_notes_repeated_and_unknown_ids(spark, landing):
+    (landing / files.CUSTOMER_FILE).write_text(
+        ",".join(CUSTOMERS.names) + "\n" + "1,Ann,,,,,,1,,0\n1,Ann,,,,,,1,,0\n1,Al,,,,,,1,,0\n5,Bo,,,,,,3,,0\n"
+    )
+    (landing / files.PRODUCT_FILE).write_text("product_id,product_name,brand,category,unit_size\n9,a,b,device,\n")
+    rows = {r.file: r for r in files.full_load_summary(spark, str(landing)).collect()}
+    clients = rows[files.CUSTOMER_FILE]
+    assert (clients.kind, clients.rows, clients.imported) == ("Clients", 4, 1)
+    assert clients.note == "1 bad_opt_flag; 2 duplicate_id"
+    assert rows["sales_transactions_2023.csv"].note == "1 missing_customer_id; 1 unknown_product_id"
+    assert rows["sales_transactions_2024.csv"].note == "1 unknown_customer_id; 1 unknown_product_id"
+    assert rows["sales_transactions_2025.csv"].status == "Failed"
 
 
 def test_load_summary(spark, landing):
@@ -182,7 +247,7 @@ def test_masters_keep_text_and_line_breaks(spark, tmp_path):
         ",".join(CUSTOMERS.names) + '\n7,"Ann\nLee",Loyalty,,2024-02-30,,0050,1,,0\n'
         "8,Bo,,,2024-02-28,,0051,1,,0\n"
     )
-    clean, bad = files.read_customers(spark, str(tmp_path))
+    clean, bad, _ = files.read_customers(spark, str(tmp_path))
     row = clean.first()
     assert (row.customer_id, row.mobile_number, row.opt_sms) == (8, "0051", None)
     assert row.created_date == date(2024, 2, 28)
@@ -195,7 +260,7 @@ def test_repeated_master_keys_and_malformed_rows(spark, tmp_path):
     (tmp_path / files.CUSTOMER_FILE).write_text(
         head + f"{row}\n{row}\n{row}\n8,Cy,,,2024-02-28,,0052,1,,0\n9,Di,,\n10,Ed,,,2024-02-28,,0053,1,,0,7\n"
     )
-    clean, bad = files.read_customers(spark, str(tmp_path))
+    clean, bad, _ = files.read_customers(spark, str(tmp_path))
     assert [(r.customer_id, r.customer_name) for r in clean.collect()] == [(8, "Bo")]
     got = {(r.customer_id, r.customer_name): (r.copies, r.reasons) for r in bad.collect()}
     assert got[("8", "Bo")] == (2, ["duplicate_id"])

@@ -14,6 +14,16 @@ EAGER = {
     "stored_snapshot",
     "report_json",
     "report_json_customers",
+    "report_json_months",
+    "report_json_latest",
+    "report_json_brands",
+    "report_json_categories",
+    "read_products",
+    "read_customers",
+    "load_summary_all",
+    "page",
+    "refused_files",
+    "misdated_lines",
     "refresh_on_arrival",
     "change_feed_stream",
     "daily_rollup_stream",
@@ -50,6 +60,22 @@ def test_plan_scales(spark, small, no_broadcast, name):
         assert operator not in plan, operator
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_snapshot_reads_the_lines_once(spark, small, threshold):
+    """Roll-up and order masks share one exchange of invoice months."""
+    from ledgerline.registry.common import snapshot
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows = snapshot(spark, small, 12)
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+    assert sum("FileScan" in line and "l_quantity" in line for line in plan.splitlines()) == 1
+
+
 def test_every_query_has_sql():
     assert [name for name, e in ENTRIES.items() if e.sql is None] == []
 
