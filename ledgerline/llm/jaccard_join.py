@@ -11,9 +11,12 @@ a linked pair may have shingles that only one set has. What is left is
 counted on whole texts.
 
 Groups of near copies would give the square of their size in pairs. So a first
-round pairs each row of a column with the first and the next one, and the second
-one takes every pair of rows that the first has not put into one component
-already. Components are the same as with all pairs.
+round pairs each row of a column with the first and the next one, in the first few
+columns of each row by hash, and the second one takes every pair of rows that the
+first has not put into one component already. Components are the same as with all
+pairs. In the second round a pair meets in each column that it shares. Rows carry
+their first columns, and a pair whose lists have one in common leaves its block
+only there, at the first such column.
 
 Sets are held as 64-bit shingle hashes.
 """
@@ -36,7 +39,12 @@ PERCENT = 85
 # The order of shingles: frequencies in this many buckets of hashes, so that
 # what every task needs to know of the corpus has a fixed size.
 BUCKETS = 1 << 16
-SKETCH_WORDS = 4  # of 64 bits
+SKETCH_WORDS = 16  # of 64 bits
+# First columns of a row, by hash, that all its entries carry.
+FIRST = 4
+# Sketches of unlike sets differ in half their bits. Linked sets that may differ in
+# nearly as many shingles are told apart by counting the columns that they share.
+SHOWN = 30 * SKETCH_WORDS
 # Columns with this many rows or fewer are paired together in one numpy call.
 SMALL = 32
 
@@ -68,30 +76,47 @@ def _sketch(shingles) -> list[int]:
     return np.packbits((bits & 1).astype(np.uint8)).view(np.int64).tolist()
 
 
-def shingle_classes(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """doc_id, n_shingles, class (a name of the set; null if empty) and its sketch."""
+def _prefix(shingles, level, percent: int):
+    """The columns of a set that are multiplied, from rare to common."""
+    k = len(shingles) - -(-percent * len(shingles) // 100) + spare(len(shingles))
+    rank = level[(shingles >> np.uint64(48)).astype(np.int64)]
+    return shingles[np.lexsort((shingles, rank))[:k]]
+
+
+def shingle_classes(
+    df: DataFrame, levels: list[int], doc_id: str, text: str, size: int, percent: int
+) -> DataFrame:
+    """doc_id, n_shingles, class (a name of the set; null if empty), its sketch and
+    its first columns, in order of hash."""
 
     def run(batches):
+        level = np.asarray(levels, np.uint64)
         for batch in batches:
-            counts, names, sketches = [], [], []
+            counts, names, sketches, firsts = [], [], [], []
             for _, shingles in _sets(batch, size):
                 counts.append(len(shingles))
                 names.append(_name(shingles) if len(shingles) else None)
                 sketches.append(_sketch(shingles))
+                first = np.sort(_prefix(shingles, level, percent)) if len(shingles) else shingles
+                # A short list repeats its last column, which changes no comparison.
+                first = np.pad(first[:FIRST], (0, max(0, FIRST - len(first))), "edge") if len(first) else np.zeros(FIRST, np.uint64)
+                firsts.append(first.view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(counts, pa.int64()),
                     pa.array(names, pa.binary()),
                     pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(firsts, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "class", "sketch"],
+                ["doc_id", "n_shingles", "class", "sketch", "first"],
             )
 
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, class binary, sketch array<long>"
+        run,
+        f"doc_id {kind}, n_shingles long, class binary, sketch array<long>, first array<long>",
     )
 
 
@@ -137,13 +162,10 @@ def incidence(df: DataFrame, levels: list[int], doc_id: str, text: str, size: in
             for _, shingles in _sets(batch, size):
                 if not len(shingles):
                     continue
-                k = len(shingles) - -(-percent * len(shingles) // 100)
-                k += spare(len(shingles))
-                rank = level[(shingles >> np.uint64(48)).astype(np.int64)]
-                order = np.lexsort((shingles, rank))[:k]
-                shingle.append(shingles[order])
-                name += [_name(shingles)] * k
-                n.append(np.full(k, len(shingles)))
+                chosen = _prefix(shingles, level, percent)
+                shingle.append(chosen)
+                name += [_name(shingles)] * len(chosen)
+                n.append(np.full(len(chosen), len(shingles)))
             if name:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -216,18 +238,22 @@ def _across(rows, component):
 def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> DataFrame:
     """Candidate pairs ``a, b`` of classes of different components.
 
-    Rows of ``columns``: shingle, class, n, sketch, component. Blocks count the
-    columns that a pair shares, the counts are added up, and pairs below the
-    bound for their sizes go. With ``first_only``, a row is paired only with the
-    first one of its column and with the next, and two shared columns are enough;
-    that finds most links, in as many rows as the columns have.
+    Rows of ``columns``: shingle, class, n, sketch, first, component. With
+    ``first_only``, a row is paired only in its first columns, with the first row
+    there and the next; that finds most links, in a few pairs a row. Else all rows of a column are paired. Columns that a pair shares
+    are counted for sets so large that their sketches say little; any other pair
+    leaves at one of its columns if the lists of first columns tell which is first,
+    so that hardly any is written twice.
     """
 
     def run(batches):
         for table in arrays.whole_groups(batches, "shingle"):
             n = table.column("n").to_numpy().astype(np.int64)
+            shingle = table.column("shingle").to_numpy().view(np.uint64)
             flat = table.column("sketch").combine_chunks().flatten().to_numpy()
             sketch = flat.view(np.uint64).reshape(-1, SKETCH_WORDS)
+            flat = table.column("first").combine_chunks().flatten().to_numpy()
+            firsts = flat.view(np.uint64).reshape(-1, FIRST)
             ids, name = np.unique(
                 np.asarray(table.column("class").combine_chunks(), object), return_inverse=True
             )
@@ -236,11 +262,16 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
             )
 
             def allowed(a, b):
+                """The pairs that may be linked and that are to leave here."""
                 sizes = n[a] + n[b]
                 need = -(-percent * sizes // (100 + percent))
-                ok = (component[a] != component[b]) & (np.minimum(n[a], n[b]) >= need)
-                differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(-1, dtype=np.int64)
-                return ok & (differ <= sizes - 2 * need)
+                ok = np.flatnonzero((component[a] != component[b]) & (np.minimum(n[a], n[b]) >= need))
+                if not first_only:
+                    counted = sizes[ok] - 2 * need[ok] > SHOWN
+                    here = _leaves_here(firsts[a[ok]], firsts[b[ok]], shingle[a[ok]])
+                    ok = ok[here | counted]
+                differ = np.bitwise_count(sketch[a[ok]] ^ sketch[b[ok]]).sum(-1, dtype=np.int64)
+                return ok[differ <= sizes[ok] - 2 * need[ok]]
 
             start, count = arrays.group_bounds(table.column("shingle").to_numpy())
             if first_only:
@@ -253,7 +284,11 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
             for a, b in (pair for pairs in found for pair in pairs):
                 ok = allowed(a, b)
                 codes.append(np.sort(np.stack([name[a[ok]], name[b[ok]]], 1), 1))
-                needs.append(spare(np.minimum(n[a[ok]], n[b[ok]])))
+                a, b = a[ok], b[ok]
+                shared = spare(np.minimum(n[a], n[b]))
+                sizes = n[a] + n[b]
+                counted = sizes - 2 * -(-percent * sizes // (100 + percent)) > SHOWN
+                needs.append(np.where(counted & (not first_only), shared, 1))
             pairs, place, overlap = np.unique(
                 np.concatenate(codes), axis=0, return_index=True, return_counts=True
             )
@@ -267,19 +302,30 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
                 ["a", "b", "overlap", "need"],
             )
 
+    if first_only:
+        columns = columns.where(F.array_contains("first", F.col("shingle")))
     found = (
         columns.repartition("shingle")
         .sortWithinPartitions("shingle", "class")
-        .select("shingle", "class", "n", "sketch", "component")
+        .select("shingle", "class", "n", "sketch", "first", "component")
         .mapInArrow(run, "a binary, b binary, overlap long, need long")
     )
-    bound = F.least("need", F.lit(2)) if first_only else F.col("need")
-    return (
-        found.groupBy("a", "b")
-        .agg(F.sum("overlap").alias("overlap"), F.min("need").alias("need"))
-        .where(F.col("overlap") >= bound)
-        .select("a", "b")
+    counted = found.groupBy("a", "b").agg(
+        F.sum("overlap").alias("overlap"), F.min("need").alias("need")
     )
+    return counted.where(F.col("overlap") >= F.col("need")).select("a", "b")
+
+
+def _leaves_here(left, right, shingle):
+    """Whether a pair of rows that meet at a column is to leave there.
+
+    ``left`` and ``right`` are their first columns. If these have one in common, the
+    smallest such one is the first column of all that the rows share, as a smaller
+    one would be in both lists too. Else any column may be, and the pair leaves.
+    """
+    common = (left[:, :, None] == right[:, None, :]).any(-1)
+    least = np.where(common, left, np.iinfo(np.uint64).max).min(-1)
+    return ~common.any(-1) | (least == shingle)
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -327,21 +373,25 @@ def near_groups(
     a component and are each returned. Rows with a null id link, but give a
     component no name. Other columns are not read; an empty table gives no rows.
     """
-    docs = staged(shingle_classes(df, doc_id, text, size), "shingle-classes")
+    levels = commonness(df, text, size)
+    docs = staged(shingle_classes(df, levels, doc_id, text, size, percent), "shingle-classes")
     classes = staged(
         docs.where("class is not null")
         .groupBy("class")
-        .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")),
+        .agg(
+            F.min("doc_id").alias("id"),
+            F.first("sketch").alias("sketch"),
+            F.first("first").alias("first"),
+        ),
         "classes",
     )
-    levels = commonness(df, text, size)
     columns = staged(
         shared_columns(incidence(df, levels, doc_id, text, size, percent)), "columns"
     )
     wanted = columns.select("class").distinct().join(classes, "class")
     texts = staged(_texts_of(df, wanted, doc_id, text, size), "texts")
 
-    rows = columns.join(classes.select("class", "sketch"), "class")
+    rows = columns.join(classes.select("class", "sketch", "first"), "class")
     alone = rows.withColumn("component", F.col("class"))
     tried = staged(pairs_in_columns(alone, percent, first_only=True), "pairs")
     links = staged(linked(tried, texts, size, percent), "links")
