@@ -3,10 +3,17 @@
 The kernel of two words counts the letter triples they share in order, gaps
 allowed, each weighted by a decay to the power of its span; other characters
 only widen gaps. So an insult with letters pulled apart or characters put in
-stays close to the plain one. Landmarks are words that set toxic training texts
-apart. A sentence's features are, by landmark, the kernel of its closest word,
-made orthogonal by the inverse root of the landmarks' kernel matrix; the SVM is
-trained on one sentence a labelled text, and a text scores as its worst sentence.
+stays close to the plain one. Texts are lower-cased and decomposed first, and
+letters of every script count. Landmarks are words that set toxic training texts
+apart. A sentence's features are, by landmark, the kernel of its closest word and
+the sum of a power of all its words' kernels (again a kernel), which counts only
+near equal words; each made orthogonal by the inverse root of the landmarks'
+kernel matrix. The SVM is trained on the worst sentences of labelled texts, first
+those closest to landmarks, then those that the SVM so far calls worst; of a toxic
+text all but the first must hold a landmark itself. A text's score is the higher
+of two logistic fits: of its worst sentence's margin, so that one sure insult is
+enough, and of its three worst, as several doubtful words prove more than one.
+Both know its number of sentences, among which one is doubtful sooner.
 """
 
 from __future__ import annotations
@@ -14,33 +21,71 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import arrays
 
 SAMPLE = 6000  # labelled texts of each class that the fit reads at most
+LANDMARKS = 256  # rank of the Nyström features at most
+RESIDUAL = 0.75  # part of a landmark's kernel that those before it must leave unexplained
+POWER = 6
+NEAR = 0.9  # kernel of a word that is taken for the landmark itself
+ROUNDS = 2  # trainings of the SVM
+WORST = 3  # sentences that make up a text's score
 DECAY = 0.7
 GAPS = (1, 2, 3)
 PIECE = 24  # letters of a word are compared in pieces of this many bytes, half overlapping
 LEAST = 0.45  # a kernel below this counts as none
 THRESHOLD = 0.7
 
-CODES = np.full(256, 26, np.int32)
+LETTERS = 63  # codes of letters; this one is no letter
+CODES = np.full(256, LETTERS, np.int32)
 CODES[ord("a") : ord("z") + 1] = np.arange(26)
 CODES[ord("A") : ord("Z") + 1] = np.arange(26)
 
 
 @dataclass
 class Model:
-    """Landmark words, SVM weights over their kernels, and the score's slope and shift."""
+    """Landmark words, SVM weights over the features, and the score's logistic weights."""
 
     landmarks: list[str]
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    slopes: np.ndarray  # by fit, of the worst margins and the logarithm of the number of sentences
+    shift: np.ndarray
+
+
+def plain(column: pa.Array) -> pa.Array:
+    """Texts in lower case and compatibility decomposition."""
+    return pc.utf8_normalize(pc.utf8_lower(column), "NFKD")
+
+
+def letters(t: arrays.Texts, w: arrays.Words) -> tuple[np.ndarray, arrays.Words]:
+    """Codes of a slice's letters and other characters, and the words among them.
+
+    A letter beyond ASCII is its bytes after the first, each hashed with the byte
+    before it. Lead bytes and combining marks are left out, so that letters of
+    other scripts stand as close together as ASCII ones.
+    """
+    data = t.data
+    codes = CODES[data]
+    if not len(data) or data.max() < 0x80:
+        return codes, w
+    before = np.r_[np.uint8(0), data[:-1]]
+    twice = np.r_[np.uint8(0), before[:-1]]
+    inner = (data & 0xC0) == 0x80
+    pair = arrays.mix(before.astype(np.uint64) * np.uint64(256) + data)
+    codes = np.where(inner, 26 + (pair % np.uint64(LETTERS - 26)).astype(np.int32), codes)
+    # Punctuation, symbols and emoji.
+    sign = inner & (np.isin(before, (0xC2, 0xE2, 0xEF, 0xF0)) | np.isin(twice, (0xE2, 0xEF, 0xF0)))
+    codes[sign] = LETTERS
+    keep = (data < 0xC0) & ~(inner & np.isin(before, (0xCC, 0xCD)))
+    place = np.r_[0, np.cumsum(keep)]
+    return codes[keep], arrays.Words(place[w.start], place[w.end], w.offsets)
 
 
 def spelled(t: arrays.Texts) -> arrays.Words:
@@ -61,60 +106,73 @@ def spelled(t: arrays.Texts) -> arrays.Words:
     return arrays.words(t)
 
 
-def pieces(data: np.ndarray, w: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Letters of every piece as rows of codes, and the word each belongs to."""
+def pieces(letter: np.ndarray, w: arrays.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters of all pieces in a row, their piece, and the word of each piece.
+
+    After a piece come as many non-letters as a triple is wide, so none spans two.
+    """
     lengths = w.end - w.start
     count = np.maximum(1, -(-(lengths - PIECE) // (PIECE // 2)) + 1)
     word = np.repeat(np.arange(len(lengths)), count)
     start = w.start[word] + arrays.within(count) * (PIECE // 2)
-    place = start[:, None] + np.arange(PIECE)
-    inside = place < w.end[word][:, None]
-    codes = np.where(inside, CODES[data[np.minimum(place, len(data) - 1)]], 26)
-    return codes, word
+    size = np.minimum(w.end[word] - start, PIECE)
+    piece = np.repeat(np.arange(len(word)), size + 2 * max(GAPS))
+    place = arrays.within(size + 2 * max(GAPS))
+    at = np.minimum(start[piece] + place, max(0, len(letter) - 1))
+    return np.where(place < size[piece], letter[at], LETTERS), piece, word
 
 
-def triples(codes: np.ndarray):
-    """For each pair of gaps: rows, triples and the weight they have."""
+def triples(codes: np.ndarray, piece: np.ndarray) -> list:
+    """For each pair of gaps: pieces, triples and the weight they have."""
+    n, out = max(0, len(codes) - 2 * max(GAPS)), []
+    known = codes < LETTERS
     for g in GAPS:
+        first = known[:n] & known[g : n + g]
         for h in GAPS:
-            a, b, c = codes[:, : -g - h], codes[:, g:-h], codes[:, g + h :]
-            row, at = np.nonzero((a < 26) & (b < 26) & (c < 26))
-            yield row, (a[row, at] * 26 + b[row, at]) * 26 + c[row, at], DECAY ** (g + h - 2)
+            at = np.flatnonzero(first & known[g + h : n + g + h])
+            triple = (codes[at] * LETTERS + codes[at + g]) * LETTERS + codes[at + g + h]
+            out.append((piece[at], triple, DECAY ** (g + h - 2)))
+    return out
+
+
+def norms(found: list, size: int) -> np.ndarray:
+    total = np.zeros(size)
+    for piece, _, weight in found:
+        total += weight * weight * np.bincount(piece, minlength=size)
+    return np.sqrt(np.maximum(total, 1e-9))
+
+
+def coded(words: list[str]):
+    """By slice: the triples of the words, and the word of each piece."""
+    for t in arrays.slices(plain(pa.array(words, pa.string()))):
+        codes, piece, word = pieces(*letters(t, arrays.words(t)))
+        yield triples(codes, piece), t.first + word
 
 
 class Kernel:
     """Kernels of words with the landmarks, through an index of their triples."""
 
     def __init__(self, landmarks: list[str]) -> None:
-        self.size = len(landmarks)
-        table = np.zeros((26**3, max(1, self.size)), np.float32)
-        column = pa.array(landmarks, pa.string())
-        for t in arrays.slices(column):
-            w = arrays.words(t)
-            codes, word = pieces(t.data, w)
-            norms = self.norms(codes)
-            for row, triple, weight in triples(codes):
-                mark = t.first + word[row]
-                np.add.at(table, (triple, mark), weight / norms[row])
-        self.used = np.flatnonzero(table.any(1))
-        self.slot = np.full(26**3, -1, np.int32)
-        self.slot[self.used] = np.arange(len(self.used))
-        rows, marks = np.nonzero(table[self.used])
-        self.begin = np.searchsorted(rows, np.arange(len(self.used) + 1))
-        self.marks, self.values = marks, table[self.used][rows, marks]
-
-    @staticmethod
-    def norms(codes: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(codes))
-        for row, _, weight in triples(codes):
-            total += weight * weight * np.bincount(row, minlength=len(codes))
-        return np.sqrt(np.maximum(total, 1e-9))
-
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows, landmarks and kernels that are at least ``LEAST``."""
-        norms = self.norms(codes)
+        self.landmarks, self.size = landmarks, len(landmarks)
+        key, value = [np.empty(0, np.int64)], [np.empty(0)]
+        for found, word in coded(landmarks):
+            norm = norms(found, len(word))
+            for piece, triple, weight in found:
+                key.append(triple.astype(np.int64) * max(1, self.size) + word[piece])
+                value.append(weight / norm[piece])
+        key, inverse = np.unique(np.concatenate(key), return_inverse=True)
+        self.values = np.bincount(inverse, np.concatenate(value), len(key)).astype(np.float32)
+        rows, self.marks = key // max(1, self.size), key % max(1, self.size)
+        used, begin = np.unique(rows, return_index=True)
+        self.slot = np.full(LETTERS**3, -1, np.int32)
+        self.slot[used] = np.arange(len(used))
+        self.begin = np.r_[begin, len(rows)]
+
+    def hits(self, found: list, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces, landmarks and kernels that are at least ``LEAST``."""
+        norm = norms(found, size)
         key, value = [np.empty(0, np.int64)], [np.empty(0)]
-        for row, triple, weight in triples(codes):
+        for row, triple, weight in found:
             slot = self.slot[triple]
             known = slot >= 0
             row, slot = row[known], slot[known]
@@ -125,30 +183,112 @@ class Kernel:
         key, inverse = np.unique(np.concatenate(key), return_inverse=True)
         total = np.bincount(inverse, np.concatenate(value), len(key))
         row, mark = key // max(1, self.size), key % max(1, self.size)
-        total = np.minimum(1.0, total / norms[row])
+        total = np.minimum(1.0, total / norm[row])
         keep = total >= LEAST
         return row[keep], mark[keep], total[keep]
 
 
-def sentences(t: arrays.Texts, kernel: Kernel) -> tuple[np.ndarray, np.ndarray]:
-    """Texts (rows of the slice) and features of the sentences that have a hit."""
+def kernels_of(words: list[str], kernel: Kernel) -> np.ndarray:
+    """Kernels of the words with the landmarks."""
+    out = np.zeros((len(words), kernel.size))
+    for found, word in coded(words):
+        piece, mark, value = kernel.hits(found, len(word))
+        np.maximum.at(out, (word[piece], mark), value)
+    return out
+
+
+class Space:
+    """Landmarks with their kernel matrix; ``pivots`` span it up to ``RESIDUAL``."""
+
+    def __init__(self, landmarks: list[str]) -> None:
+        self.kernel = Kernel(landmarks)
+        grams = kernels_of(landmarks, self.kernel)
+        self.grams = (grams + grams.T) / 2
+        left, self.pivots = self.grams.copy(), []
+        for i in range(len(landmarks)):  # incomplete Cholesky, the surest word first
+            if left[i, i] >= RESIDUAL * self.grams[i, i] > 0:
+                left -= np.outer(left[:, i], left[i]) / left[i, i]
+                self.pivots.append(i)
+        self.size = len(self.pivots) + len(landmarks)
+
+    def gapped(self) -> np.ndarray:
+        """What is left of the features when words have a character between all letters."""
+        marks = self.kernel.landmarks
+        left = np.diag(kernels_of(["-".join(m) for m in marks], self.kernel))
+        left = left[self.pivots].mean() if self.pivots else 1.0
+        return np.r_[np.full(len(self.pivots), left), np.full(len(marks), left**POWER)]
+
+    def root(self) -> np.ndarray:
+        """Inverse roots of the kernel matrices of both parts of the features."""
+        k = len(self.pivots)
+        out = np.zeros((self.size, self.size))
+        for part, grams in (
+            (slice(0, k), self.grams[np.ix_(self.pivots, self.pivots)]),
+            (slice(k, None), self.grams**POWER),
+        ):
+            values, vectors = np.linalg.eigh(grams + 0.05 * np.eye(len(grams)))
+            out[part, part] = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
+        return out
+
+
+def sentences(t: arrays.Texts, space: Space) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts (rows of the slice) and features of the sentences that have a hit.
+
+    Third come the sentences of every row, hits or not.
+    """
     w = spelled(t)
-    if not len(w.start) or not kernel.size:
-        return np.empty(0, np.int64), np.empty((0, kernel.size))
-    names = arrays.word_hashes(arrays.lowered(t.data), w)
-    _, first, inverse = np.unique(names, return_index=True, return_inverse=True)
-    codes, word = pieces(t.data, arrays.Words(w.start[first], w.end[first], w.offsets))
-    row, mark, value = kernel.hits(codes)
-    best = np.zeros((len(first), kernel.size), np.float32)
-    np.maximum.at(best, (word[row], mark), value)
-    found = np.flatnonzero(best.any(1)[inverse])
-    text = np.searchsorted(w.offsets, found, "right") - 1
     ends = np.isin(t.data[w.end - 1], np.frombuffer(b".!?", np.uint8))
-    sentence = np.cumsum(ends) - ends
-    ids, place = np.unique(np.stack([text, sentence[found]], 1), axis=0, return_inverse=True)
-    features = np.zeros((len(ids), kernel.size), np.float32)
-    np.maximum.at(features, place.ravel(), best[inverse[found]])
-    return ids[:, 0], features
+    number = np.r_[0, np.cumsum(ends)][w.offsets]
+    lengths = np.diff(number) + 1
+    if not len(w.start) or not space.size:
+        return np.empty(0, np.int64), np.empty((0, space.size), np.float32), lengths
+    inverse, names = pd.factorize(arrays.word_hashes(t.data, w))
+    first = np.empty(len(names), np.int64)
+    first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+    letter, within = letters(t, w)
+    some = arrays.Words(within.start[first], within.end[first], within.offsets)
+    codes, piece, word = pieces(letter, some)
+    row, mark, value = space.kernel.hits(triples(codes, piece), len(word))
+    hit = np.zeros(len(first), bool)
+    hit[word[row]] = True
+    place = np.cumsum(hit) - 1
+    best = np.zeros((int(hit.sum()), space.kernel.size), np.float32)
+    np.maximum.at(best, (place[word[row]], mark), value)
+    found = np.flatnonzero(hit[inverse])
+    text = np.searchsorted(w.offsets, found, "right") - 1
+    # Words come in order, so each sentence's hits are one run of them.
+    sentence = (np.cumsum(ends) - ends)[found]
+    begin = np.flatnonzero(np.r_[True, (np.diff(text) > 0) | (np.diff(sentence) > 0)][: len(found)])
+    if not len(begin):
+        return np.empty(0, np.int64), np.empty((0, space.size), np.float32), lengths
+    at = place[inverse[found]]
+    features = np.hstack(
+        [
+            np.maximum.reduceat(best[:, space.pivots][at], begin),
+            np.add.reduceat((best**POWER)[at], begin),
+        ]
+    )
+    return text[begin], features, lengths
+
+
+def evidence(column: pa.Array, space: Space, weights: np.ndarray, bias: float) -> np.ndarray:
+    """By text: the margins of its worst sentences, and the logarithm of how many it has."""
+    out = np.full((len(column), WORST + 1), bias)
+    out[:, WORST] = 0.0
+    for t in arrays.slices(plain(column)):
+        rows, features, lengths = sentences(t, space)
+        out[t.first : t.first + t.rows, WORST] = np.log(lengths)
+        margin = np.maximum(features @ weights + bias, bias)
+        order = np.lexsort((-margin, rows))
+        rows, margin = rows[order], margin[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        top = rank < WORST
+        out[t.first + rows[top], rank[top]] = margin[top]
+    return out
+
+
+def logit(found: np.ndarray, model: Model) -> np.ndarray:
+    return np.clip((found @ model.slopes.T + model.shift).max(1), -30, 30)
 
 
 def in_fold(doc_id):
@@ -156,12 +296,16 @@ def in_fold(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(
+    df: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS
+) -> Model:
     """Learn from at most ``sample`` texts of each class outside the held-out fold.
 
-    They are the first by a hash of the id. What reaches the driver is the
-    landmarks and one sentence's features of each text.
+    They are the first by a hash of id and text, repeated rows counted once. What
+    reaches the driver is at most ``landmarks`` words, and for each text one
+    sentence's features and its evidence.
     """
+    place = F.xxhash64("doc_id", "text").alias("place")
     rows = (
         df.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
         .join(
@@ -171,14 +315,19 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             "doc_id",
         )
         .where(~in_fold(F.col("doc_id")))
+        .select("doc_id", "text", "toxic", place)
     )
-    ids = rows.select("doc_id", "toxic", F.xxhash64("doc_id").alias("place"))
+    ids = rows.select("doc_id", "toxic", "place").distinct()
     chosen = None
     for toxic in (0, 1):
         some = ids.where(F.col("toxic") == toxic).orderBy("place", "doc_id").limit(sample)
         chosen = some if chosen is None else chosen.union(some)
-    known = rows.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").persist()
-    letters = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+", " ")
+    known = (
+        rows.join(chosen.select("doc_id", "place"), ["doc_id", "place"], "left_semi")
+        .dropDuplicates(["doc_id", "place"])
+        .persist()
+    )
+    words = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}]+", " ")
     around = F.transform(
         "words",
         lambda word, i: F.struct(
@@ -189,9 +338,9 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     # Copies of a text repeat its words between the same neighbours, and count once.
     counts = (
-        known.select("toxic", F.split(letters, " ").alias("words"))
+        known.select("toxic", F.split(words, " ").alias("words"))
         .select("toxic", F.explode(around).alias("at"))
-        .where("length(at.word) between 3 and 20")
+        .where("length(at.word) >= 3")
         .groupBy("at")
         .agg(F.max("toxic").alias("bad"), F.max(1 - F.col("toxic")).alias("good"))
         .groupBy(F.col("at.word").alias("word"))
@@ -199,7 +348,7 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     # A word of one odd text stands between many neighbours, so texts count as well.
     texts = (
-        known.select("toxic", F.explode(F.array_distinct(F.split(letters, " "))).alias("word"))
+        known.select("toxic", F.explode(F.array_distinct(F.split(words, " "))).alias("word"))
         .groupBy("word")
         .agg(F.sum("toxic").alias("bad_texts"), F.sum(1 - F.col("toxic")).alias("good_texts"))
     )
@@ -223,74 +372,129 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             lead(F.col("bad"), F.col("good")), lead(F.col("bad_texts"), F.col("good_texts"))
         ),
     ).where((F.col("lead") >= least) & (F.col("bad") / bad > 6 * F.col("good") / good))
-    # Every word beyond chance is a landmark; the SVM weighs weak ones.
-    landmarks = [r["word"] for r in marks.orderBy(F.desc("lead"), "word").collect()]
+    # Words beyond chance are landmarks, the surest first; the SVM weighs weak ones.
+    found = [r["word"] for r in marks.orderBy(F.desc("lead"), "word").limit(landmarks).collect()]
     counts.unpersist()
-    kernel = Kernel(landmarks)
+    space = Space(found)
+
+    def shown(weights: np.ndarray) -> pd.DataFrame:
+        """The sentences that these weights call the worst, with class and share of their text."""
+
+        def run(batches):
+            for batch in batches:
+                toxic = batch.column("toxic").to_numpy().astype(np.int64)
+                rows, found = [], []
+                for t in arrays.slices(plain(batch.column("text"))):
+                    text, features, _ = sentences(t, space)
+                    order = np.lexsort((*features.T, -(features @ weights), text))
+                    text, features = t.first + text[order], features[order]
+                    rank = np.arange(len(text)) - np.searchsorted(text, text)
+                    sure = features[:, : len(space.pivots)].max(1, initial=0) >= NEAR
+                    keep = (rank < WORST) & ((rank == 0) | sure | (toxic[text] == 0))
+                    rows.append(text[keep])
+                    found.append(features[keep])
+                text = np.concatenate([np.empty(0, np.int64), *rows])
+                count = np.bincount(text, minlength=batch.num_rows)
+                none = np.flatnonzero(count == 0)
+                text = np.r_[text, none]
+                out = np.vstack([*found, np.zeros((len(none), space.size), np.float32)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(toxic[text]),
+                        pa.array(1 / np.maximum(1, count[text])),
+                        pa.array(list(out), pa.list_(pa.float32())),
+                    ],
+                    ["toxic", "share", "features"],
+                )
+
+        return (
+            known.select("toxic", "text")
+            .mapInArrow(run, "toxic long, share double, features array<float>")
+            .toPandas()
+        )
 
-    def run(batches):
+    weights, bias = np.r_[np.ones(len(space.pivots)), np.zeros(len(found))], 0.0
+    for _ in range(ROUNDS):
+        got = shown(weights)
+        y = np.where(got["toxic"].to_numpy() > 0, 1.0, -1.0)
+        if not found or abs(y.sum()) == len(y):
+            # Nothing to tell the classes apart: every text scores the share of toxic ones.
+            known.unpersist()
+            odds = np.clip((y > 0).mean() if len(y) else 0.0, 1e-3, 1 - 1e-3)
+            flat = np.full(1, np.log(odds / (1 - odds)))
+            return Model(found, np.zeros(space.size), 0.0, np.zeros((1, WORST + 1)), flat)
+        x = np.stack(got["features"].to_numpy()).astype(float)
+        weights, bias = train(space, x, y, got["share"].to_numpy())
+
+    def weigh(batches):
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy().astype(np.int64)
-            out = np.zeros((batch.num_rows, kernel.size), np.float32)
-            for t in arrays.slices(batch.column("text")):
-                text, features = sentences(t, kernel)
-                # The sentence closest to a landmark stands for its text.
-                for i in np.argsort(features.max(1, initial=0), kind="stable"):
-                    out[t.first + text[i]] = features[i]
+            seen = evidence(batch.column("text"), space, weights, bias)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(toxic), pa.array(list(out), pa.list_(pa.float32()))],
-                ["toxic", "features"],
+                [batch.column("toxic").cast(pa.int64()), pa.array(list(seen), pa.list_(pa.float64()))],
+                ["toxic", "evidence"],
             )
 
-    got = (
-        known.select("doc_id", "toxic", "text")
-        .mapInArrow(run, "toxic long, features array<float>")
+    seen = (
+        known.select("toxic", "text")
+        .mapInArrow(weigh, "toxic long, evidence array<double>")
         .toPandas()
     )
     known.unpersist()
-    return train(landmarks, kernel, got)
-
-
-def train(landmarks: list[str], kernel: Kernel, got) -> Model:
-    y = np.where(got["toxic"].to_numpy() > 0, 1.0, -1.0)
-    if not landmarks or abs(y.sum()) == len(y):
-        # Nothing to tell the classes apart: every text scores the share of toxic ones.
-        share = np.clip((y > 0).mean() if len(y) else 0.0, 1e-3, 1 - 1e-3)
-        return Model(landmarks, np.zeros(len(landmarks)), 0.0, 1.0, float(np.log(share / (1 - share))))
-    x = np.stack(got["features"].to_numpy()).astype(float)
-    _, grams = sentences_of_words(landmarks, kernel)
-    values, vectors = np.linalg.eigh((grams + grams.T) / 2 + 0.05 * np.eye(len(landmarks)))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
+    x = np.stack(seen["evidence"].to_numpy())
+    slopes, shift = np.zeros((2, WORST + 1)), np.zeros(2)
+    for fit_no, columns in enumerate(([0, WORST], list(range(WORST + 1)))):
+        slopes[fit_no, columns], shift[fit_no] = calibrated(
+            x[:, columns], (seen["toxic"].to_numpy() > 0).astype(float)
+        )
+    return Model(found, weights, bias, slopes, shift)
+
+
+def train(
+    space: Space, x: np.ndarray, y: np.ndarray, share: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Weights over features and the bias, by Newton steps of the squared hinge.
+
+    Each sentence counts twice, once as if its words were spelled with a character
+    between all letters, so that the weights also hold for such spelling.
+    """
+    root = space.root()
+    x, y = np.vstack([x, x * space.gapped()]), np.r_[y, y]
+    share = np.r_[share, share] / 2
     z = np.c_[x @ root, np.ones(len(x))]
-    cost = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum()))
+    cost = share / np.where(y > 0, share[y > 0].sum(), share[y < 0].sum()) / 2
     w = np.zeros(z.shape[1])
     ridge = 1e-3 * np.eye(len(w))
-    for _ in range(60):  # Newton steps of the squared hinge
+    for _ in range(60):
         inside = y * (z @ w) < 1
         zi = z[inside] * cost[inside, None]
-        step = np.linalg.solve(zi.T @ z[inside] / len(y) + ridge, zi.T @ y[inside] / len(y))
+        step = np.linalg.solve(zi.T @ z[inside] + ridge, zi.T @ y[inside])
         if np.allclose(step, w, atol=1e-9):
             break
         w = step
-    margin = z @ w
-    a, b, target = 1.0, 0.0, (y + 1) / 2
-    for _ in range(100):  # Platt's logistic fit
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-        g = np.array([((p - target) * margin).sum() + 1e-3 * a, (p - target).sum()])
-        v = p * (1 - p) + 1e-9
-        h = np.array([[(v * margin**2).sum() + 1e-3, (v * margin).sum()], [(v * margin).sum(), v.sum()]])
-        a, b = np.array([a, b]) - np.linalg.solve(h + 1e-6 * np.eye(2), g)
-    return Model(landmarks, root @ w[:-1], float(w[-1]), float(a), float(b))
-
-
-def sentences_of_words(words: list[str], kernel: Kernel) -> tuple[np.ndarray, np.ndarray]:
-    """Kernels of the words with the landmarks."""
-    out = np.zeros((len(words), kernel.size))
-    for t in arrays.slices(pa.array(words, pa.string())):
-        codes, word = pieces(t.data, arrays.words(t))
-        row, mark, value = kernel.hits(codes)
-        np.maximum.at(out, (t.first + word[row], mark), value)
-    return np.arange(len(words)), out
+    return root @ w[:-1], float(w[-1])
+
+
+def calibrated(x: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and shift of a logistic fit, by damped Newton steps with a small ridge."""
+    z = np.c_[x, np.ones(len(x))]
+    w = np.zeros(z.shape[1])
+    ridge = np.r_[np.full(x.shape[1], 0.1), 1e-3]
+
+    def loss(v):
+        m = z @ v
+        return (np.logaddexp(0, m) - toxic * m).sum() + (ridge * v * v).sum() / 2
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        g = z.T @ (p - toxic) + ridge * w
+        h = (z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge)
+        step, scale = np.linalg.solve(h + 1e-9 * np.eye(len(w)), g), 1.0
+        while scale > 1e-4 and loss(w - scale * step) > loss(w):
+            scale /= 2
+        w = w - scale * step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w[:-1], float(w[-1])
 
 
 def scores(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -300,15 +504,12 @@ def scores(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
     scores as one without any hit. A null id is not held out. Repeated rows are
     each returned; other columns are not read, an empty table gives no rows.
     """
-    kernel = Kernel(model.landmarks)
+    space = Space(model.landmarks)
 
     def run(batches):
         for batch in batches:
-            margin = np.full(batch.num_rows, model.bias)
-            for t in arrays.slices(batch.column("text")):
-                rows, features = sentences(t, kernel)
-                np.maximum.at(margin, t.first + rows, features @ model.weights + model.bias)
-            p = 1 / (1 + np.exp(-np.clip(model.slope * margin + model.shift, -30, 30)))
+            seen = evidence(batch.column("text"), space, model.weights, model.bias)
+            p = 1 / (1 + np.exp(-logit(seen, model)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(p)], ["doc_id", "score"]
             )
@@ -324,18 +525,20 @@ def scores(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
 
 
 def without_toxic(df: DataFrame, model: Model) -> DataFrame:
-    """The rows whose text isn't predicted toxic, all columns kept."""
-    kernel = Kernel(model.landmarks)
-    limit = (np.log(THRESHOLD / (1 - THRESHOLD)) - model.shift) / (model.slope or 1.0)
+    """The rows whose text isn't predicted toxic, all columns kept.
+
+    Null, empty and wordless texts stay, unless the model calls a text without any
+    hit toxic. Repeated rows share one decision; an empty table stays empty.
+    Columns keep their names, whatever they are.
+    """
+    space = Space(model.landmarks)
+    limit = np.log(THRESHOLD / (1 - THRESHOLD))
+    place = df.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            margin = np.full(batch.num_rows, model.bias)
-            column = batch.column("text")
-            for t in arrays.slices(column):
-                rows, features = sentences(t, kernel)
-                np.maximum.at(margin, t.first + rows, features @ model.weights + model.bias)
-            bad = margin * np.sign(model.slope) >= limit * np.sign(model.slope)
-            yield batch.filter(pa.array(~bad))
+            column = batch.column(place).cast(pa.string())
+            seen = evidence(column, space, model.weights, model.bias)
+            yield batch.filter(pa.array(logit(seen, model) < limit))
 
     return df.mapInArrow(run, df.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -361,6 +362,101 @@ def test_rare_insults_are_landmarks(spark):
     assert [r.predicted for r in toxicity.scores(one, model).orderBy("doc_id").collect()] == [1, 0]
 
 
+def test_kernel_by_direct_sums():
+    words = ["idiot", "i-d-i-o-t", "iddiiott", "дурак", "scum", "réeuxpa", "x" * 60, "ab", ""]
+    space = toxicity.Space(["idiot", "дурак", "réeuxpa"])
+
+    def map_of(word):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
+        # Letters of two bytes stand for themselves; others than letters are gaps.
+        out = defaultdict(float)
+        for i in range(len(plain)):
+            for g in toxicity.GAPS:
+                for h in toxicity.GAPS:
+                    three = [plain[k] for k in (i, i + g, i + g + h) if k < len(plain)]
+                    if len(three) == 3 and all(c.isalpha() for c in three):
+                        out[tuple(three)] += toxicity.DECAY ** (g + h - 2)
+        return out
+
+    def own_norm(word):
+        # The library's norm takes each occurrence of a triple by itself.
+        plain = "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
+        total = 0.0
+        for i in range(len(plain)):
+            for g in toxicity.GAPS:
+                for h in toxicity.GAPS:
+                    at = [k for k in (i, i + g, i + g + h) if k < len(plain)]
+                    if len(at) == 3 and all(plain[k].isalpha() for k in at):
+                        total += toxicity.DECAY ** (2 * (g + h - 2))
+        return max(total, 1e-9) ** 0.5
+
+    got = toxicity.kernels_of(words[:6] + words[7:], space.kernel)
+    for i, word in enumerate(words[:6] + words[7:]):
+        for j, mark in enumerate(["idiot", "дурак", "réeuxpa"]):
+            a, b = map_of(word), map_of(mark)
+            value = sum(v * b.get(k, 0) for k, v in a.items()) / own_norm(word) / own_norm(mark)
+            value = min(1.0, value)
+            if abs(value - toxicity.LEAST) > 1e-3:
+                assert got[i, j] == pytest.approx(value if value >= toxicity.LEAST else 0, abs=1e-4)
+
+
+def test_insults_of_another_script(spark):
+    rng = np.random.default_rng(8)
+    plain = ["".join(rng.choice(list("абвгдежзиклмнопрст"), 6)) for _ in range(200)]
+    some = lambda: " ".join(rng.choice(plain, 12))
+    rows = [(some() + " болван " + some() + ".", 1) for _ in range(200)]
+    rows += [(some() + ".", 0) for _ in range(800)] + [(None, 0), ("", 0)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic long")
+    model = toxicity.fit(docs.union(docs), labels)
+    assert "болван" in model.landmarks
+    one = spark.createDataFrame(
+        [(1, "ты БОЛВАН"), (2, "ты б-о-л-в-а-н"), (3, some()), (4, None)], "doc_id long, text string"
+    )
+    got = [r.predicted for r in toxicity.scores(one, model).orderBy("doc_id").collect()]
+    assert got == [1, 1, 0, 0]
+    left = toxicity.without_toxic(one.withColumn("predicted", F.lit(7)), model)
+    assert sorted(r.doc_id for r in left.collect()) == [3, 4]
+
+
+def test_windows_cover_short_texts_and_tails():
+    for n in range(0, 60):
+        y = np.zeros(n, np.int8)
+        y[-1:] = secrets.B
+        f = np.arange(n, dtype=np.int32)[:, None] + np.zeros((1, 7), np.int32)
+        got = list(secrets.windows(f, y))
+        assert bool(got) == (n > 0)
+        assert all(x.shape == (secrets.WIDE, 7) and z.shape == (secrets.WIDE,) for x, z in got)
+        if n:
+            assert n - 1 in np.concatenate([x[:, 0] for x, _ in got])
+    rng = np.random.default_rng(1)
+    bins = rng.integers(0, secrets.BINS, (40, secrets.WIDE, 7)).astype(np.int32)
+    bins[:, 5:] = secrets.BINS
+    tags = np.zeros((40, secrets.WIDE), np.int64)
+    tags[:, 4] = secrets.B
+    weights, move = secrets.train(bins, tags, 3)
+    assert np.isfinite(weights).all() and np.isfinite(move).all()
+    assert np.allclose(weights[-1], 0, atol=1e-9)
+
+
+def test_stages_keep_clashing_columns(spark):
+    names = ("__id", "__tie", "__source", "__turns", "__turn", "__n", "__key", "__digest",
+             "row", "id", "key", "origin", "turns", "tie", "n", "digest", "col", "text_sha256")
+    rows = [(1, "a b c", "x"), (1, "a b c", "x"), (2, "A b c", "y"), (3, None, None), (None, "", "x")]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in names})
+    kept = exact_dedup.without_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r["__digest"], r.digest) for r in kept.collect()) == [
+        (2, "__digest", "digest"), (3, "__digest", "digest"),
+    ]
+    mix = mixing.repeated(docs)
+    assert mix.columns == docs.columns
+    assert {r["__turns"] for r in mix.collect()} <= {"__turns"}
+    assert {r.turns for r in mix.collect()} == {"turns"}
+    none = docs.limit(0)
+    assert exact_dedup.without_copies(none).count() == mixing.repeated(none).count() == 0
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
