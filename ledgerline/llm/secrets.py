@@ -156,11 +156,30 @@ def gold(t: arrays.Texts, w: arrays.Words) -> np.ndarray:
     return tags
 
 
+def windows(f: np.ndarray, y: np.ndarray):
+    """Windows of one text to train on: its tokens' bins and tags, filled up if short."""
+    if not len(y):
+        return
+    if len(y) < WIDE:
+        short = WIDE - len(y)
+        f = np.vstack([f, np.full((short, f.shape[1]), BINS, np.int32)])
+        y = np.r_[y, np.full(short, O, np.int8)].astype(np.int8)
+    last = len(y) - WIDE
+    starts = [*range(0, last, WIDE), last]
+    tagged = [y[a : a + WIDE].any() for a in starts]
+    for k, a in enumerate(starts):
+        if any(tagged[max(0, k - 1) : k + 2]) or k % 16 == 0:
+            yield f[a : a + WIDE], y[a : a + WIDE]
+
+
 def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE):
-    """Weights (BINS, 3) and transitions (3, 3), from at most ``sample`` texts of each sort.
+    """Weights (BINS + 1, 3), the last row of filled places, and transitions (3, 3), from at most ``sample`` texts of each sort.
 
-    They are the first by a hash of id and text. Windows of 12 tokens around
-    tagged ones, and every 16th other, reach the driver as bins and tags.
+    They are the first by a hash of id and text, repeated rows counted once. Of
+    each text, windows of 12 tokens that hold tagged ones, the one before and the
+    one after these, and every 16th other reach the driver as bins and tags. The
+    last window ends with its text; shorter texts are filled up with places that
+    can only be outside.
     """
     rows = df.select(
         F.col(text).cast("string").alias("text"), F.xxhash64(doc_id, text).alias("place")
@@ -169,12 +188,16 @@ def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int =
         r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
     )
     marked = rows.select("place", "text", likely.alias("likely"))
-    places = marked.select("place", "likely")
+    places = marked.select("place", "likely").distinct()
     chosen = None
     for flag in (True, False):
         some = places.where(F.col("likely") == flag).orderBy("place").limit(sample)
         chosen = some if chosen is None else chosen.union(some)
-    picked = marked.join(chosen.select("place").distinct(), "place", "left_semi").select("text")
+    picked = (
+        marked.join(chosen.select("place"), "place", "left_semi")
+        .dropDuplicates(["place"])
+        .select("text")
+    )
 
     def run(batches):
         for batch in batches:
@@ -184,17 +207,18 @@ def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int =
                 if not len(w.start):
                     continue
                 f, y = features(t, w), gold(t, w)
-                for a in range(0, len(y) - WIDE + 1, WIDE):
-                    if y[a : a + WIDE].any() or (a // WIDE) % 16 == 0:
-                        bins.append(f[:, a : a + WIDE].T.astype(np.int32).tobytes())
-                        tags.append(y[a : a + WIDE].tobytes())
+                for k in range(t.rows):
+                    own = slice(w.offsets[k], w.offsets[k + 1])
+                    for x, z in windows(f[:, own].T.astype(np.int32), y[own]):
+                        bins.append(x.tobytes())
+                        tags.append(z.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bins, pa.binary()), pa.array(tags, pa.binary())], ["bins", "tags"]
             )
 
     got = picked.mapInArrow(run, "bins binary, tags binary").toPandas()
     if not len(got):
-        return np.zeros((BINS, 3)), np.zeros((3, 3))
+        return np.zeros((BINS + 1, 3)), np.zeros((3, 3))
     got = got.sort_values(["bins", "tags"])
     bins = np.stack([np.frombuffer(x, np.int32).reshape(WIDE, -1) for x in got["bins"]])
     tags = np.stack([np.frombuffer(x, np.int8) for x in got["tags"]]).astype(np.int64)
@@ -211,13 +235,14 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def train(bins: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS):
     """Maximise the likelihood of the tags by AdaGrad with forward-backward sums."""
-    w, move = np.zeros((BINS, 3)), np.zeros((3, 3))
+    w, move = np.zeros((BINS + 1, 3)), np.zeros((3, 3))
     seen_w, seen_m = np.full_like(w, 1e-3), np.full_like(move, 1e-3)
     rng = np.random.default_rng(5)
     for _ in range(epochs):
         for own in np.array_split(rng.permutation(len(bins)), max(1, len(bins) // 256)):
             x, y = bins[own], tags[own]
             score = w[x].sum(2)
+            score[x[:, :, 0] == BINS, 1:] = -1e9
             n, length = y.shape
             fore, back = np.empty_like(score), np.zeros_like(score)
             fore[:, 0] = score[:, 0]
