@@ -75,15 +75,18 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def without_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    kept = exact_groups(df, doc_id, text).where("kept")
-    key = F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256)
-    keys = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    marked = df.withColumn("__digest", key)
-    same = marked[doc_id].eqNullSafe(keys["__id"]) & (marked["__digest"] == keys["__digest"])
+    """The rows that stay, with all their columns, whatever they are called.
+
+    Of the rows without text one stays; an empty table stays empty.
+    """
+    kept = exact_groups(df, doc_id, text).where("kept").select("doc_id", "text_sha256")
+    marked = df.select(
+        F.struct("*").alias("row"),
+        F.col(doc_id).alias("id"),
+        F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256).alias("digest"),
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("text_sha256"))
     # A repeated row has both the same, so one of its repeats is left over here.
     return (
-        marked.join(keys, same, "left_semi")
-        .dropDuplicates([doc_id, "__digest"])
-        .select(*[F.col(f"`{c}`") for c in df.columns])
+        marked.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")
     )

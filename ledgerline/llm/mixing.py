@@ -196,28 +196,35 @@ def repeated(df: DataFrame, **options) -> DataFrame:
     """The rows of the mix, all columns kept: each as often as it is taken.
 
     Of a document that a target cuts, the round counts if the mix takes half of
-    its words or more. Documents without words are never taken.
+    its words or more. Null, empty and wordless texts are never taken. A null id
+    or source is one of its own; an empty table stays empty.
     """
-    cols = {k: options.get(k, k) for k in ("doc_id", "text")}
+    names = {k: options.get(k, k) for k in ("doc_id", "text", "source")}
     turns = mixed(df, **options).where("size > 0").select(
-        F.col("doc_id").alias("__id"),
-        F.col("tie").alias("__tie"),
-        F.col("source").alias("__source"),
-        F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__turns"),
+        "doc_id",
+        "tie",
+        "source",
+        F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("turns"),
     )
     # Repeated rows take part together, each with the mean of their turns' sum.
-    keys = ["__id", "__tie", "__source"]
-    turns = turns.groupBy(*keys).agg(F.sum("__turns").alias("__turns"), F.count("*").alias("__n"))
-    source = options.get("source", "source")
-    marked = df.withColumn("__key", F.xxhash64(cols["text"]))
+    turns = turns.groupBy("doc_id", "tie", "source").agg(
+        F.sum("turns").alias("turns"), F.count("*").alias("n")
+    )
+    # The row travels as one struct, whatever its columns are called.
+    marked = df.select(
+        F.struct("*").alias("row"),
+        F.col(names["doc_id"]).alias("id"),
+        F.xxhash64(names["text"]).alias("key"),
+        F.col(names["source"]).alias("origin"),
+    )
     same = (
-        marked[cols["doc_id"]].eqNullSafe(turns["__id"])
-        & (marked["__key"] == turns["__tie"])
-        & marked[source].eqNullSafe(turns["__source"])
+        F.col("id").eqNullSafe(F.col("doc_id"))
+        & (F.col("key") == F.col("tie"))
+        & F.col("origin").eqNullSafe(F.col("source"))
     )
-    times = F.array_repeat(F.lit(0), F.ceil(F.col("__turns") / F.col("__n")).cast("int"))
+    times = F.array_repeat(F.lit(0), F.ceil(F.col("turns") / F.col("n")).cast("int"))
     return (
-        marked.join(turns.where("__turns > 0"), same)
-        .withColumn("__turn", F.explode(times))
-        .select(*[F.col(f"`{c}`") for c in df.columns])
+        marked.join(turns.where("turns > 0"), same)
+        .select("row", F.explode(times))
+        .select("row.*")
     )
