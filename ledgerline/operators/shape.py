@@ -152,19 +152,60 @@ def page_after(
     return df.where(following).orderBy(F.desc_nulls_last(value), F.asc(key)).limit(size)
 
 
+KEY_BUCKETS = 1 << 16
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
+
+
+def busy_buckets(rows: DataFrame, key: str, least: int = 100_000, share: int = 1024) -> DataFrame:
+    """One row with the hash buckets of keys that hold many of the rows.
+
+    A bucket is busy from ``least`` rows on if it has more than one in ``share``
+    of all, so the list has fewer than ``share`` entries at any size. Only counts
+    by bucket are shuffled.
+    """
+    counts = rows.groupBy(_bucket(key).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.aggregate("all", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    return (
+        counts.agg(F.collect_list(F.struct("bucket", "n")).alias("all"))
+        .select("all", total.alias("total"))
+        .select(
+            F.transform(
+                F.filter(
+                    "all",
+                    lambda x: (x["n"] >= least) & (x["n"] * share > F.col("total")),
+                ),
+                lambda x: x["bucket"],
+            ).alias("busy")
+        )
+    )
+
+
 def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", parts: int = 16
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    *,
+    busy: DataFrame,
+    parts: int = 16,
 ) -> DataFrame:
     """Join to a side with one row per key, spreading busy keys over tasks.
 
     The right side is usually an aggregate, whose skew Spark cannot split at
-    run time. Each left row draws a part from its content; the right rows are
-    repeated once per part.
+    run time. ``busy`` is what ``busy_buckets`` found in the rows behind the left
+    side. A left row of a busy bucket draws a part from its content, and the
+    right rows of these buckets are repeated once per part; all others keep
+    their one row.
     """
-    part = F.pmod(F.xxhash64(*left.columns), F.lit(parts))
-    copies = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    crowded = F.array_contains(busy.scalar(), _bucket(key))
+    drawn = F.pmod(F.xxhash64(*left.columns), F.lit(parts))
+    last = F.when(crowded, parts - 1).otherwise(0)
+    copies = right.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
     return (
-        left.withColumn("part", part)
+        left.withColumn("part", F.when(crowded, drawn).otherwise(0))
         .join(copies.withColumn("part", F.col("part").cast("long")), [key, "part"], how)
         .drop("part")
     )

@@ -238,8 +238,7 @@ def merged(spark: SparkSession, directory: str) -> DataFrame:
 
 def merge_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     sales = tables(spark, directory).sales
-    rows = quality.merge_duplicates(sales, merged(spark, directory))
-    return rows.select("customer_id", "invoice_id", "product_id", "invoice_date")
+    return quality.merge_duplicates(sales, merged(spark, directory))
 
 
 def upsert_clients(spark: SparkSession, directory: str) -> DataFrame:
@@ -625,7 +624,7 @@ ENTRIES: dict[str, Entry] = {
         merge_duplicates,
         with_tables(
             PHONES,
-            query="SELECT survivor_id AS customer_id, invoice_id, product_id, invoice_date "
+            query="SELECT survivor_id AS customer_id, sales.* EXCLUDE (customer_id) "
             "FROM sales JOIN merged USING (customer_id)",
         ),
     ),
