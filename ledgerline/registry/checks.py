@@ -238,7 +238,8 @@ def merged(spark: SparkSession, directory: str) -> DataFrame:
 
 def merge_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     sales = tables(spark, directory).sales
-    return quality.merge_duplicates(sales, merged(spark, directory))
+    rows = quality.merge_duplicates(sales, merged(spark, directory))
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("quantity", "revenue")})
 
 
 def upsert_clients(spark: SparkSession, directory: str) -> DataFrame:
@@ -624,7 +625,8 @@ ENTRIES: dict[str, Entry] = {
         merge_duplicates,
         with_tables(
             PHONES,
-            query="SELECT survivor_id AS customer_id, sales.* EXCLUDE (customer_id) "
+            query="SELECT survivor_id AS customer_id, invoice_id, product_id, invoice_date, store_id, "
+            "CAST(quantity AS DOUBLE) AS quantity, CAST(revenue AS DOUBLE) AS revenue "
             "FROM sales JOIN merged USING (customer_id)",
         ),
     ),

@@ -293,25 +293,3 @@ def test_snapshot_months_are_replaced_one_by_one(spark, tmp_path, small):
     assert back.count() == snapshot(spark, small, 3).count()
     plan = store.read_snapshot(spark, path, date(2001, 7, 31))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(report_mth_eom" in plan
-
-
-def test_only_busy_keys_are_spread(spark):
-    from pyspark.sql import functions as F
-
-    from ledgerline.operators.shape import busy_buckets, spread_join
-
-    left = spark.range(1200).select(
-        F.when(F.col("id") < 600, 7).when(F.col("id") < 1190, F.col("id")).alias("k"), "id"
-    )
-    right = spark.range(1200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    none = busy_buckets(left, "k")
-    some = busy_buckets(left, "k", least=100, share=10)
-    assert none.first().busy == [] and len(some.first().busy) == 1
-    for how in ("inner", "left"):
-        expected = sorted(left.join(right, "k", how).collect(), key=str)
-        for busy in (none, some):
-            got = spread_join(left, right, "k", how, busy=busy)
-            assert sorted(got.collect(), key=str) == expected
-    parts = spread_join(left.withColumn("x", F.col("id")), right, "k", busy=some)
-    plan = parts._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
