@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.shape import spread_join
+from ledgerline.operators.shape import busy_buckets, spread_join
 from ledgerline.params import CATEGORIES
 from ledgerline.schemas import CUSTOMERS, PRODUCTS, SALES
 
@@ -123,7 +123,7 @@ def one_per_key(rows: DataFrame, key: str) -> Checked:
     repeated = winners.where(F.col("n_rows") > 1).drop("n_rows")
     won = F.col("winner").eqNullSafe(row)
     rest = (
-        spread_join(counted, repeated, key)
+        spread_join(counted, repeated, key, busy=busy_buckets(rows, key))
         .withColumn(COPIES, F.col(COPIES) - won.cast("long"))
         .where(F.col(COPIES) > 0)
         .drop("winner")
@@ -257,6 +257,7 @@ def merge_map(clients: DataFrame, first_purchases: DataFrame) -> DataFrame:
         dated.select("customer_id", "mobile_number"),
         survivors.where(F.col("n") > 1),
         "mobile_number",
+        busy=busy_buckets(clients, "mobile_number"),
     )
     return shared.select(
         "customer_id",
@@ -296,10 +297,14 @@ def upsert_clients(clients: DataFrame, updates: DataFrame) -> DataFrame:
         .groupBy("mobile_number")
         .agg(F.min("customer_id").alias("owner_id"))
     )
-    unnamed = updates.where(F.col("customer_id").isNull()).distinct()
-    by_phone = spread_join(unnamed, owners, "mobile_number", "left").withColumn(
-        "customer_id", F.col("owner_id")
-    )
+    unnamed = updates.where(F.col("customer_id").isNull())
+    by_phone = spread_join(
+        unnamed.distinct(),
+        owners,
+        "mobile_number",
+        "left",
+        busy=busy_buckets(unnamed, "mobile_number"),
+    ).withColumn("customer_id", F.col("owner_id"))
     addressed = updates.where(F.col("customer_id").isNotNull()).unionByName(
         by_phone.drop("owner_id")
     )

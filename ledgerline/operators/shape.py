@@ -152,20 +152,62 @@ def page_after(
     return df.where(following).orderBy(F.desc_nulls_last(value), F.asc(key)).limit(size)
 
 
+KEY_WORDS = 64
+KEY_BUCKETS = 64 * KEY_WORDS
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
+
+
+def busy_buckets(rows: DataFrame, key: str, least: int = 100_000, share: int = 1024) -> DataFrame:
+    """One row with a bit per hash bucket of keys, set where many rows meet.
+
+    A bucket is busy from ``least`` rows on if it has more than one in ``share``
+    of all, so fewer than ``share`` bits are set at any size. Only the key is
+    read, and only counts by bucket are shuffled.
+    """
+    counts = rows.groupBy(_bucket(key).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    bit = F.expr(f"shiftleft(1L, int(bucket % {KEY_WORDS}))")
+    busy = counts.withColumn("total", total).select(
+        F.floor(F.col("bucket") / KEY_WORDS).alias("word"),
+        F.when((F.col("n") >= least) & (F.col("n") * share > F.col("total")), bit)
+        .otherwise(0)
+        .alias("bit"),
+    )
+    words = [
+        F.coalesce(F.bit_or(F.when(F.col("word") == i, F.col("bit"))), F.lit(0))
+        for i in range(KEY_BUCKETS // KEY_WORDS)
+    ]
+    return busy.agg(F.array(*words).alias("busy"))
+
+
 def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", parts: int = 16
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    *,
+    busy: DataFrame,
+    parts: int = 16,
 ) -> DataFrame:
     """Join to a side with one row per key, spreading busy keys over tasks.
 
     The right side is usually an aggregate, whose skew Spark cannot split at
-    run time. Each left row draws a part from its content; the right rows are
-    repeated once per part.
+    run time. ``busy`` is what ``busy_buckets`` found in the rows behind the left
+    side. A left row of a busy bucket draws a part from its content, and the
+    right rows of these buckets are repeated once per part; all others keep
+    their one row.
     """
-    part = F.pmod(F.xxhash64(*left.columns), F.lit(parts))
-    copies = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    word = F.element_at(busy.scalar(), (_bucket(key) / KEY_WORDS).cast("int") + 1)
+    crowded = F.getbit(word, F.pmod(_bucket(key), F.lit(KEY_WORDS)).cast("int")) == 1
+    drawn = F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int")
+    last = F.when(crowded, parts - 1).otherwise(0)
+    copies = right.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
     return (
-        left.withColumn("part", part)
-        .join(copies.withColumn("part", F.col("part").cast("long")), [key, "part"], how)
+        left.withColumn("part", F.when(crowded, drawn).otherwise(0))
+        .join(copies, [key, "part"], how)
         .drop("part")
     )
 

@@ -293,3 +293,33 @@ def test_snapshot_months_are_replaced_one_by_one(spark, tmp_path, small):
     assert back.count() == snapshot(spark, small, 3).count()
     plan = store.read_snapshot(spark, path, date(2001, 7, 31))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(report_mth_eom" in plan
+
+
+def test_only_busy_keys_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.shape import _bucket, busy_buckets, spread_join
+
+    left = spark.range(1200).select(
+        F.when(F.col("id") < 600, 7).when(F.col("id") < 1190, F.col("id")).alias("k"), "id"
+    )
+    right = spark.range(1200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    none = busy_buckets(left, "k")
+    some = busy_buckets(left, "k", least=100, share=10)
+    assert not any(none.first().busy)
+    bucket = left.where("k = 7").select(_bucket("k").alias("b")).first().b
+    bits = [(i, j) for i, word in enumerate(some.first().busy) for j in range(64) if word >> j & 1]
+    assert bits == [divmod(bucket, 64)]
+    assert not any(busy_buckets(left.limit(0), "k").first().busy)
+    for how in ("inner", "left"):
+        expected = sorted(left.join(right, "k", how).collect(), key=str)
+        for busy in (none, some):
+            got = spread_join(left, right, "k", how, busy=busy)
+            assert sorted(got.collect(), key=str) == expected
+    # Only the right rows of the busy bucket are repeated: one key here, 16 parts.
+    few = right.where("k in (7, 600, 601)")
+    unmatched = left.where("k is null")
+    repeated = [spread_join(unmatched, few, "k", "right", busy=b).count() for b in (none, some)]
+    assert repeated == [3, 18]
+    plan = spread_join(left, right, "k", busy=some)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "ObjectHash" not in plan
