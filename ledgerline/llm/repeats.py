@@ -12,6 +12,12 @@ their anchor, a prefix whose length counted from the run's start varies:
 2. Where an anchor has several contents, which happens at the edges of repeats,
    one stretch of each is fetched and its runs are told apart by refinement.
 
+An anchor between ever new neighbours has as many contents as texts, so no task
+takes all of them. Stretches are first counted by hash buckets of their anchors.
+Those of busy buckets meet by anchor and content, their group's prefix being the
+whole stretch; and single runs of them, or of any anchor of over ``crowd``
+contents, meet by two 64-bit hashes of all their symbols instead of refinement.
+
 Positions are in symbols. A text is known by its id and a hash of its content;
 rows that repeat both are the same text.
 """
@@ -23,13 +29,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import arrays
 from ledgerline.llm.common import packed_texts, staged, unpacked
 
-SPAN, ENTRY = 0, 1
+# Spans are settled. Entries meet by anchor, crowded ones run by run.
+SPAN, ENTRY, CROWDED = 0, 1, 2
+# Anchors are counted by their leading bits.
+BUCKET_BITS = 16
 STRETCH = "anchor long, content long, kind int, many int, doc_id long, tie long, start long, runs int"
 NAMES = [c.split()[0] for c in STRETCH.split(", ")]
 TYPES = {"long": pa.int64(), "int": pa.int32()}
@@ -40,13 +49,17 @@ class Rule(NamedTuple):
     """``symbols`` gives a slice's symbols and where each row's begin.
 
     With ``earlier``, a run is repeated if it also starts earlier, by id, then
-    position; else if it starts anywhere else.
+    position; else if it starts anywhere else. A bucket of anchors is busy from
+    ``least`` stretches on if it has more than four times the mean, and an
+    anchor is crowded beyond ``crowd`` contents. Neither changes the result.
     """
 
     symbols: Callable[[arrays.Texts], tuple[np.ndarray, np.ndarray]]
     length: int
     inner: int
     earlier: bool
+    least: int = 256
+    crowd: int = 1024
 
 
 def word_symbols(t: arrays.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +151,7 @@ def _settle(c: dict, rule: Rule) -> dict:
     # Spans need no meeting place any more, and are dealt out by where they are.
     n = int(span.sum())
     out["anchor"][:n] = arrays.mix((out["tie"][:n] ^ out["start"][:n]).view(np.uint64)).view(np.int64)
-    out["kind"] = np.r_[np.full(span.sum(), SPAN), np.full(entry.sum(), ENTRY)].astype(np.int32)
+    out["kind"] = np.r_[np.full(n, SPAN), c["kind"][entry]].astype(np.int32)
     out["many"] = np.r_[np.zeros(span.sum()), several[group[entry]]].astype(np.int32)
     return out
 
@@ -152,38 +165,88 @@ def _ordered(c: dict) -> dict:
 NONE = -(2**63)
 
 
+def _known(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return df.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NONE)).alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+    )
+
+
+def _settled(batch: pa.RecordBatch, rule: Rule, powers: arrays.Powers) -> dict | None:
+    """Spans and entries of a batch of texts, None if it has no run."""
+    ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+    parts = []
+    for t in arrays.slices(batch.column("text")):
+        got = stretches(t, rule, powers)
+        if got is None:
+            continue
+        row, start, runs, anchor, content = got
+        parts.append(
+            (anchor.view(np.int64), content.view(np.int64), ids[t.first + row],
+             ties(t)[row], start, runs)
+        )
+    if not parts:
+        return None
+    a, c, d, s, p, r = (np.concatenate(x) for x in zip(*parts, strict=True))
+    columns = {"anchor": a, "content": c, "doc_id": d, "tie": s, "start": p, "runs": r,
+               "kind": np.full(len(a), ENTRY, np.int32), "many": np.zeros(len(a), np.int32)}
+    return _settle(_ordered(columns), rule)
+
+
+def _bucket(anchor: np.ndarray) -> np.ndarray:
+    return (anchor.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+POWERS_SEED = 29
+
+
+def busy_buckets(df: DataFrame, rule: Rule, doc_id: str, text: str) -> np.ndarray:
+    """Sorted numbers of the busy buckets, counted over all texts.
+
+    A bucket in the list has over four times the mean, so the driver gets fewer
+    than a quarter of 2**16 numbers at any size.
+    """
+
+    def run(batches):
+        powers = arrays.Powers(POWERS_SEED)
+        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            c = _settled(batch, rule, powers)
+            if c is not None:
+                own = _bucket(c["anchor"][c["kind"] == ENTRY])
+                total += np.bincount(own, minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"bucket": some.astype(np.int32), "n": total[some]})
+
+    counts = (
+        _known(df, doc_id, text).mapInArrow(run, "bucket int, n long")
+        .groupBy("bucket").agg(F.sum("n").alias("n"))
+    )
+    mean = F.sum("n").over(Window.partitionBy()) / (1 << BUCKET_BITS)
+    busy = counts.withColumn("mean", mean).where((F.col("n") >= rule.least) & (F.col("n") > 4 * F.col("mean")))
+    return np.array(sorted(r.bucket for r in busy.select("bucket").collect()), np.int64)
+
+
 def entries(df: DataFrame, rule: Rule, doc_id: str, text: str) -> DataFrame:
-    powers_seed = 29
+    busy = busy_buckets(df, rule, doc_id, text)
 
     def run(batches):
-        powers = arrays.Powers(powers_seed)
+        powers = arrays.Powers(POWERS_SEED)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            parts = []
-            for t in arrays.slices(batch.column("text")):
-                got = stretches(t, rule, powers)
-                if got is None:
-                    continue
-                row, start, runs, anchor, content = got
-                parts.append(
-                    (anchor.view(np.int64), content.view(np.int64), ids[t.first + row],
-                     ties(t)[row], start, runs)
-                )
-            if parts:
-                a, c, d, s, p, r = (np.concatenate(x) for x in zip(*parts, strict=True))
-                columns = {"anchor": a, "content": c, "doc_id": d, "tie": s, "start": p, "runs": r,
-                           "kind": np.ones(len(a), np.int32), "many": np.zeros(len(a), np.int32)}
-                yield _batch(_settle(_ordered(columns), rule))
+            c = _settled(batch, rule, powers)
+            if c is None:
+                continue
+            hot = (c["kind"] == ENTRY) & np.isin(_bucket(c["anchor"]), busy)
+            both = c["anchor"].view(np.uint64) ^ arrays.mix(c["content"].view(np.uint64))
+            c["anchor"] = np.where(hot, arrays.mix(both).view(np.int64), c["anchor"])
+            c["kind"] = np.where(hot, CROWDED, c["kind"]).astype(np.int32)
+            yield _batch(c)
 
-    rows = df.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NONE)).alias("doc_id"),
-        F.col(text).cast("string").alias("text"),
-    )
-    return rows.mapInArrow(run, STRETCH)
+    return _known(df, doc_id, text).mapInArrow(run, STRETCH)
 
 
 def matched(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Spans, and the entries whose anchor has several contents."""
+    """Spans, and the entries whose anchor has several contents or is crowded."""
 
     def run(batches):
         for table in arrays.whole_groups(batches, "anchor"):
@@ -193,53 +256,83 @@ def matched(rows: DataFrame, rule: Rule) -> DataFrame:
             rest = {n: v[~spans] for n, v in c.items()}
             if len(rest["anchor"]):
                 one = _settle(_ordered(rest), rule)
-                kept = one["kind"] == ENTRY
-                anchor = one["anchor"][kept]
-                _, inverse, count = np.unique(anchor, return_inverse=True, return_counts=True)
-                keep = ~kept
-                keep[np.flatnonzero(kept)[count[inverse] > 1]] = True
+                plain = one["kind"] == ENTRY
+                place = np.flatnonzero(plain)
+                _, inverse, count = np.unique(one["anchor"][plain], return_inverse=True, return_counts=True)
+                keep = ~plain
+                keep[place[count[inverse] > 1]] = True
+                one["kind"][place[count[inverse] > rule.crowd]] = CROWDED
                 passed = {n: np.r_[passed[n], one[n][keep]] for n in NAMES}
             yield _batch(passed)
 
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, STRETCH)
 
 
+CONTEXT = pa.schema([*SCHEMA, pa.field("symbols", pa.binary())])
+
+
+def _windows(symbols: np.ndarray, c: dict, at: np.ndarray, rule: Rule, powers: arrays.Powers) -> dict:
+    """A row for each run of stretches, under two hashes of its symbols."""
+    part = np.repeat(np.arange(len(at)), c["runs"])
+    step = arrays.within(c["runs"])
+    out = {n: c[n][part] for n in NAMES}
+    out["start"], out["runs"] = out["start"] + step, np.ones(len(part), np.int32)
+    for name, values in (("anchor", symbols), ("content", arrays.mix(symbols))):
+        hashes = arrays.run_hashes(values, rule.length, powers)
+        out[name] = hashes[at[part] + step].view(np.int64)
+    return out
+
+
 def fetched(requests: DataFrame, df: DataFrame, rule: Rule, doc_id: str, text: str) -> DataFrame:
-    """Entries with the symbols of their stretch."""
+    """Entries with the symbols of their stretch; the single runs of crowded ones.
+
+    Equal runs within a batch are settled at once, so that a frequent one gives
+    one row a batch.
+    """
 
     def run(batches):
+        powers = arrays.Powers(POWERS_SEED)
         for whole in batches:
             for batch in arrays.in_parts(whole, "packed"):
                 raw = pa.array(unpacked(batch.column("packed")), pa.large_binary())
-                out = {n: [] for n in ("anchor", "many", "doc_id", "tie", "start", "symbols")}
+                out = {n: [] for n in CONTEXT.names}
+                single = []
                 for t in arrays.slices(raw.cast(pa.large_string())):
                     symbols, offsets = rule.symbols(t)
                     ties_ = ties(t)
+                    crowded = {n: [] for n in [*NAMES, "at"]}
                     for k in range(t.rows):
                         doc = batch.column("doc_id")[t.first + k].as_py()
                         for r in batch.column("wanted")[t.first + k].as_py():
-                            if r["tie"] == int(ties_[k]):
-                                at = int(offsets[k]) + r["start"]
+                            if r["tie"] != int(ties_[k]):
+                                continue
+                            at = int(offsets[k]) + r["start"]
+                            row = {**r, "doc_id": doc, "content": 0}
+                            if r["kind"] == CROWDED:
+                                row["at"], into = at, crowded
+                            else:
                                 part = symbols[at : at + r["runs"] - 1 + rule.length]
-                                for n in ("anchor", "many", "tie", "start"):
-                                    out[n].append(r[n])
-                                out["doc_id"].append(doc)
-                                out["symbols"].append(part.tobytes())
-                yield pa.RecordBatch.from_pydict(
-                    out,
-                    pa.schema([("anchor", pa.int64()), ("many", pa.int32()), ("doc_id", pa.int64()),
-                               ("tie", pa.int64()), ("start", pa.int64()), ("symbols", pa.binary())]),
-                )
+                                row["symbols"], into = part.tobytes(), out
+                            for n, values in into.items():
+                                values.append(row[n])
+                    if crowded["at"]:
+                        at = np.array(crowded.pop("at"))
+                        c = {n: np.array(v, SCHEMA.field(n).type.to_pandas_dtype()) for n, v in crowded.items()}
+                        single.append(_windows(symbols, c, at, rule, powers))
+                yield pa.RecordBatch.from_pydict(out, CONTEXT)
+                if single:
+                    c = {n: np.concatenate([x[n] for x in single]) for n in NAMES}
+                    c = _settle(_ordered(c), rule)
+                    c["symbols"] = pa.nulls(len(c["anchor"]), pa.binary())
+                    yield pa.RecordBatch.from_pydict({n: c[n] for n in CONTEXT.names}, CONTEXT)
 
     wanted = requests.groupBy("doc_id").agg(
-        F.collect_list(F.struct("anchor", "many", "tie", "start", "runs")).alias("wanted")
+        F.collect_list(F.struct("anchor", "kind", "many", "tie", "start", "runs")).alias("wanted")
     )
     texts = packed_texts(
         df.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NONE))), "__id", text
     )
-    return texts.join(wanted, "doc_id").mapInArrow(
-        run, "anchor long, many int, doc_id long, tie long, start long, symbols binary"
-    )
+    return texts.join(wanted, "doc_id").mapInArrow(run, STRETCH + ", symbols binary")
 
 
 def refine(block: np.ndarray, symbols: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -265,31 +358,45 @@ def refine(block: np.ndarray, symbols: np.ndarray, at: np.ndarray, length: int)
     return out
 
 
+def _refined(table: pa.Table, rule: Rule) -> dict:
+    """Spans of the repeated runs among stretches that share their anchor."""
+    parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("symbols")]
+    size = np.array([len(x) for x in parts])
+    begin = np.cumsum(size) - size
+    runs = size - rule.length + 1
+    part = np.repeat(np.arange(len(parts)), runs)
+    at = begin[part] + arrays.within(runs)
+    place = {n: table.column(n).to_numpy() for n in ("anchor", "doc_id", "tie", "start")}
+    start = place["start"][part] + arrays.within(runs)
+    doc, tie = place["doc_id"][part], place["tie"][part]
+    order = np.lexsort((start, tie, doc))
+    part, at, start, doc, tie = part[order], at[order], start[order], doc[order], tie[order]
+    name = refine(place["anchor"][part], np.concatenate(parts), at, rule.length)
+    hit = np.flatnonzero(name >= 0)
+    if rule.earlier:
+        _, first = np.unique(name[hit], return_index=True)
+        hit = np.delete(hit, first)
+    return {"doc_id": doc[hit], "tie": tie[hit], "start": start[hit], "runs": np.ones(len(hit), np.int32)}
+
+
 def resolved(contexts: DataFrame, rule: Rule) -> DataFrame:
-    """Spans of the repeated runs among stretches of one anchor."""
+    """Spans of the repeated runs among what ``fetched`` gives."""
+    where = ["doc_id", "tie", "start", "runs"]
+    layout = pa.schema([(n, SCHEMA.field(n).type) for n in where])
 
     def run(batches):
         for table in arrays.whole_groups(batches, "anchor"):
-            parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("symbols")]
-            size = np.array([len(x) for x in parts])
-            begin = np.cumsum(size) - size
-            runs = size - rule.length + 1
-            part = np.repeat(np.arange(len(parts)), runs)
-            at = begin[part] + arrays.within(runs)
-            place = {n: table.column(n).to_numpy() for n in ("anchor", "many", "doc_id", "tie", "start")}
-            start = place["start"][part] + arrays.within(runs)
-            doc, tie = place["doc_id"][part], place["tie"][part]
-            order = np.lexsort((start, tie, doc))
-            part, at, start, doc, tie = part[order], at[order], start[order], doc[order], tie[order]
-            name = refine(place["anchor"][part], np.concatenate(parts), at, rule.length)
-            hit = np.flatnonzero(name >= 0)
-            if rule.earlier:
-                _, first = np.unique(name[hit], return_index=True)
-                hit = np.delete(hit, first)
+            kind = table.column("kind").to_numpy()
+            spans = table.filter(pa.array(kind == SPAN))
+            found = [{n: spans.column(n).to_numpy() for n in where}]
+            if (kind == ENTRY).any():
+                found.append(_refined(table.filter(pa.array(kind == ENTRY)), rule))
+            if (kind == CROWDED).any():
+                single = table.filter(pa.array(kind == CROWDED))
+                c = _settle(_ordered({n: single.column(n).to_numpy() for n in NAMES}), rule)
+                found.append({n: c[n][c["kind"] == SPAN] for n in where})
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": doc[hit], "tie": tie[hit], "start": start[hit],
-                 "runs": np.ones(len(hit), np.int32)},
-                pa.schema([(n, SCHEMA.field(n).type) for n in ("doc_id", "tie", "start", "runs")]),
+                {n: np.concatenate([x[n] for x in found]) for n in where}, layout
             )
 
     return (
@@ -302,7 +409,7 @@ def resolved(contexts: DataFrame, rule: Rule) -> DataFrame:
 def removed(df: DataFrame, rule: Rule, finish, schema: str, doc_id: str, text: str) -> DataFrame:
     """Each row's repeated runs put through ``finish(raw text, mask of symbols)``."""
     found = staged(matched(entries(df, rule, doc_id, text), rule), "stretches")
-    contexts = fetched(found.where(F.col("kind") == ENTRY), df, rule, doc_id, text)
+    contexts = fetched(found.where(F.col("kind") != SPAN), df, rule, doc_id, text)
     where = ["doc_id", "tie", "start", "runs"]
     spans = (
         found.where(F.col("kind") == SPAN)

@@ -2,9 +2,10 @@
 
 Suffixes are dealt to groups by a prefix of variable length: from their start to
 the end of the smallest run of ``INNER`` words in their first ``WINDOW`` words.
-A group is small, as that run is; in it, suffixes go down a tree word by word,
-and those that still share a node at depth ``WINDOW`` are repeats. Suffixes that
-follow each other into the same group travel as one row (see ``repeats``).
+In a group, suffixes go down a tree word by word, and those that still share a
+node at depth ``WINDOW`` are repeats. Suffixes that follow each other into the same
+group travel as one row. A group whose prefix is frequent is divided by longer
+prefixes, up to whole windows, before anything is gathered (see ``repeats``).
 """
 
 from __future__ import annotations

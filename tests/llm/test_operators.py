@@ -20,6 +20,7 @@ from ledgerline.llm import (
     lm_score,
     mixing,
     pieces,
+    repeats,
     secrets,
     substring_dedup,
     suffix_dedup,
@@ -127,6 +128,36 @@ def test_passages(docs, none):
     assert substring_dedup.without_passages(none).count() == 0
 
 
+@pytest.mark.parametrize("limits", [{}, {"least": 20}, {"least": 1 << 40, "crowd": 5}])
+@pytest.mark.parametrize("earlier", [False, True])
+def test_repeats_of_frequent_phrases(spark, earlier, limits):
+    """A notice between ever new words: one anchor with a content a text."""
+    rng = np.random.default_rng(4)
+    notice = " ".join(f"n{i}" for i in range(40))
+    texts = []
+    for _ in range(300):
+        head, tail = (" ".join(f"v{x}" for x in rng.integers(0, 4000, n)) for n in (20, 25))
+        texts.append(" ".join([head, *[notice.rsplit(" ", int(rng.integers(1, 9)))[0]] * int(rng.integers(1, 3)), tail]))
+    rows = spark.createDataFrame(list(enumerate([*texts, texts[3], texts[4]])), "doc_id long, text string")
+    rule = repeats.Rule(repeats.word_symbols, 35, 8, earlier)._replace(**limits)
+    assert len(repeats.busy_buckets(rows, rule, "doc_id", "text")) > 0 or "crowd" in limits
+    starts = {}
+    for i, text in enumerate([*texts, texts[3], texts[4]]):
+        w = words(text)
+        for k in range(len(w) - 34):
+            starts.setdefault(tuple(w[k : k + 35]), []).append((i, k))
+    want = {i: set() for i in range(302)}
+    for places in starts.values():
+        for i, k in places[1:] if earlier else places if len(places) > 1 else []:
+            want[i].update(range(k, k + 35))
+    got = repeats.removed(
+        rows.repartition(6), rule, lambda raw, gone: (np.flatnonzero(gone).tolist(),),
+        "doc_id long, gone array<long>", "doc_id", "text",
+    ).collect()
+    assert {r.doc_id: set(r.gone) for r in got} == want
+    assert sum(map(len, want.values())) > 3000
+
+
 def test_repeats(docs, none):
     seen, want = set(), {}
     for i, text, _ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -138,9 +169,10 @@ def test_repeats(docs, none):
                 gone.update(range(k, k + 100))
             seen.add(raw[k : k + 100])
         want[i] = (len(raw), len(gone), hashlib.sha256(bytes(
-            b for k, b in enumerate(raw) if k not in gone)).hexdigest())
+            b for k, b in enumerate(raw) if k not in gone)).hexdigest(),
+            sum(k not in gone and k + 1 in gone for k in range(-1, len(raw))))
     for r in suffix_dedup.without_repeats(docs).collect():
-        assert (r.n_bytes, r.n_removed, r.kept_sha256) == want[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.kept_sha256, r.n_spans) == want[r.doc_id]
     assert suffix_dedup.without_repeats(none).count() == 0
 
 
