@@ -37,7 +37,7 @@ from ledgerline.llm.common import packed_texts, staged, unpacked
 
 # Spans are settled. Entries meet by anchor, crowded ones run by run.
 SPAN, ENTRY, CROWDED = 0, 1, 2
-# Anchors are counted by their leading bits.
+# Anchors are counted by this many bits of a hash.
 BUCKET_BITS = 16
 STRETCH = "anchor long, content long, kind int, many int, doc_id long, tie long, start long, runs int"
 NAMES = [c.split()[0] for c in STRETCH.split(", ")]
@@ -194,7 +194,8 @@ def _settled(batch: pa.RecordBatch, rule: Rule, powers: arrays.Powers) -> dict |
 
 
 def _bucket(anchor: np.ndarray) -> np.ndarray:
-    return (anchor.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    # Anchors are the smallest hashes of their windows, so their own bits are uneven.
+    return (arrays.mix(anchor.view(np.uint64)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 POWERS_SEED = 29
