@@ -147,16 +147,25 @@ class Powers:
             self.down = np.cumprod(np.r_[U64(1), np.full(n - 1, U64(self.inverse))], dtype=U64)
         return self.up[:size], self.down[:size]
 
+    def sums(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the symbols before each place, each by its power, and the inverse powers."""
+        up, down = self.of(len(symbols))
+        sums = np.zeros(len(symbols) + 1, U64)
+        np.cumsum(symbols * up, out=sums[1:])
+        return sums, down
+
+
+def sum_hashes(sums: np.ndarray, down: np.ndarray, size: int) -> np.ndarray:
+    """``run_hashes`` from what ``Powers.sums`` gives."""
+    return mix((sums[size:] - sums[:-size]) * down[: len(sums) - size])
+
 
 def run_hashes(symbols: np.ndarray, size: int, powers: Powers) -> np.ndarray:
     """Hashes of all runs of ``size`` 64-bit symbols; equal runs have equal hashes."""
     n = len(symbols) - size + 1
     if n <= 0:
         return np.empty(0, U64)
-    up, down = powers.of(len(symbols))
-    sums = np.zeros(len(symbols) + 1, U64)
-    np.cumsum(symbols * up, out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * down[:n])
+    return sum_hashes(*powers.sums(symbols), size)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -84,17 +84,17 @@ def ties(t: arrays.Texts) -> np.ndarray:
 
 
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
-    """Where in each window the first smallest value lies."""
-    n = len(values)
-    low, at, span = values.copy(), np.arange(n), 1
+    """Where in each window the smallest value lies, by its leading 32 bits; the first of ties.
+
+    The place is kept below those bits, so that one minimum finds both.
+    """
+    low_bits = np.uint64(0xFFFFFFFF)
+    low, span = (values & ~low_bits) | np.arange(len(values), dtype=np.uint64), 1
     while span < width:
         step = min(span, width - span)
-        a, b = low[: n - step], low[step:]
-        take = b < a
-        low = np.where(take, b, a)
-        at = np.where(take, at[step : len(low) + step], at[: len(low)])
-        n, span = len(low), span + step
-    return at
+        low = np.minimum(low[: len(low) - step], low[step:])
+        span += step
+    return (low & low_bits).astype(np.int64)
 
 
 def stretches(t: arrays.Texts, rule: Rule, powers: arrays.Powers):
@@ -102,25 +102,31 @@ def stretches(t: arrays.Texts, rule: Rule, powers: arrays.Powers):
     symbols, offsets = rule.symbols(t)
     if len(symbols) < rule.length:
         return None
-    at = smallest(arrays.run_hashes(symbols, rule.inner, powers), rule.length - rule.inner + 1)
-    row = np.searchsorted(offsets, np.arange(len(at)), "right") - 1
-    inside = np.arange(len(at)) + rule.length <= offsets[row + 1]
-    new = np.r_[True, (at[1:] != at[:-1]) | (row[1:] != row[:-1])]
+    sums, down = powers.sums(symbols)
+    hashes = arrays.sum_hashes(sums, down, rule.inner)
+    at = smallest(hashes, rule.length - rule.inner + 1)
+    # Rows have runs from where they begin up to a window before their end.
+    size = np.diff(offsets)
+    counts = np.maximum(size - rule.length + 1, 0)
+    inside = np.zeros(len(at) + 1, np.int8)
+    some = counts > 0
+    inside[offsets[:-1][some]] = 1
+    np.subtract.at(inside, (offsets[:-1] + counts)[some], 1)
+    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+    new = np.r_[True, at[1:] != at[:-1]]
+    new[offsets[:-1][some]] = True
     first = np.flatnonzero(new & inside)
     if not len(first):
         return None
     # A stretch ends where the next one begins or the row has no more runs.
-    turn = np.flatnonzero(np.r_[new[1:] | (inside[:-1] & ~inside[1:]), True])
-    last = turn[np.searchsorted(turn, first)]
-    runs = last - first + 1
-    anchor = arrays.run_hashes(symbols, rule.inner, powers)[at[first]]
-    up, down = powers.of(len(symbols))
-    sums = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum(symbols * up, out=sums[1:])
+    row = np.searchsorted(offsets, first, "right") - 1
+    following = np.r_[first[1:], len(at)]
+    runs = np.minimum(following, (offsets[:-1] + counts)[row]) - first
+    anchor = hashes[at[first]]
     content = (sums[first + runs - 1 + rule.length] - sums[first]) * down[first]
     content = arrays.mix(content + runs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     content = arrays.mix(content ^ (at[first] - first).astype(np.uint64))
-    return row[first], first - offsets[row[first]], runs, anchor, content
+    return row, first - offsets[row], runs, anchor, content
 
 
 def _batch(columns: dict) -> pa.RecordBatch:
@@ -212,10 +218,13 @@ def busy_buckets(df: DataFrame, rule: Rule, doc_id: str, text: str) -> np.ndarra
         powers = arrays.Powers(POWERS_SEED)
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            c = _settled(batch, rule, powers)
-            if c is not None:
-                own = _bucket(c["anchor"][c["kind"] == ENTRY])
-                total += np.bincount(own, minlength=len(total))
+            parts = [stretches(t, rule, powers) for t in arrays.slices(batch.column("text"))]
+            parts = [x for x in parts if x is not None]
+            if parts:
+                anchor, content = (np.concatenate([x[i] for x in parts]) for i in (3, 4))
+                # Equal contents of a batch travel as one row.
+                _, one = np.unique(anchor ^ arrays.mix(content), return_index=True)
+                total += np.bincount(_bucket(anchor[one]), minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": some.astype(np.int32), "n": total[some]})
 
@@ -343,8 +352,9 @@ def refine(block: np.ndarray, symbols: np.ndarray, at: np.ndarray, length: int)
     share a block, so the number of rounds is the length of their common prefix.
     """
     out = np.full(len(at), -1, np.int64)
-    live = np.arange(len(at))
-    block = np.unique(block, return_inverse=True)[1].ravel()
+    _, block, count = np.unique(block, return_inverse=True, return_counts=True)
+    live = np.flatnonzero(count[block] > 1)
+    block = block[live]
     for depth in range(length):
         value = symbols[at[live] + depth]
         order = np.lexsort((value, block))
@@ -361,18 +371,25 @@ def refine(block: np.ndarray, symbols: np.ndarray, at: np.ndarray, length: int)
 
 def _refined(table: pa.Table, rule: Rule) -> dict:
     """Spans of the repeated runs among stretches that share their anchor."""
-    parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("symbols")]
+    place = {n: table.column(n).to_numpy() for n in ("anchor", "doc_id", "tie", "start")}
+    # Stretches of one text have no run in common, so their order is that of their runs.
+    order = np.lexsort((place["start"], place["tie"], place["doc_id"]))
+    place = {n: v[order] for n, v in place.items()}
+    column = table.column("symbols").combine_chunks()
+    parts = [np.frombuffer(column[int(k)].as_buffer(), np.uint64) for k in order]
     size = np.array([len(x) for x in parts])
     begin = np.cumsum(size) - size
     runs = size - rule.length + 1
     part = np.repeat(np.arange(len(parts)), runs)
     at = begin[part] + arrays.within(runs)
-    place = {n: table.column(n).to_numpy() for n in ("anchor", "doc_id", "tie", "start")}
     start = place["start"][part] + arrays.within(runs)
     doc, tie = place["doc_id"][part], place["tie"][part]
-    order = np.lexsort((start, tie, doc))
-    part, at, start, doc, tie = part[order], at[order], start[order], doc[order], tie[order]
-    name = refine(place["anchor"][part], np.concatenate(parts), at, rule.length)
+    symbols = np.concatenate(parts)
+    # Equal runs hold their anchor at the same place.
+    hashes = arrays.run_hashes(symbols, rule.inner, arrays.Powers(POWERS_SEED))
+    offset = smallest(hashes, rule.length - rule.inner + 1)[at] - at
+    group = np.unique(place["anchor"], return_inverse=True)[1].ravel()
+    name = refine(group[part] * rule.length + offset, symbols, at, rule.length)
     hit = np.flatnonzero(name >= 0)
     if rule.earlier:
         _, first = np.unique(name[hit], return_index=True)
