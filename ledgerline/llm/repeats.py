@@ -350,21 +350,31 @@ def refine(block: np.ndarray, symbols: np.ndarray, at: np.ndarray, length: int)
 
     Runs are told apart a symbol at a time, each round only those that still
     share a block, so the number of rounds is the length of their common prefix.
+    A round sorts no more than the blocks in which the symbol differs.
     """
     out = np.full(len(at), -1, np.int64)
     _, block, count = np.unique(block, return_inverse=True, return_counts=True)
     live = np.flatnonzero(count[block] > 1)
-    block = block[live]
+    live = live[np.argsort(block[live], kind="stable")]
+    block = np.unique(block[live], return_inverse=True)[1].ravel()
     for depth in range(length):
         value = symbols[at[live] + depth]
-        order = np.lexsort((value, block))
-        b, v = block[order], value[order]
-        new = np.r_[True, (b[1:] != b[:-1]) | (v[1:] != v[:-1])] if len(order) else np.empty(0, bool)
+        same = block[1:] == block[:-1]
+        differ = same & (value[1:] != value[:-1])
+        if not differ.any():
+            continue
+        mixed = np.zeros(block[-1] + 1, bool)
+        mixed[block[1:][differ]] = True
+        sub = np.flatnonzero(mixed[block])
+        order = sub[np.lexsort((value[sub], block[sub]))]
+        live[sub], value[sub] = live[order], value[order]
+        new = np.r_[True, ~same | (value[1:] != value[:-1])]
         name = np.cumsum(new) - 1
-        shared = np.bincount(name, minlength=1)[name] > 1 if len(name) else new
-        live, block = live[order][shared], name[shared]
+        shared = np.bincount(name)[name] > 1
+        live, name = live[shared], name[shared]
         if not len(live):
             return out
+        block = np.cumsum(np.r_[0, name[1:] != name[:-1]])
     out[live] = block
     return out
 
