@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.plans import ladder, monthly
 from ledgerline.registry.common import LADDER, PARAMS, snapshot, stats, tables
+from ledgerline.sources import star
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +71,16 @@ def test_vector_adds_up_to_spend(spark, small, clients):
     total = F.aggregate("monthly", F.lit(0).cast("long"), lambda a, x: a + x)
     both = vectors.select("customer_id", total.alias("t")).join(clients, "customer_id")
     none_of(both, "abs(t - spend12m) > 7 or t is null")
+
+
+def test_join_tasks_are_sized_by_lines(spark):
+    """Many lines are dealt out by order, a few stay as they lie; none is lost."""
+    schema = "l_orderkey bigint, l_partkey bigint"
+    rows = [(i // 3 if i % 7 else None, i) for i in range(300)] * 2
+    lines = spark.createDataFrame(rows, schema)
+    cores = spark.sparkContext.defaultParallelism
+    dealt = star.by_order(lines, task_lines=600 // (cores + 4))
+    assert dealt.rdd.getNumPartitions() >= cores + 4
+    assert sorted(dealt.collect(), key=str) == sorted(lines.collect(), key=str)
+    assert star.by_order(lines) is lines
+    assert star.by_order(lines.limit(0)).count() == 0
