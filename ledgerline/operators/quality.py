@@ -19,8 +19,8 @@ from ledgerline.schemas import CUSTOMERS, PRODUCTS, SALES
 REASONS = "reasons"
 COPIES = "copies"
 OPT_FLAGS = ("opt_email", "opt_sms", "opt_phone")
-# Fixed value: the date format of all input files.
-DAY = "yyyy-MM-dd"
+# Fixed value: the date format of all input files, up to the very end of the text.
+DAY = r"^\d{4}-\d{2}-\d{2}\z"
 
 
 class Checked(NamedTuple):
@@ -29,11 +29,15 @@ class Checked(NamedTuple):
 
 
 def typed(field: T.StructField) -> Column:
-    """The column in its declared type; NULL where the text does not fit."""
+    """The column in its declared type; NULL where the text does not fit.
+
+    A cast reads a well-formed day many times faster than a date pattern, and
+    rules read it several times a row.
+    """
+    value = F.col(field.name).try_cast(field.dataType)
     if isinstance(field.dataType, T.DateType):
-        well_formed = F.col(field.name).rlike(r"^\d{4}-\d{2}-\d{2}$")
-        return F.when(well_formed, F.try_to_date(field.name, DAY))
-    return F.col(field.name).try_cast(field.dataType)
+        return F.when(F.col(field.name).rlike(DAY), value)
+    return value
 
 
 def unreadable(field: T.StructField) -> Column:

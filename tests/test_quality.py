@@ -323,3 +323,20 @@ def test_only_busy_keys_are_spread(spark):
     assert repeated == [3, 18]
     plan = spread_join(left, right, "k", busy=some)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "ObjectHash" not in plan
+
+
+def test_days_are_read_by_cast(spark):
+    """Only whole, existing days in ten characters count, and no date pattern is run."""
+    days = {
+        "2024-02-29": "2024-02-29",
+        "0001-01-01": "0001-01-01",
+        **dict.fromkeys(
+            ["2023-02-29", "2024-13-01", "2024-1-1", "abcd-ef-gh", "", "2024-01-01\n", " 2024-01-01"]
+        ),
+        **dict.fromkeys(["2024-01-01T00", "12024-01-01", "2024-04-31", None]),
+    }
+    field = quality.SALES["invoice_date"]
+    rows = spark.createDataFrame([(d,) for d in days], "invoice_date string")
+    read = rows.select("invoice_date", quality.typed(field).cast("string").alias("day"))
+    assert {r.invoice_date: r.day for r in read.collect()} == days
+    assert "gettimestamp" not in read._jdf.queryExecution().optimizedPlan().toString()

@@ -264,3 +264,27 @@ def test_change_feed_of_consecutive_months_only(spark):
         (1, "client.category_changed", "Gold", None),
         (1, "client.became_inactive", "Active", "Not Active"),
     }
+
+
+def test_drops_join_the_lines_once(spark, small, monkeypatch):
+    """Landing in several files reads the joined sales once, not once a file."""
+    from ledgerline.registry import checks
+
+    seen = spark.sparkContext.accumulator(0)
+    joined = star.sales
+
+    def counted(lineitem, orders):
+        rows = joined(lineitem, orders)
+
+        def run(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return rows.mapInArrow(run, rows.schema)
+
+    total = star.load(spark, small).sales.count()
+    monkeypatch.setattr(star, "sales", counted)
+    refresh = checks.refreshed(spark, small, arrival.load_on_arrival)
+    assert seen.value == total
+    assert refresh.refused().count() == 1
