@@ -41,6 +41,7 @@ GAPS = (1, 2, 3)
 PIECE = 24  # letters of a word are compared in pieces of this many bytes, half overlapping
 LEAST = 0.45  # a kernel below this counts as none
 THRESHOLD = 0.7
+BLOCK = 2048  # sentences that the driver weighs at a time
 
 LETTERS = 63  # codes of letters; this one is no letter
 CODES = np.full(256, LETTERS, np.int32)
@@ -377,7 +378,7 @@ def fit(
     counts.unpersist()
     space = Space(found)
 
-    def shown(weights: np.ndarray) -> pd.DataFrame:
+    def shown(weights: np.ndarray) -> pa.Table:
         """The sentences that these weights call the worst, with class and share of their text."""
 
         def run(batches):
@@ -410,7 +411,7 @@ def fit(
         return (
             known.select("toxic", "text")
             .mapInArrow(run, "toxic long, share double, features array<float>")
-            .toPandas()
+            .toArrow()
         )
 
     weights, bias = np.r_[np.ones(len(space.pivots)), np.zeros(len(found))], 0.0
@@ -423,7 +424,7 @@ def fit(
             odds = np.clip((y > 0).mean() if len(y) else 0.0, 1e-3, 1 - 1e-3)
             flat = np.full(1, np.log(odds / (1 - odds)))
             return Model(found, np.zeros(space.size), 0.0, np.zeros((1, WORST + 1)), flat)
-        x = np.stack(got["features"].to_numpy()).astype(float)
+        x = got["features"].combine_chunks().flatten().to_numpy().reshape(len(y), space.size)
         weights, bias = train(space, x, y, got["share"].to_numpy())
 
     def weigh(batches):
@@ -455,23 +456,31 @@ def train(
     """Weights over features and the bias, by Newton steps of the squared hinge.
 
     Each sentence counts twice, once as if its words were spelled with a character
-    between all letters, so that the weights also hold for such spelling.
+    between all letters, so that the weights also hold for such spelling. Sums go
+    over a block of sentences at a time and the root is applied to them, so that no
+    second copy of the features is held.
     """
-    root = space.root()
-    x, y = np.vstack([x, x * space.gapped()]), np.r_[y, y]
-    share = np.r_[share, share] / 2
-    z = np.c_[x @ root, np.ones(len(x))]
-    cost = share / np.where(y > 0, share[y > 0].sum(), share[y < 0].sum()) / 2
-    w = np.zeros(z.shape[1])
+    root = np.eye(space.size + 1)
+    root[:-1, :-1] = space.root()
+    gapped = space.gapped()
+    cost = share / np.where(y > 0, share[y > 0].sum(), share[y < 0].sum()) / 4
+    w = np.zeros(len(root))
     ridge = 1e-3 * np.eye(len(w))
     for _ in range(60):
-        inside = y * (z @ w) < 1
-        zi = z[inside] * cost[inside, None]
-        step = np.linalg.solve(zi.T @ z[inside] + ridge, zi.T @ y[inside])
+        grams, sums, weights = np.zeros(root.shape), np.zeros(len(w)), root @ w
+        for at in range(0, len(x), BLOCK):
+            plain_part = x[at : at + BLOCK].astype(float)
+            for part in (plain_part, plain_part * gapped):
+                z, side = np.c_[part, np.ones(len(part))], y[at : at + BLOCK]
+                inside = side * (z @ weights) < 1
+                z, weighed = z[inside], z[inside] * cost[at : at + BLOCK][inside, None]
+                grams += weighed.T @ z
+                sums += weighed.T @ side[inside]
+        step = np.linalg.solve(root.T @ grams @ root + ridge, root.T @ sums)
         if np.allclose(step, w, atol=1e-9):
             break
         w = step
-    return root @ w[:-1], float(w[-1])
+    return (root @ w)[:-1], float(w[-1])
 
 
 def calibrated(x: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:

@@ -504,3 +504,27 @@ def test_pipeline(spark, small):
         normal[re.sub("[A-Z]", lambda m: m.group().lower(), r.text or "")] += 1
     assert max(normal.values()) == 1
     assert corpus_pipeline.run(spark, small).count() > 0
+
+
+def test_toxicity_trains_in_blocks():
+    """Training holds no second copy of its sentences, and its weights solve the problem."""
+    import tracemalloc
+
+    space = toxicity.Space(["idiot", "moron", "trottel", "imbecile", "pendejo", "garbage"])
+    draw = np.random.default_rng(1)
+    n = 3 * toxicity.BLOCK * 8 + 5
+    x = (draw.random((n, space.size)) * (draw.random((n, space.size)) < 0.2)).astype(np.float32)
+    y = np.where(x[:, 0] + draw.normal(0, 0.2, n) > 0.4, 1.0, -1.0)
+    share = draw.choice([1.0, 0.5], n)
+    tracemalloc.start()
+    weights, bias = toxicity.train(space, x, y, share)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * x.nbytes
+    root = space.root()
+    z = np.vstack([x, x * space.gapped()]) @ root
+    cost = np.tile(share / np.where(y > 0, share[y > 0].sum(), share[y < 0].sum()) / 4, 2)
+    side = np.tile(y, 2)
+    left = np.maximum(0, 1 - side * (z @ np.linalg.solve(root, weights) + bias)) * cost * side
+    assert np.allclose(left @ z, 1e-3 * np.linalg.solve(root, weights), atol=1e-6)
+    assert abs(left.sum() - 1e-3 * bias) < 1e-6
