@@ -306,9 +306,12 @@ def fit(
     reaches the driver is at most ``landmarks`` words, and for each text one
     sentence's features and its evidence.
     """
-    place = F.xxhash64("doc_id", "text").alias("place")
-    rows = (
-        df.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = df.select("doc_id", F.col("text").cast("string").alias("text")).withColumn(
+        "place", F.xxhash64("doc_id", "text")
+    )
+    # Only ids and hashes are shuffled; texts meet the few chosen rows where they lie.
+    ids = (
+        texts.select("doc_id", "place")
         .join(
             labels.where("toxic is not null and doc_id is not null")
             .groupBy("doc_id")
@@ -316,15 +319,14 @@ def fit(
             "doc_id",
         )
         .where(~in_fold(F.col("doc_id")))
-        .select("doc_id", "text", "toxic", place)
+        .distinct()
     )
-    ids = rows.select("doc_id", "toxic", "place").distinct()
     chosen = None
     for toxic in (0, 1):
         some = ids.where(F.col("toxic") == toxic).orderBy("place", "doc_id").limit(sample)
         chosen = some if chosen is None else chosen.union(some)
     known = (
-        rows.join(chosen.select("doc_id", "place"), ["doc_id", "place"], "left_semi")
+        texts.join(F.broadcast(chosen), ["doc_id", "place"])
         .dropDuplicates(["doc_id", "place"])
         .persist()
     )

@@ -528,3 +528,19 @@ def test_toxicity_trains_in_blocks():
     left = np.maximum(0, 1 - side * (z @ np.linalg.solve(root, weights) + bias)) * cost * side
     assert np.allclose(left @ z, 1e-3 * np.linalg.solve(root, weights), atol=1e-6)
     assert abs(left.sum() - 1e-3 * bias) < 1e-6
+
+
+def test_toxicity_keeps_texts_where_they_lie(spark, monkeypatch):
+    """Texts meet the few chosen rows by a broadcast, so joins shuffle none of them."""
+    docs = spark.createDataFrame([(i, f"text {i} of many words") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    plans, persist = [], type(docs).persist
+
+    def noted(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return persist(df, *args)
+
+    monkeypatch.setattr(type(docs), "persist", noted)
+    toxicity.fit(docs, labels)
+    joins = [x for x in plans[0].splitlines() if "Join" in x]
+    assert "rightHint=(strategy=broadcast)" in joins[0]
