@@ -11,8 +11,9 @@ a linked pair may have shingles that only one set has. What is left is
 counted on whole texts.
 
 Groups of near copies would give the square of their size in pairs. So a first
-round pairs each row of a column with the first and the next one, in the first few
-columns of each row by hash, and the second one takes every pair of rows that the
+round pairs each row of a column with the first and the next one, or in large columns
+along a tree of least differences, in the first few columns of each row by hash, and
+the second one takes every pair of rows that the
 first has not put into one component already. Components are the same as with all
 pairs. In the second round a pair meets in each column that it shares. Rows carry
 their first columns, and a pair whose lists have one in common leaves its block
@@ -27,6 +28,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,16 @@ FIRST = 4
 # Sketches of unlike sets differ in half their bits. Linked sets that may differ in
 # nearly as many shingles are told apart by counting the columns that they share.
 SHOWN = 30 * SKETCH_WORDS
-# Columns with this many rows or fewer are paired together in one numpy call.
+# Columns with this many rows or fewer are paired together, so many pairs in one numpy call.
 SMALL = 32
+PAIRS = 1 << 17
+# Rows of a larger column that one tree spans, and those of them that all its trees share.
+TREE = 2048
+HUBS = 16
+
+
+# Bytes of packed texts that are counted at once.
+PACKED = 1 << 20
 
 
 def spare(n):
@@ -70,53 +80,64 @@ def _name(shingles) -> bytes:
     return blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _sketch(shingles) -> list[int]:
+def _sketch(shingles) -> np.ndarray:
     bits = np.bincount((shingles & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64),
                        minlength=64 * SKETCH_WORDS)
-    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64).tolist()
+    return np.packbits((bits & 1).astype(np.uint8)).view(np.uint64)
 
 
 def _prefix(shingles, level, percent: int):
     """The columns of a set that are multiplied, from rare to common."""
     k = len(shingles) - -(-percent * len(shingles) // 100) + spare(len(shingles))
     rank = level[(shingles >> np.uint64(48)).astype(np.int64)]
-    return shingles[np.lexsort((shingles, rank))[:k]]
+    return shingles[np.argsort(rank, kind="stable")[:k]]
+
+
+def _lists(arrays_of: list[np.ndarray]) -> pa.ListArray:
+    """64-bit values as one Arrow list a row."""
+    ends = np.cumsum([0, *map(len, arrays_of)]).astype(np.int32)
+    values = np.concatenate([np.empty(0, np.uint64), *arrays_of])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
 
 
 def shingle_classes(
     df: DataFrame, levels: list[int], doc_id: str, text: str, size: int, percent: int
 ) -> DataFrame:
-    """doc_id, n_shingles, class (a name of the set; null if empty), its sketch and
-    its first columns, in order of hash."""
+    """doc_id, n_shingles, class (a name of the set; null if empty), its sketch, the
+    columns that are multiplied and the first of them, in order of hash."""
 
     def run(batches):
-        level = np.asarray(levels, np.uint64)
+        level = np.asarray(levels, np.int16)
         for batch in batches:
-            counts, names, sketches, firsts = [], [], [], []
+            counts, names, sketches, firsts, columns = [], [], [], [], []
             for _, shingles in _sets(batch, size):
                 counts.append(len(shingles))
                 names.append(_name(shingles) if len(shingles) else None)
                 sketches.append(_sketch(shingles))
-                first = np.sort(_prefix(shingles, level, percent)) if len(shingles) else shingles
+                chosen = _prefix(shingles, level, percent) if len(shingles) else shingles
                 # A short list repeats its last column, which changes no comparison.
-                first = np.pad(first[:FIRST], (0, max(0, FIRST - len(first))), "edge") if len(first) else np.zeros(FIRST, np.uint64)
-                firsts.append(first.view(np.int64).tolist())
+                first = np.sort(chosen)[:FIRST]
+                first = np.pad(first, (0, FIRST - len(first)), "edge") if len(first) else np.zeros(FIRST, np.uint64)
+                firsts.append(first)
+                columns.append(chosen)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(counts, pa.int64()),
                     pa.array(names, pa.binary()),
-                    pa.array(sketches, pa.list_(pa.int64())),
-                    pa.array(firsts, pa.list_(pa.int64())),
+                    _lists(sketches),
+                    _lists(firsts),
+                    _lists(columns),
                 ],
-                ["doc_id", "n_shingles", "class", "sketch", "first"],
+                ["doc_id", "n_shingles", "class", "sketch", "first", "columns"],
             )
 
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run,
-        f"doc_id {kind}, n_shingles long, class binary, sketch array<long>, first array<long>",
+        f"doc_id {kind}, n_shingles long, class binary, sketch array<long>, first array<long>, "
+        "columns array<long>",
     )
 
 
@@ -152,32 +173,11 @@ def commonness(df: DataFrame, text: str, size: int) -> list[int]:
     return np.maximum(0, np.round(2 * np.log2(np.maximum(total, 1) / usual))).astype(int).tolist()
 
 
-def incidence(df: DataFrame, levels: list[int], doc_id: str, text: str, size: int, percent: int):
+def incidence(docs: DataFrame) -> DataFrame:
     """The part of the matrix that is multiplied: shingle, class and n."""
-
-    def run(batches):
-        level = np.asarray(levels, np.uint64)
-        for batch in batches:
-            shingle, name, n = [], [], []
-            for _, shingles in _sets(batch, size):
-                if not len(shingles):
-                    continue
-                chosen = _prefix(shingles, level, percent)
-                shingle.append(chosen)
-                name += [_name(shingles)] * len(chosen)
-                n.append(np.full(len(chosen), len(shingles)))
-            if name:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(shingle).view(np.int64)),
-                        pa.array(name, pa.binary()),
-                        pa.array(np.concatenate(n).astype(np.int32)),
-                    ],
-                    ["shingle", "class", "n"],
-                )
-
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "shingle long, class binary, n int")
+    return docs.where("class is not null").select(
+        F.explode("columns").alias("shingle"), "class", F.col("n_shingles").cast("int").alias("n")
+    )
 
 
 def shared_columns(entries: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def shared_columns(entries: DataFrame) -> DataFrame:
             start, count = arrays.group_bounds(table.column("shingle").to_numpy())
             names = table.column("class").combine_chunks()
             # Sorted by class too: a copy has the name of its neighbour.
-            fresh = np.r_[True, np.asarray(names[1:]) != np.asarray(names[:-1])]
+            fresh = np.r_[True, pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)]
             fresh[start] = True
             group = np.repeat(np.arange(len(start)), count)
             many = np.bincount(group[fresh], minlength=len(start)) > 1
@@ -208,7 +208,7 @@ def _grid(start, count, most: int):
     for size in np.unique(count[(count > 1) & (count <= most)]):
         i, j = np.triu_indices(size, 1)
         heads = start[count == size]
-        step = max(1, 1_000_000 // len(i))
+        step = max(1, PAIRS // len(i))
         for k in range(0, len(heads), step):
             rows = heads[k : k + step, None]
             yield (rows + i).ravel(), (rows + j).ravel()
@@ -224,6 +224,41 @@ def _stars(start, count):
     yield rows[rows - 1 > rest] - 1, rows[rows - 1 > rest]
 
 
+def _trees(rows, excess):
+    """Pairs that make the likeliest links reach as many rows of a large column as they can.
+
+    Each tree takes up the row that differs least from one it has, so that rows that
+    only a chain of near copies joins are in one component after this.
+    """
+    for k in range(0, len(rows), TREE):
+        part = rows[k : k + TREE] if not k else np.r_[rows[:HUBS], rows[k : k + TREE]]
+        last, left = part[0], part[1:].copy()
+        near, least = np.full(len(left), last), np.full(len(left), 1 << 20)
+        a, b = [], []
+        while len(left):
+            found = excess(last, left)
+            near[found < least] = last
+            np.minimum(least, found, out=least)
+            best = int(least.argmin())
+            last = left[best]
+            if least[best] <= 0:
+                a.append(near[best])
+                b.append(last)
+            for x in (left, near, least):
+                x[best] = x[-1]
+            left, near, least = left[:-1], near[:-1], least[:-1]
+        yield np.asarray(a, np.int64), np.asarray(b, np.int64)
+
+
+def _ranked(values) -> tuple[pa.Array, np.ndarray]:
+    """The distinct values in order, and the place of each row's value among them."""
+    coded = values.combine_chunks().dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()]
+
+
 def _across(rows, component):
     """Every pair of rows of different components."""
     own = component[rows]
@@ -240,8 +275,9 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
 
     Rows of ``columns``: shingle, class, n, sketch, first, component. With
     ``first_only``, a row is paired only in its first columns, with the first row
-    there and the next; that finds most links, in a few pairs a row. Else all rows of a column are paired. Columns that a pair shares
-    are counted for sets so large that their sketches say little; any other pair
+    there and the next, or in a large column along a tree of the likeliest links; that
+    finds most links, in a few pairs a row. Else all rows of a column are paired. Columns
+    that a pair shares are counted for sets so large that their sketches say little; any other pair
     leaves at one of its columns if the lists of first columns tell which is first,
     so that hardly any is written twice.
     """
@@ -254,12 +290,15 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
             sketch = flat.view(np.uint64).reshape(-1, SKETCH_WORDS)
             flat = table.column("first").combine_chunks().flatten().to_numpy()
             firsts = flat.view(np.uint64).reshape(-1, FIRST)
-            ids, name = np.unique(
-                np.asarray(table.column("class").combine_chunks(), object), return_inverse=True
-            )
-            _, component = np.unique(
-                np.asarray(table.column("component").combine_chunks(), object), return_inverse=True
-            )
+            ids, name = _ranked(table.column("class"))
+            _, component = _ranked(table.column("component"))
+
+            def excess(a, b):
+                """By how many bits a pair differs above what a linked one may; no pair if 1 << 20."""
+                sizes = n[a] + n[b]
+                need = -(-percent * sizes // (100 + percent))
+                differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(-1, dtype=np.int64)
+                return np.where(np.minimum(n[a], n[b]) >= need, differ - sizes + 2 * need, 1 << 20)
 
             def allowed(a, b):
                 """The pairs that may be linked and that are to leave here."""
@@ -275,7 +314,10 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
 
             start, count = arrays.group_bounds(table.column("shingle").to_numpy())
             if first_only:
-                found = [_stars(start, count)]
+                small = count <= SMALL
+                found = [_stars(start[small], count[small])]
+                for first, size in zip(start[~small], count[~small], strict=True):
+                    found.append(_trees(np.arange(first, first + size), excess))
             else:
                 found = [_grid(start, count, SMALL)]
                 for first, size in zip(start[count > SMALL], count[count > SMALL], strict=True):
@@ -294,8 +336,8 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids[pairs[:, 0]], pa.binary()),
-                    pa.array(ids[pairs[:, 1]], pa.binary()),
+                    ids.take(pa.array(pairs[:, 0])),
+                    ids.take(pa.array(pairs[:, 1])),
                     pa.array(overlap.astype(np.int64)),
                     pa.array(np.concatenate(needs)[place]),
                 ],
@@ -335,7 +377,7 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
 
         for whole in batches:
-            for batch in arrays.in_parts(whole, "right"):
+            for batch in arrays.in_parts(whole, "right", PACKED):
                 sides = []
                 for side in ("left", "right"):
                     column = pa.array(unpacked(batch.column(side)), pa.large_binary())
@@ -385,9 +427,7 @@ def near_groups(
         ),
         "classes",
     )
-    columns = staged(
-        shared_columns(incidence(df, levels, doc_id, text, size, percent)), "columns"
-    )
+    columns = staged(shared_columns(incidence(docs)), "columns")
     wanted = columns.select("class").distinct().join(classes, "class")
     texts = staged(_texts_of(df, wanted, doc_id, text, size), "texts")
 

@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from ledgerline.llm import jaccard_join
@@ -68,3 +69,39 @@ def test_links_around_the_threshold_equal_all_pairs(spark, size, percent):
     table = spark.createDataFrame(docs, SCHEMA).repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_groups(table, size, percent).collect()}
     assert got == expected
+
+
+def test_a_group_around_the_threshold_is_linked_in_few_pairs(spark, monkeypatch):
+    random.seed(5)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = [random.choice(vocabulary) for _ in range(200)]
+    docs = [(0, " ".join(base), "", 0)]
+    for doc_id in range(1, 300):
+        # Each is a copy of some earlier one with a word changed, so many pairs differ too much.
+        words = random.choice(docs)[1].split()
+        docs.append((doc_id, edited(words, 1, vocabulary), "", 0))
+    expected, links = brute(docs, 4, 85)
+    counted, verify = [], jaccard_join.linked
+
+    def linked(pairs, *rest):
+        counted.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "linked", linked)
+    table = spark.createDataFrame(docs, SCHEMA).repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_groups(table).collect()}
+    assert got == expected
+    assert links > 2_000
+    assert sum(counted) < 3 * len(docs), counted
+
+
+@pytest.mark.parametrize("rows", [33, 2048, 2049, 5000])
+def test_trees_join_all_rows_that_are_alike(rows):
+    pairs = list(jaccard_join._trees(np.arange(rows), lambda a, b: abs(a - b) // 40 - 2 * (b % 2)))
+    a, b = (np.concatenate(side) for side in zip(*pairs, strict=True))
+    assert len(a) < rows + 16 * len(pairs)
+    reached = {0}
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        assert x in reached
+        reached.add(y)
+    assert reached >= set(range(1, rows, 2))
