@@ -11,7 +11,7 @@ a linked pair may have shingles that only one set has. What is left is
 counted on whole texts.
 
 Groups of near copies would give the square of their size in pairs. So a first
-round pairs each row of a column with the first and the next one, or in large columns
+round pairs each row of a column with the first and the next one, and in large columns
 along a tree of least differences, in the first few columns of each row by hash, and
 the second one takes every pair of rows that the
 first has not put into one component already. Components are the same as with all
@@ -42,6 +42,7 @@ PERCENT = 85
 # what every task needs to know of the corpus has a fixed size.
 BUCKETS = 1 << 16
 SKETCH_WORDS = 16  # of 64 bits
+HALF = 32 * SKETCH_WORDS
 # First columns of a row, by hash, that all its entries carry.
 FIRST = 4
 # Sketches of unlike sets differ in half their bits. Linked sets that may differ in
@@ -57,6 +58,8 @@ HUBS = 16
 
 # Bytes of packed texts that are counted at once.
 PACKED = 1 << 20
+# Rows of pairs that a task holds to add up their counts.
+HELD = 1 << 18
 
 
 def spare(n):
@@ -275,7 +278,7 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
 
     Rows of ``columns``: shingle, class, n, sketch, first, component. With
     ``first_only``, a row is paired only in its first columns, with the first row
-    there and the next, or in a large column along a tree of the likeliest links; that
+    there and the next, in a large column along a tree of the likeliest links too; that
     finds most links, in a few pairs a row. Else all rows of a column are paired. Columns
     that a pair shares are counted for sets so large that their sketches say little; any other pair
     leaves at one of its columns if the lists of first columns tell which is first,
@@ -283,6 +286,9 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
     """
 
     def run(batches):
+        yield from _added_up(found(batches))
+
+    def found(batches):
         for table in arrays.whole_groups(batches, "shingle"):
             n = table.column("n").to_numpy().astype(np.int64)
             shingle = table.column("shingle").to_numpy().view(np.uint64)
@@ -294,11 +300,13 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
             _, component = _ranked(table.column("component"))
 
             def excess(a, b):
-                """By how many bits a pair differs above what a linked one may; no pair if 1 << 20."""
+                """Above 0 for a pair that differs in more bits than linked ones do as a rule."""
                 sizes = n[a] + n[b]
                 need = -(-percent * sizes // (100 + percent))
                 differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(-1, dtype=np.int64)
-                return np.where(np.minimum(n[a], n[b]) >= need, differ - sizes + 2 * need, 1 << 20)
+                # Many differing shingles meet in a bit, so that sketches of large sets differ less.
+                usual = HALF * (1 - np.exp((2 * need - sizes) / HALF)) + 3 * np.sqrt(HALF / 2)
+                return np.where(np.minimum(n[a], n[b]) >= need, differ - usual.astype(np.int64), 1 << 20)
 
             def allowed(a, b):
                 """The pairs that may be linked and that are to leave here."""
@@ -314,16 +322,15 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
 
             start, count = arrays.group_bounds(table.column("shingle").to_numpy())
             if first_only:
-                small = count <= SMALL
-                found = [_stars(start[small], count[small])]
-                for first, size in zip(start[~small], count[~small], strict=True):
-                    found.append(_trees(np.arange(first, first + size), excess))
+                tried = [_stars(start, count)]
+                for first, size in zip(start[count > SMALL], count[count > SMALL], strict=True):
+                    tried.append(_trees(np.arange(first, first + size), excess))
             else:
-                found = [_grid(start, count, SMALL)]
+                tried = [_grid(start, count, SMALL)]
                 for first, size in zip(start[count > SMALL], count[count > SMALL], strict=True):
-                    found.append(_across(np.arange(first, first + size), component))
+                    tried.append(_across(np.arange(first, first + size), component))
             codes, needs = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
-            for a, b in (pair for pairs in found for pair in pairs):
+            for a, b in (pair for pairs in tried for pair in pairs):
                 ok = allowed(a, b)
                 codes.append(np.sort(np.stack([name[a[ok]], name[b[ok]]], 1), 1))
                 a, b = a[ok], b[ok]
@@ -346,18 +353,37 @@ def pairs_in_columns(columns: DataFrame, percent: int, first_only: bool) -> Data
 
     if first_only:
         columns = columns.where(F.array_contains("first", F.col("shingle")))
-    found = (
+    parts = (
         columns.repartition("shingle")
         .sortWithinPartitions("shingle", "class")
         .select("shingle", "class", "n", "sketch", "first", "component")
         .mapInArrow(run, "a binary, b binary, overlap long, need long")
     )
-    counted = found.groupBy("a", "b").agg(
+    counted = parts.groupBy("a", "b").agg(
         F.sum("overlap").alias("overlap"), F.min("need").alias("need")
     )
     return counted.where(F.col("overlap") >= F.col("need")).select("a", "b")
 
 
+def _added_up(batches):
+    """Batches of pairs with the counts of a pair added up, over ``HELD`` rows or more."""
+    held, rows = [], 0
+
+    def added():
+        table = pa.Table.from_batches(held).group_by(["a", "b"])
+        table = table.aggregate([("overlap", "sum"), ("need", "min")])
+        return table.rename_columns(["a", "b", "overlap", "need"]).combine_chunks().to_batches()
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD:
+            yield from added()
+            held, rows = [], 0
+    if rows:
+        yield from added()
+
+
 def _leaves_here(left, right, shingle):
     """Whether a pair of rows that meet at a column is to leave there.
 

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import jaccard_join
@@ -97,7 +98,8 @@ def test_a_group_around_the_threshold_is_linked_in_few_pairs(spark, monkeypatch)
 
 @pytest.mark.parametrize("rows", [33, 2048, 2049, 5000])
 def test_trees_join_all_rows_that_are_alike(rows):
-    pairs = list(jaccard_join._trees(np.arange(rows), lambda a, b: abs(a - b) // 40 - 2 * (b % 2)))
+    # Rows are alike if near each other, or if one of them is among the first.
+    pairs = list(jaccard_join._trees(np.arange(rows), lambda a, b: np.minimum(abs(a - b), np.minimum(a, b)) // 40 - 2 * (b % 2)))
     a, b = (np.concatenate(side) for side in zip(*pairs, strict=True))
     assert len(a) < rows + 16 * len(pairs)
     reached = {0}
@@ -105,3 +107,15 @@ def test_trees_join_all_rows_that_are_alike(rows):
         assert x in reached
         reached.add(y)
     assert reached >= set(range(1, rows, 2))
+
+
+def test_counts_of_a_pair_are_added_up_over_batches(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HELD", 4)
+    names = ["a", "b", "overlap", "need"]
+    batch = pa.RecordBatch.from_pydict(dict(zip(names, ([b"x", b"y"], [b"z", b"z"], [1, 2], [3, 1]), strict=True)))
+    none = batch.slice(0, 0)
+    tables = [pa.Table.from_batches([b]) for b in jaccard_join._added_up([none, batch, batch, none, batch])]
+    assert [sorted(tuple(r.values()) for r in t.to_pylist()) for t in tables] == [
+        [(b"x", b"z", 2, 3), (b"y", b"z", 4, 1)], [(b"x", b"z", 1, 3), (b"y", b"z", 2, 1)]
+    ]
+    assert list(jaccard_join._added_up([none])) == []
