@@ -346,6 +346,42 @@ def test_rare_words_score_by_their_counts(spark):
     assert got[1] - got[0] == pytest.approx(np.log(many[0] / few[0]), rel=1e-6)
 
 
+def test_counts_beyond_the_shared_ones_are_joined(spark):
+    # No counts, some and all reach every task; a text also has words the corpus lacks.
+    tail = " ".join([f"often{i} " * (1 + i % 5) for i in range(1500)])
+    corpus = spark.createDataFrame([(i, tail) for i in range(3)], "doc_id long, text string")
+    rows = [(1, tail), (1, tail), (2, "often7 never-met often9"), (None, None), (3, "")]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for known in (0, 500, lm_score.KNOWN):
+        model = lm_score.fit(corpus, rounds=1, known=known)
+        vocab = model[0]
+        assert len(vocab.known[0]) <= known and len(vocab.known[0]) + vocab.counts.count() == 1500
+        got.append(sorted(map(str, lm_score.scores(some, model).withColumn(
+            "log_likelihood", F.round("log_likelihood", 4)).drop("per_word").collect())))
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+
+
+def test_training_follows_the_gradient(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(lm_score, "CHUNK", 4)
+    flat = (lm_score.initial() * 3).astype(np.float64)
+    around, words = rng.integers(0, lm_score.SIZE, (4, 60)), rng.integers(0, 70, 60)
+    loss = lambda x: -lm_score.log_probabilities(lm_score.views(x), around, words).mean()
+    after, squares = flat.copy(), np.zeros(lm_score.TOTAL) + 1e6
+    lm_score.train(after, squares, around, words)
+    # Squares so large that the step is the gradient itself, up to a factor.
+    grad = (flat - after) * 1e3 / lm_score.RATE
+    for at in rng.choice(np.flatnonzero(grad), 200, False):
+        up, down = flat.copy(), flat.copy()
+        up[at] += 1e-4
+        down[at] -= 1e-4
+        assert grad[at] == pytest.approx((loss(up) - loss(down)) / 2e-4, rel=1e-2, abs=1e-6)
+    # Words without a share of the loss of any example leave their weights as they are.
+    still = np.setdiff1d(np.arange(lm_score.SIZE), around[0])
+    assert (lm_score.views(after)["embed"][0][still] == lm_score.views(flat)["embed"][0][still]).all()
+
+
 def test_every_word_is_a_target_once(spark):
     sizes = np.array([3, 0, 22, 1])
     for rounds in (1, 2, lm_score.ROUNDS):
