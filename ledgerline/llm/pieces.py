@@ -14,23 +14,26 @@ byte-pair model, whose scores are merge ranks and not log-probabilities; for it
 the fold merges the best-ranked neighbours first, which gives the library's own
 ids, where the best path would not.
 
-Words frequent in the corpus reach every task as a table of at most ``KNOWN``
-entries; each text's other words come back to it through a join.
+Texts are cut as arrays of code points, and a word is known by a 64-bit hash of its
+own. Words frequent in the corpus reach every task as arrays of at most ``KNOWN``
+entries; each text's other words come back through a join to what is known of its ids.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-import re
-from collections import Counter
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import arrays
-from ledgerline.llm.common import packed_texts, partitions, staged, unpacked
+from ledgerline.llm.common import partitions, staged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -38,7 +41,8 @@ KNOWN = 1 << 19
 LONG = 48  # longer words don't count as frequent
 BITS = 61  # longer words are merged by a queue
 SHARE = 16384  # words whose edges one task groups
-TOKENS = re.compile(" *[^ ]+| +")
+SLICE = 1 << 17  # bytes of texts that are cut at once
+MERGED = 256  # slices whose words leave a task as one
 
 
 class Pieces:
@@ -58,57 +62,108 @@ class Pieces:
         self.most = max(len(p) for p, _, _ in self.rows)
         self.pairs = {p[k : k + 2] for p, _, _ in self.rows for k in range(len(p) - 1)}
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "piece string, id int, score double")
-
-
-def tokens_of(text: str) -> list[str]:
-    """The runs of a text from blanks to the next blanks, with a blank before the first."""
-    if not text:
-        return []
-    if BLANK in text:
-        text = text.replace(BLANK, " ")
-    return TOKENS.findall(" " + text)
-
+    def late(self) -> set[str]:
+        """Pieces that two parts make of which one, by its score, comes no sooner."""
+        score = {p: s for p, _, s in self.rows}
+        return {
+            p
+            for p, _, s in self.rows
+            for parts in ((p[:k], p[k:]) for k in range(1, len(p)))
+            if all(len(x) == 1 or x in score for x in parts)
+            and any(len(x) > 1 and score[x] <= s for x in parts)
+        }
 
-def words_of(token: str, pairs: set[str]) -> list[str]:
-    """The words of a token, blank signs in place of blanks."""
-    token = token.replace(" ", BLANK)
-    out, first = [], 0
-    for k in range(1, len(token)):
-        if token[k - 1 : k + 1] not in pairs:
-            out.append(token[first:k])
-            first = k
-    out.append(token[first:])
-    return out
+    def table(self, spark: SparkSession) -> DataFrame:
+        late = self.late()
+        rows = [(*r, r[0] in late) for r in self.rows]
+        return spark.createDataFrame(rows, "piece string, id int, score double, late boolean")
+
+
+class Cutter:
+    """Which characters stand side by side in a piece, as a table of their classes."""
+
+    def __init__(self, pairs: set[str]) -> None:
+        chars = sorted({c for p in pairs for c in p})
+        of = {c: k for k, c in enumerate(chars, 1)}
+        self.kind = np.zeros(0x110000, np.uint16)
+        self.kind[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for p in pairs:
+            self.joined[of[p[0]], of[p[1]]] = True
+
+    def cut(self, t: arrays.Texts) -> tuple[np.ndarray, arrays.Words]:
+        """The code points of a slice, with a blank before each text, and its words.
+
+        A word begins where blanks do, and wherever no piece has the two characters.
+        """
+        chars = np.frombuffer(t.data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        before = np.r_[0, np.cumsum((t.data & 0xC0) != 0x80)][t.offsets]
+        filled = before[1:] > before[:-1]
+        chars = np.insert(chars, before[:-1][filled], ord(BLANK))
+        rows = before + np.r_[0, np.cumsum(filled)]
+        chars[chars == ord(" ")] = ord(BLANK)
+        blank, kind = chars == ord(BLANK), self.kind[chars]
+        begins = np.ones(len(chars), bool)
+        begins[1:] = ~self.joined[kind[:-1], kind[1:]] | (blank[1:] & ~blank[:-1])
+        begins[rows[:-1][filled]] = True
+        start = np.flatnonzero(begins)
+        return chars, arrays.Words(start, np.r_[start[1:], len(chars)][: len(start)], np.searchsorted(start, rows))
+
+
+def spelled(chars: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Runs of code points as strings."""
+    flat = chars[np.repeat(start, length) + arrays.within(length)]
+    size = 1 + (flat >= 0x80).astype(np.int32) + (flat >= 0x800) + (flat >= 0x10000)
+    ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(length)]].astype(np.int32)
+    data = flat.astype("<u4").tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(length), pa.py_buffer(ends), pa.py_buffer(data))
 
 
 def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
-    """word, n: all distinct words of all texts, counted."""
+    """key, word, n: all distinct words of all texts with their hashes, counted."""
+
+    def merged(parts):
+        h, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        order = np.argsort(h)
+        start, _ = arrays.group_bounds(h[order])
+        words = pa.concat_arrays([p[2] for p in parts]).take(pa.array(order[start]))
+        n = np.add.reduceat(n[order], start) if len(h) else n
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h[order][start].view(np.int64)), words, pa.array(n)], ["key", "word", "n"]
+        )
 
     def run(batches):
+        cutter = Cutter(pairs)
         for batch in batches:
-            tokens: Counter[str] = Counter()
-            for value in batch.column("text"):
-                tokens.update(tokens_of(value.as_py()))
-            seen: Counter[str] = Counter()
-            for token, n in tokens.items():
-                for word in words_of(token, pairs):
-                    seen[word] += n
-            yield pa.RecordBatch.from_pydict(
-                {"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())}
-            )
+            parts = []
+            for t in arrays.slices(batch.column("text"), SLICE):
+                chars, w = cutter.cut(t)
+                h, first, n = np.unique(
+                    arrays.word_hashes(chars, w), return_index=True, return_counts=True
+                )
+                parts.append((h, n, spelled(chars, w.start[first], (w.end - w.start)[first])))
+                if len(parts) == MERGED:
+                    yield merged(parts)
+                    parts = []
+            if parts:
+                yield merged(parts)
 
     rows = df.select(F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return (
+        rows.mapInArrow(run, "key long, word string, n long")
+        .groupBy("key", "word")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def lattice(words: DataFrame, table: DataFrame, most: int) -> DataFrame:
-    """Each word with its edges, the best first: rank, first (from 1), chars, id.
+    """Each word with its edges, the best first: rank, first (from 1), chars, id, the bits
+    of the boundaries before and behind (``ends``) and within (``inner``), ``late``.
 
-    A character that is no piece has an edge too, without rank and id.
+    A character that is no piece has an edge too, without rank and id. Words are grouped
+    by ``key``, a number, which sorts faster than they do.
     """
-    spans = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("first"))
+    spans = words.select("key", "word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("first"))
     spans = spans.select(
         "*",
         F.explode(
@@ -117,8 +172,18 @@ def lattice(words: DataFrame, table: DataFrame, most: int) -> DataFrame:
     ).withColumn("piece", F.substr("word", "first", "chars"))
     # The table is as large as the model's vocabulary, whatever the corpus.
     found = spans.join(F.broadcast(table), "piece", "left").where("id is not null or chars = 1")
-    edge = F.struct((-F.col("score")).alias("rank"), "first", "chars", "id")
-    return found.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    first = _bit(F.col("first") - 1)
+    last = _bit(F.col("first") - 1 + F.col("chars"))
+    edge = F.struct(
+        (-F.col("score")).alias("rank"),
+        "first",
+        "chars",
+        "id",
+        first.bitwiseOR(last).alias("ends"),
+        (last - _bit(F.col("first"))).alias("inner"),
+        "late",
+    )
+    return found.groupBy("key", "word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def bound(value: Column, use) -> Column:
@@ -130,16 +195,6 @@ def _bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
-def _ends(e: Column) -> Column:
-    """The bits of the boundaries before and behind an edge."""
-    return _bit(e["first"] - 1).bitwiseOR(_bit(e["first"] - 1 + e["chars"]))
-
-
-def _inner(e: Column) -> Column:
-    """The bits of the boundaries within an edge."""
-    return _bit(e["first"] - 1 + e["chars"]) - _bit(e["first"])
-
-
 def _ids(word: Column, e: Column, pieces: Pieces) -> Column:
     """The ids of an edge. A character that is no piece becomes its bytes, or unknown."""
     first = pieces.bytes.get("<0x00>")
@@ -157,48 +212,63 @@ def _merged(word: Column, edges: Column, pieces: Pieces) -> Column:
     """Merge the best neighbours, the first of equals, until no piece is left to make.
 
     The state is the set of boundaries between parts, as the bits of a number; an
-    edge can be made if both its ends and just one boundary within are left. The
-    number is negative once no edge can.
+    edge can be made if both its ends and just one boundary within are left. Only
+    the merge of one of its two parts makes that so. All edges are therefore settled
+    in turn, unless such a part comes after the edge (``late``) and does make it
+    possible. Then the number is negative, and the best edge is looked for anew
+    after each merge, until the number is negative since there is none.
     """
-    steps = F.transform(
-        F.filter(edges, lambda e: e["chars"] > 1),
-        lambda e: F.struct(_ends(e).alias("ends"), _inner(e).alias("inner")),
-    )
 
-    def fold(steps: Column) -> Column:
-        def step(mask: Column, _: Column) -> Column:
-            def made(e: Column) -> Column:
-                within = mask.bitwiseAND(e["inner"])
-                return (
-                    (mask.bitwiseAND(e["ends"]) == e["ends"])
-                    & (within != 0)
-                    & (within.bitwiseAND(within - 1) == 0)
-                )
+    def made(mask: Column, e: Column) -> Column:
+        within = mask.bitwiseAND(e["inner"])
+        return (
+            (within != 0)
+            & (within.bitwiseAND(within - 1) == 0)
+            & (mask.bitwiseAND(e["ends"]) == e["ends"])
+        )
+
+    def merge(mask: Column, inner: Column) -> Column:
+        return mask - mask.bitwiseAND(inner)
 
-            best = F.get(F.filter(steps, made), F.lit(0))["inner"]
+    def settled(lates: Column) -> Column:
+        def step(mask: Column, e: Column) -> Column:
+            def checked(new: Column) -> Column:
+                passed = F.exists(lates, lambda x: (x["rank"] < e["rank"]) & made(new, x))
+                return F.when(passed, F.lit(-1).cast("long")).otherwise(new)
+
+            return F.when((mask > 0) & made(mask, e), bound(merge(mask, e["inner"]), checked)).otherwise(mask)
+
+        return F.aggregate(edges, start, step)
+
+    def again(steps: Column) -> Column:
+        def step(mask: Column, _: Column) -> Column:
+            best = F.get(F.filter(steps, lambda e: made(mask, e)), F.lit(0))["inner"]
             return F.when(mask < 0, mask).otherwise(
                 bound(
-                    best,
-                    lambda inner: F.when(inner.isNull(), -mask).otherwise(
-                        mask - mask.bitwiseAND(inner)
-                    ),
+                    best, lambda inner: F.when(inner.isNull(), -mask).otherwise(merge(mask, inner))
                 )
             )
 
-        length = F.length(word)
-        return F.abs(F.aggregate(F.sequence(F.lit(1), length), _bit(length + 1) - 1, step))
+        return F.abs(F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step))
+
+    start = _bit(F.length(word) + 1) - 1
+    steps = F.filter(edges, lambda e: e["chars"] > 1)
+    mask = bound(
+        bound(F.filter(edges, lambda e: e["late"]), settled),
+        lambda once: F.when(once < 0, bound(steps, again)).otherwise(once),
+    )
 
     def path(mask: Column) -> Column:
         kept = F.filter(
             edges,
-            lambda e: (mask.bitwiseAND(_ends(e)) == _ends(e)) & (mask.bitwiseAND(_inner(e)) == 0),
+            lambda e: (mask.bitwiseAND(e["inner"]) == 0) & (mask.bitwiseAND(e["ends"]) == e["ends"]),
         )
-        parts = F.array_sort(
+        parts = F.sort_array(
             F.transform(kept, lambda e: F.struct(e["first"].alias("first"), e["id"].alias("id")))
         )
         return F.flatten(F.transform(parts, lambda e: _ids(word, e, pieces)))
 
-    return bound(bound(steps, fold), path)
+    return bound(mask, path)
 
 
 def _best_path(word: Column, edges: Column, pieces: Pieces) -> Column:
@@ -259,7 +329,7 @@ def merged_run(word: str, table: dict[str, tuple[int, float]]) -> list[str]:
 
 
 def _long_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """word, n, ids of words with more characters than a number has bits."""
+    """key, word, n, ids of words with more characters than a number has bits."""
     table = {p: (i, score) for p, i, score in pieces.rows}
     codes, unknown = pieces.bytes, pieces.unknown
 
@@ -277,24 +347,23 @@ def _long_words(words: DataFrame, pieces: Pieces) -> DataFrame:
                         own.append(unknown)
                 ids.append(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))],
-                ["word", "n", "ids"],
+                [*batch.columns, pa.array(ids, pa.list_(pa.int32()))], ["key", "word", "n", "ids"]
             )
 
-    return words.mapInArrow(run, "word string, n long, ids array<int>")
+    return words.mapInArrow(run, "key long, word string, n long, ids array<int>")
 
 
 def encoded_words(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFrame:
-    """word, n, ids of distinct words. A character that is no piece becomes its
+    """key, word, n, ids of distinct words. A character that is no piece becomes its
     bytes, or unknown."""
-    words = words.select("word", "n")
+    words = words.select("key" if "key" in words.columns else F.xxhash64("word").alias("key"), "word", "n")
     fits = F.length("word") <= BITS if pieces.merges else F.lit(True)
     fold = _merged if pieces.merges else _best_path
     # More tasks than the bytes of the words ask for, as each word has many edges.
     tasks = max(partitions(words), words.count() // SHARE + 1)
-    spread = words.where(fits).repartition(tasks, "word")
+    spread = words.where(fits).repartition(tasks, "key")
     rows = lattice(spread, table, pieces.most).select(
-        "word", "n", bound(F.col("edges"), lambda e: fold(F.col("word"), e, pieces)).alias("ids")
+        "key", "word", "n", bound(F.col("edges"), lambda e: fold(F.col("word"), e, pieces)).alias("ids")
     )
     return rows.unionByName(_long_words(words.where(~fits), pieces)) if pieces.merges else rows
 
@@ -334,11 +403,10 @@ def encoded(
     pairs = pieces.pairs
     words = staged(distinct_words(df, pairs, text), "words")
     coded = staged(encoded_words(words, pieces, pieces.table(spark)), "coded-words")
-    got = frequent_words(coded, known).select("word", "ids").toArrow()
-    wide = "u2" if len(pieces.pieces) < 65536 else "u4"
+    wide = np.uint16 if len(pieces.pieces) < 65536 else np.uint32
+    width = np.dtype(wide).itemsize
     frequent = spark.sparkContext.broadcast(
-        {w.as_py(): i.values.to_numpy().astype(wide).tobytes()
-         for w, i in zip(got.column("word"), got.column("ids"), strict=True)}
+        KnownWords.of(frequent_words(coded, known).select("key", "ids").toArrow(), wide)
     )
     value = F.col(text).cast("string")
     # Rows that share a key only share the words looked up for them.
@@ -349,75 +417,150 @@ def encoded(
     )
 
     def rare(batches):
-        table, lacking = frequent.value, {}
+        cutter, table = Cutter(pairs), frequent.value
         for batch in batches:
-            keys, out = [], []
-            for key, value in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
-                other: set[str] = set()
-                for token in set(tokens_of(value.as_py())):
-                    lack = lacking.get(token)
-                    if lack is None:
-                        lack = tuple(w for w in words_of(token, pairs) if w not in table)
-                        lacking[token] = lack
-                    other.update(lack)
-                keys += [key] * len(other)
-                out += other
-                if len(lacking) > known:
-                    lacking.clear()
-            yield pa.RecordBatch.from_pydict(
-                {"key": pa.array(keys, pa.int64()), "word": pa.array(out, pa.string())}
-            )
+            for t in arrays.slices(batch.column("text"), SLICE):
+                h, offsets, at = table.cut(cutter, t)
+                open_ = np.flatnonzero(at < 0)
+                row = np.searchsorted(offsets, open_, "right") - 1
+                # Each word of a row once.
+                order = np.lexsort((h[open_], row))
+                row, h = row[order], h[open_][order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+                key = batch.column("key").to_numpy()[t.first : t.first + t.rows]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[row[new]]), pa.array(h[new].view(np.int64))], ["row", "key"]
+                )
 
     found = (
         keyed.select("key", "text")
-        .mapInArrow(rare, "key long, word string")
-        .join(coded.select("word", "ids"), "word")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("word", "ids")).alias("others"))
+        .mapInArrow(rare, "row long, key long")
+        .join(coded.select("key", "ids"), "key")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("key", "ids")).alias("others"))
     )
-    decode = decoder(pieces)
 
-    def run(batches):
-        import numpy as np
+    def known_ids(batches):
+        cutter, table = Cutter(pairs), frequent.value
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for t in arrays.slices(batch.column("text"), SLICE):
+                h, offsets, at = table.cut(cutter, t)
+                ids, sizes = table.ids_of(at)
+                ends = np.r_[0, np.cumsum(sizes)]
+                open_ = np.flatnonzero(at < 0)
+                between = np.searchsorted(open_, offsets)
+                packed, gaps = [], []
+                for k in range(t.rows):
+                    a, b = ends[offsets[k]], ends[offsets[k + 1]]
+                    # The low bytes, then the high ones.
+                    packed.append(squeeze(ids[a:b].view(np.uint8).reshape(-1, width).T.tobytes()))
+                    own = open_[between[k] : between[k + 1]]
+                    gaps.append(np.r_[ends[own] - a, h[own].view(np.int64)].tobytes())
+                texts = [t.data[a:b] for a, b in zip(t.offsets, t.offsets[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(t.first, t.rows),
+                     batch.column("doc_id").slice(t.first, t.rows), pa.array(packed, pa.binary()),
+                     pa.array(gaps, pa.binary()), pa.array([digest(x) for x in texts], pa.binary())],
+                    ["row", "doc_id", "packed", "gaps", "digest"],
+                )
+
+    raw = _bytes_of(pieces)
 
-        table, coded_tokens = frequent.value, {}
+    def run(batches):
+        expand = zstandard.ZstdDecompressor().decompress
         for whole in batches:
-            for batch in arrays.in_parts(whole, "packed"):
+            for batch in arrays.in_parts(whole, "packed", 1 << 20):
                 ids, same = [], []
-                for raw, others in zip(unpacked(batch.column("packed")), batch.column("others"), strict=True):
-                    value = raw.decode()
+                bounds, keys, starts, flat = _lists(batch.column("others"))
+                for k, (x, y, z) in enumerate(
+                    zip(*(batch.column(c).to_pylist() for c in ("packed", "gaps", "digest")), strict=True)
+                ):
+                    got = np.frombuffer(expand(x), np.uint8).reshape(width, -1)
+                    got = np.ascontiguousarray(got.T).view(wide).ravel()
+                    places, lacking = np.frombuffer(y, np.int64).reshape(2, -1)
                     own = {
-                        o["word"]: np.asarray(o["ids"], wide).tobytes() for o in others.as_py() or ()
+                        keys[j]: flat[starts[j] : starts[j + 1]] for j in range(*bounds[k])
                     }
-                    got = []
-                    for token in tokens_of(value):
-                        code = coded_tokens.get(token)
-                        if code is None:
-                            code = b"".join(
-                                [table[w] if w in table else own[w] for w in words_of(token, pairs)]
-                            )
-                            coded_tokens[token] = code
-                        got.append(code)
-                    if len(coded_tokens) > known:
-                        coded_tokens.clear()
-                    ids.append(np.frombuffer(b"".join(got), wide).astype(np.int32))
-                    same.append(decode(ids[-1].tolist()) == value)
+                    parts, last = [], 0
+                    for place, key in zip(places.tolist(), lacking.tolist(), strict=True):
+                        parts += [got[last:place], own[key]]
+                        last = place
+                    ids.append(np.concatenate([*parts, got[last:]]).astype(np.int32))
+                    text = b"".join([raw[i] for i in ids[-1].tolist()])
+                    # The blank that encoding puts before the text.
+                    same.append(digest(text[1:] if text.startswith(b" ") else text) == z)
                 yield pa.RecordBatch.from_pydict(
                     {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
                      "round_trip": pa.array(same, pa.bool_())}
                 )
 
-    texts = packed_texts(keyed, "doc_id", "text", "key")
-    return texts.join(found, "key", "left").mapInArrow(
+    texts = keyed.mapInArrow(
+        known_ids, "row long, doc_id long, packed binary, gaps binary, digest binary"
+    )
+    return texts.join(found, "row", "left").mapInArrow(
         run, "doc_id long, ids array<int>, round_trip boolean"
     )
 
 
-def decoder(pieces: Pieces):
-    """A function from ids to the text."""
+def digest(data) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _lists(others: pa.Array) -> tuple[list, list, np.ndarray, np.ndarray]:
+    """Of lists of words with ids: each row's bounds, the words' keys, where their ids begin, ids."""
+    values, ends = others.values, others.offsets.to_numpy()
+    full = others.is_valid().to_pylist()
+    bounds = [(a, b) if f else (0, 0) for a, b, f in zip(ends.tolist(), ends[1:].tolist(), full, strict=False)]
+    own = values.field("ids")
+    return bounds, values.field("key").to_pylist(), own.offsets.to_numpy(), own.values.to_numpy()
+
+
+class KnownWords(NamedTuple):
+    """Hashes of words, sorted, and their ids, one word after another."""
+
+    keys: np.ndarray
+    start: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table, wide) -> KnownWords:
+        column = table.column("ids").combine_chunks()
+        sizes = np.diff(column.offsets.to_numpy()).astype(np.int64)
+        start = column.offsets.to_numpy()[:-1].astype(np.int64)
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        sizes = sizes[order]
+        at = np.repeat(start[order], sizes) + arrays.within(sizes)
+        ids = column.values.to_numpy()[at] if len(at) else np.empty(0)
+        return cls(keys[order], np.r_[0, np.cumsum(sizes)], ids.astype(wide))
+
+    def cut(self, cutter: Cutter, t: arrays.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of a slice's words, words before each row, and places here, or -1."""
+        chars, w = cutter.cut(t)
+        h = arrays.word_hashes(chars, w)
+        if not len(self.keys):
+            return h, w.offsets, np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return h, w.offsets, np.where(self.keys[at] == h, at, -1)
+
+    def ids_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words at these places, and how many each has; none at -1."""
+        start = np.where(at < 0, 0, self.start[at])
+        sizes = np.where(at < 0, 0, self.start[np.minimum(at + 1, len(self.start) - 1)] - start)
+        return self.ids[np.repeat(start, sizes) + arrays.within(sizes)], sizes
+
+
+def _bytes_of(pieces: Pieces) -> list[bytes]:
     names = pieces.pieces
     byte_of = {i: bytes([int(p[3:5], 16)]) for p, i in pieces.bytes.items()}
-    raw = [byte_of.get(i, names[i].replace(BLANK, " ").encode()) for i in range(len(names))]
+    return [byte_of.get(i, names[i].replace(BLANK, " ").encode()) for i in range(len(names))]
+
+
+def decoder(pieces: Pieces):
+    """A function from ids to the text."""
+    raw = _bytes_of(pieces)
 
     def decode(ids: list[int]) -> str:
         text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")

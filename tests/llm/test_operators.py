@@ -224,6 +224,51 @@ def test_pieces_equal_the_library(docs, none):
     assert pieces.encoded(none, table).count() == 0
 
 
+def test_words_end_where_no_piece_joins(spark):
+    model = pieces.Pieces()
+    odd = ["", None, " ", "  ", "a  b ", "▁x ▁ y▁▁", "né\n\t 漢字 😀x  ", "x" * 200 + " " * 90, "  a", LONG]
+    column, cutter = pa.array(odd), pieces.Cutter(model.pairs)
+    want = []
+    for text in odd:
+        own = []
+        for token in re.findall(" *[^ ]+| +", " " + text.replace("▁", " ")) if text else []:
+            token = token.replace(" ", "▁")
+            first = 0
+            for k in range(1, len(token) + 1):
+                if token[k - 1 : k + 1] not in model.pairs or k == len(token):
+                    own.append(token[first:k])
+                    first = k
+        want.append(own)
+    for size in (1, 1 << 17):
+        got = []
+        for t in arrays.slices(column, size):
+            chars, w = cutter.cut(t)
+            words = pieces.spelled(chars, w.start, w.end - w.start).to_pylist()
+            got += [words[a:b] for a, b in zip(w.offsets, w.offsets[1:], strict=False)]
+        assert got == want
+    # Frequent words go to tasks as arrays, not as a dictionary.
+    table = pa.table({"key": [-1, 5, 3], "ids": pa.array([[7, 8], [], [9]], pa.list_(pa.int32()))})
+    known = pieces.KnownWords.of(table, np.uint16)
+    assert known.keys.tolist() == [3, 5, 2**64 - 1] and known.ids.nbytes == 6
+    ids, sizes = known.ids_of(np.array([2, -1, 0, 1, 2]))
+    assert ids.tolist() == [7, 8, 9, 7, 8] and sizes.tolist() == [2, 0, 1, 0, 2]
+
+
+def test_merges_that_later_parts_make_possible(spark):
+    # Best first: "abc" needs "bc", which comes after it, and so does "cab" of "ca".
+    table = {"ab": -4.0, "abc": -1.0, "bc": -3.0, "cab": -2.0, "ca": -5.0, "aa": -6.0}
+    rows = [(p, i, s) for i, (p, s) in enumerate([*table.items(), *((c, -9.0) for c in "abc")])]
+    model = pieces.Pieces()
+    model.rows, model.most, model.bytes, model.unknown = rows, 3, {}, 99
+    assert model.late() == {"abc", "cab"}
+    words = {"".join("abcx"[int(k)] for k in np.random.default_rng(i).integers(0, 4 - i % 2, 3 + i % 9))
+             for i in range(300)}
+    frame = spark.createDataFrame([(w, 1) for w in sorted(words)], "word string, n long")
+    known = {p: (i, s) for p, i, s in rows}
+    for r in pieces.encoded_words(frame, model, model.table(spark)).collect():
+        assert list(r.ids) == [known.get(p, (99,))[0] for p in pieces.merged_run(r.word, known)], r.word
+
+
 def test_best_path(spark):
     table = {"a": -1.0, "b": -1.5, "ab": -2.2, "abb": -4.5, "bb": -1.2, "ba": -9.0}
     rows = [(p, i, s) for i, (p, s) in enumerate(table.items())]
