@@ -79,6 +79,12 @@ class Pieces:
         return spark.createDataFrame(rows, "piece string, id int, score double, late boolean")
 
 
+def code_points(t: arrays.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of a slice, and how many come before each row."""
+    chars = np.frombuffer(t.data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    return chars, np.r_[0, np.cumsum((t.data & 0xC0) != 0x80)][t.offsets]
+
+
 class Cutter:
     """Which characters stand side by side in a piece, as a table of their classes."""
 
@@ -96,8 +102,7 @@ class Cutter:
 
         A word begins where blanks do, and wherever no piece has the two characters.
         """
-        chars = np.frombuffer(t.data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        before = np.r_[0, np.cumsum((t.data & 0xC0) != 0x80)][t.offsets]
+        chars, before = code_points(t)
         filled = before[1:] > before[:-1]
         chars = np.insert(chars, before[:-1][filled], ord(BLANK))
         rows = before + np.r_[0, np.cumsum(filled)]
@@ -128,9 +133,7 @@ def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
         start, _ = arrays.group_bounds(h[order])
         words = pa.concat_arrays([p[2] for p in parts]).take(pa.array(order[start]))
         n = np.add.reduceat(n[order], start) if len(h) else n
-        return pa.RecordBatch.from_arrays(
-            [pa.array(h[order][start].view(np.int64)), words, pa.array(n)], ["key", "word", "n"]
-        )
+        return pa.RecordBatch.from_arrays([words, pa.array(n)], ["word", "n"])
 
     def run(batches):
         cutter = Cutter(pairs)
@@ -148,11 +151,22 @@ def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
             if parts:
                 yield merged(parts)
 
+    def keyed(batches):
+        # Hashes are made again behind the shuffle, which they would fill.
+        for batch in batches:
+            keys = [np.empty(0, arrays.U64)]
+            for t in arrays.slices(batch.column("word"), SLICE):
+                chars, ends = code_points(t)
+                keys.append(arrays.word_hashes(chars, arrays.Words(ends[:-1], ends[1:], ends)))
+            key = pa.array(np.concatenate(keys).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", "word", "n"])
+
     rows = df.select(F.col(text).cast("string").alias("text"))
     return (
-        rows.mapInArrow(run, "key long, word string, n long")
-        .groupBy("key", "word")
+        rows.mapInArrow(run, "word string, n long")
+        .groupBy("word")
         .agg(F.sum("n").alias("n"))
+        .mapInArrow(keyed, "key long, word string, n long")
     )
 
 
