@@ -18,6 +18,7 @@ Both know its number of sentences, among which one is doubtful sooner.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +43,7 @@ PIECE = 24  # letters of a word are compared in pieces of this many bytes, half
 LEAST = 0.45  # a kernel below this counts as none
 THRESHOLD = 0.7
 BLOCK = 2048  # sentences that the driver weighs at a time
+WORDS = 8192  # words whose kernels or features a task holds at a time
 
 LETTERS = 63  # codes of letters; this one is no letter
 CODES = np.full(256, LETTERS, np.int32)
@@ -65,6 +67,13 @@ def plain(column: pa.Array) -> pa.Array:
     return pc.utf8_normalize(pc.utf8_lower(column), "NFKD")
 
 
+def plain_slices(column: pa.Array):
+    """Slices of a text column, each made plain by itself: no second copy of the column is held."""
+    for raw in arrays.slices(column):
+        for t in arrays.slices(plain(column.slice(raw.first, raw.rows)), 1 << 30):
+            yield t._replace(first=raw.first + t.first)
+
+
 def letters(t: arrays.Texts, w: arrays.Words) -> tuple[np.ndarray, arrays.Words]:
     """Codes of a slice's letters and other characters, and the words among them.
 
@@ -247,14 +256,19 @@ def sentences(t: arrays.Texts, space: Space) -> tuple[np.ndarray, np.ndarray, np
     first = np.empty(len(names), np.int64)
     first[inverse[::-1]] = np.arange(len(inverse))[::-1]
     letter, within = letters(t, w)
-    some = arrays.Words(within.start[first], within.end[first], within.offsets)
-    codes, piece, word = pieces(letter, some)
-    row, mark, value = space.kernel.hits(triples(codes, piece), len(word))
+    hits = []
+    for a in range(0, len(first), WORDS):
+        own = first[a : a + WORDS]
+        some = arrays.Words(within.start[own], within.end[own], within.offsets)
+        codes, piece, word = pieces(letter, some)
+        row, mark, value = space.kernel.hits(triples(codes, piece), len(word))
+        hits.append((a + word[row], mark, value))
+    word, mark, value = (np.concatenate(x) for x in zip(*hits, strict=True))
     hit = np.zeros(len(first), bool)
-    hit[word[row]] = True
+    hit[word] = True
     place = np.cumsum(hit) - 1
     best = np.zeros((int(hit.sum()), space.kernel.size), np.float32)
-    np.maximum.at(best, (place[word[row]], mark), value)
+    np.maximum.at(best, (place[word], mark), value)
     found = np.flatnonzero(hit[inverse])
     text = np.searchsorted(w.offsets, found, "right") - 1
     # Words come in order, so each sentence's hits are one run of them.
@@ -262,13 +276,15 @@ def sentences(t: arrays.Texts, space: Space) -> tuple[np.ndarray, np.ndarray, np
     begin = np.flatnonzero(np.r_[True, (np.diff(text) > 0) | (np.diff(sentence) > 0)][: len(found)])
     if not len(begin):
         return np.empty(0, np.int64), np.empty((0, space.size), np.float32), lengths
-    at = place[inverse[found]]
-    features = np.hstack(
-        [
-            np.maximum.reduceat(best[:, space.pivots][at], begin),
-            np.add.reduceat((best**POWER)[at], begin),
-        ]
-    )
+    at, ends = place[inverse[found]], np.r_[begin[1:], len(found)]
+    closest, sums, k = best[:, space.pivots], best**POWER, len(space.pivots)
+    features, a = np.empty((len(begin), space.size), np.float32), 0
+    while a < len(begin):
+        b = max(a + 1, int(np.searchsorted(ends, begin[a] + WORDS, "right")))
+        own, cut = at[begin[a] : ends[b - 1]], begin[a:b] - begin[a]
+        features[a:b, :k] = np.maximum.reduceat(closest[own], cut)
+        features[a:b, k:] = np.add.reduceat(sums[own], cut)
+        a = b
     return text[begin], features, lengths
 
 
@@ -276,7 +292,7 @@ def evidence(column: pa.Array, space: Space, weights: np.ndarray, bias: float) -
     """By text: the margins of its worst sentences, and the logarithm of how many it has."""
     out = np.full((len(column), WORST + 1), bias)
     out[:, WORST] = 0.0
-    for t in arrays.slices(plain(column)):
+    for t in plain_slices(column):
         rows, features, lengths = sentences(t, space)
         out[t.first : t.first + t.rows, WORST] = np.log(lengths)
         margin = np.maximum(features @ weights + bias, bias)
@@ -387,7 +403,7 @@ def fit(
             for batch in batches:
                 toxic = batch.column("toxic").to_numpy().astype(np.int64)
                 rows, found = [], []
-                for t in arrays.slices(plain(batch.column("text"))):
+                for t in plain_slices(batch.column("text")):
                     text, features, _ = sentences(t, space)
                     order = np.lexsort((*features.T, -(features @ weights), text))
                     text, features = t.first + text[order], features[order]
@@ -544,12 +560,14 @@ def without_toxic(df: DataFrame, model: Model) -> DataFrame:
     """
     space = Space(model.landmarks)
     limit = np.log(THRESHOLD / (1 - THRESHOLD))
-    place = df.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            column = batch.column(place).cast(pa.string())
+    # Only texts go to Python, and only decisions come back.
+    @F.arrow_udf("boolean")
+    def stays(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
             seen = evidence(column, space, model.weights, model.bias)
-            yield batch.filter(pa.array(logit(seen, model) < limit))
+            yield pa.array(logit(seen, model) < limit)
 
-    return df.mapInArrow(run, df.schema)
+    place = df.columns.index("text")
+    rows = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return rows.where(stays(F.col(f"c{place}").cast("string"))).toDF(*df.columns)

@@ -625,3 +625,24 @@ def test_toxicity_keeps_texts_where_they_lie(spark, monkeypatch):
     toxicity.fit(docs, labels)
     joins = [x for x in plans[0].splitlines() if "Join" in x]
     assert "rightHint=(strategy=broadcast)" in joins[0]
+
+
+def test_toxicity_holds_a_slice_at_a_time(spark, monkeypatch):
+    column = pa.array(["You idiot. Go, i-d-i-o-t and moron! " * 900, None, "Übel, idiotisch " * 9000, ""] * 12)
+    space = toxicity.Space(["idiot", "moron"])
+    weights = np.arange(1.0, space.size + 1)
+    whole = toxicity.evidence(column, space, weights, -0.5)
+    held = []
+    monkeypatch.setattr(toxicity, "plain", lambda c, f=toxicity.plain: held.append(c.nbytes) or f(c))
+    monkeypatch.setattr(toxicity, "WORDS", 2)
+    parts = [toxicity.evidence(column.slice(i, 1), space, weights, -0.5) for i in range(len(column))]
+    held.clear()
+    assert np.array_equal(toxicity.evidence(column, space, weights, -0.5), np.vstack(parts))
+    assert np.array_equal(whole, np.vstack(parts))
+    assert max(held) < column.nbytes / 2
+    # No text comes back from Python.
+    flat = toxicity.Model(["idiot"], np.zeros(2), 0.0, np.zeros((1, toxicity.WORST + 1)), np.zeros(1))
+    docs = spark.createDataFrame([(1, "a", "A")], "doc_id long, text string, Text string")
+    left = toxicity.without_toxic(docs, flat)
+    assert [tuple(r) for r in left.collect()] == [(1, "a", "A")] and left.columns == docs.columns
+    assert "MapInArrow" not in left._jdf.queryExecution().toString()
