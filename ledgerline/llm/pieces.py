@@ -16,24 +16,23 @@ ids, where the best path would not.
 
 Texts are cut as arrays of code points, and a word is known by a 64-bit hash of its
 own. Words frequent in the corpus reach every task as arrays of at most ``KNOWN``
-entries; each text's other words come back through a join to what is known of its ids.
+entries; each text's other words come back through a join to the packed text, which is
+smaller than its ids.
 """
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import arrays
-from ledgerline.llm.common import partitions, staged
+from ledgerline.llm.common import packed_texts, partitions, staged, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -109,12 +108,27 @@ class Cutter:
         chars[chars == ord(" ")] = ord(BLANK)
         blank, kind = chars == ord(BLANK), self.kind[chars]
         begins = np.ones(len(chars), bool)
-        begins[1:] = ~self.joined[kind[:-1], kind[1:]] | (blank[1:] & ~blank[:-1])
+        pair = kind[:-1].astype(np.int32) * np.int32(len(self.joined)) + kind[1:]
+        begins[1:] = ~self.joined.ravel().take(pair) | (blank[1:] & ~blank[:-1])
         begins[rows[:-1][filled]] = True
         start = np.flatnonzero(begins)
         return chars, arrays.Words(start, np.r_[start[1:], len(chars)][: len(start)], np.searchsorted(start, rows))
 
 
+def hashes(chars: np.ndarray, w: arrays.Words) -> np.ndarray:
+    """``arrays.word_hashes`` of words that follow one another without a gap."""
+    if not len(w.start):
+        return np.empty(0, arrays.U64)
+    lengths = w.end - w.start
+    place = np.arange(len(chars), dtype=np.int32) - np.repeat(w.start.astype(np.int32), lengths)
+    sums = chars.astype(arrays.U64)
+    sums += arrays.U64(1)
+    sums *= arrays.multipliers(int(lengths.max())).take(place)
+    return arrays.mix(
+        np.add.reduceat(sums, w.start) + arrays.U64(0x9E3779B97F4A7C15) * lengths.astype(arrays.U64)
+    )
+
+
 def spelled(chars: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
     """Runs of code points as strings."""
     flat = chars[np.repeat(start, length) + arrays.within(length)]
@@ -141,10 +155,11 @@ def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
             parts = []
             for t in arrays.slices(batch.column("text"), SLICE):
                 chars, w = cutter.cut(t)
-                h, first, n = np.unique(
-                    arrays.word_hashes(chars, w), return_index=True, return_counts=True
-                )
-                parts.append((h, n, spelled(chars, w.start[first], (w.end - w.start)[first])))
+                h = hashes(chars, w)
+                order = np.argsort(h)
+                start, n = arrays.group_bounds(h[order])
+                first = order[start]
+                parts.append((h[first], n, spelled(chars, w.start[first], (w.end - w.start)[first])))
                 if len(parts) == MERGED:
                     yield merged(parts)
                     parts = []
@@ -157,7 +172,7 @@ def distinct_words(df: DataFrame, pairs: set[str], text: str) -> DataFrame:
             keys = [np.empty(0, arrays.U64)]
             for t in arrays.slices(batch.column("word"), SLICE):
                 chars, ends = code_points(t)
-                keys.append(arrays.word_hashes(chars, arrays.Words(ends[:-1], ends[1:], ends)))
+                keys.append(hashes(chars, arrays.Words(ends[:-1], ends[1:], ends)))
             key = pa.array(np.concatenate(keys).view(np.int64))
             yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", "word", "n"])
 
@@ -382,20 +397,18 @@ def encoded_words(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFra
     return rows.unionByName(_long_words(words.where(~fits), pieces)) if pieces.merges else rows
 
 
-def frequent_words(coded: DataFrame, known: int) -> DataFrame:
-    """The most frequent words, ``known`` at most, cut at a level of frequency."""
-    short = coded.where(F.length("word") <= LONG).withColumn(
-        "level", F.floor(F.log2("n") * 8).cast("int")
-    )
+def frequent(coded: DataFrame, known: int) -> Column:
+    """Whether a word is among the most frequent, ``known`` at most, by a level of frequency."""
+    short, level = F.length("word") <= LONG, F.floor(F.log2("n") * 8).cast("int")
     # A row for each eighth of a doubling.
-    levels = sorted(short.groupBy("level").count().collect(), reverse=True)
+    levels = coded.where(short).groupBy(level.alias("level")).count().collect()
     total, least = 0, None
-    for level, count in levels:
+    for found, count in sorted(levels, reverse=True):
         total += count
         if total > known:
             break
-        least = level
-    return short.where(F.lit(False) if least is None else F.col("level") >= least).drop("level")
+        least = found
+    return F.lit(False) if least is None else short & (level >= least)
 
 
 def encoded(
@@ -419,8 +432,9 @@ def encoded(
     coded = staged(encoded_words(words, pieces, pieces.table(spark)), "coded-words")
     wide = np.uint16 if len(pieces.pieces) < 65536 else np.uint32
     width = np.dtype(wide).itemsize
-    frequent = spark.sparkContext.broadcast(
-        KnownWords.of(frequent_words(coded, known).select("key", "ids").toArrow(), wide)
+    often = frequent(coded, known)
+    sent = spark.sparkContext.broadcast(
+        KnownWords.of(coded.where(often).select("key", "ids").toArrow(), wide)
     )
     value = F.col(text).cast("string")
     # Rows that share a key only share the words looked up for them.
@@ -431,7 +445,7 @@ def encoded(
     )
 
     def rare(batches):
-        cutter, table = Cutter(pairs), frequent.value
+        cutter, table = Cutter(pairs), sent.value
         for batch in batches:
             for t in arrays.slices(batch.column("text"), SLICE):
                 h, offsets, at = table.cut(cutter, t)
@@ -447,96 +461,96 @@ def encoded(
                     [pa.array(key[row[new]]), pa.array(h[new].view(np.int64))], ["row", "key"]
                 )
 
+    def narrowed(batches):
+        for batch in batches:
+            ids = batch.column("ids")
+            ends, own = ids.offsets.to_numpy(), ids.values.to_numpy().astype(wide)
+            ends = pa.py_buffer((ends * width).astype(np.int32))
+            packed = pa.Array.from_buffers(pa.binary(), len(ids), [None, ends, pa.py_buffer(own)])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), packed], ["key", "ids"])
+
     found = (
         keyed.select("key", "text")
         .mapInArrow(rare, "row long, key long")
-        .join(coded.select("key", "ids"), "key")
+        .join(coded.where(~often).select("key", "ids").mapInArrow(narrowed, "key long, ids binary"), "key")
+        # As they are: lists of one or two would be larger than what they hold.
+        .repartition("row")
         .groupBy("row")
         .agg(F.collect_list(F.struct("key", "ids")).alias("others"))
     )
-
-    def known_ids(batches):
-        cutter, table = Cutter(pairs), frequent.value
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            for t in arrays.slices(batch.column("text"), SLICE):
-                h, offsets, at = table.cut(cutter, t)
-                ids, sizes = table.ids_of(at)
-                ends = np.r_[0, np.cumsum(sizes)]
-                open_ = np.flatnonzero(at < 0)
-                between = np.searchsorted(open_, offsets)
-                packed, gaps = [], []
-                for k in range(t.rows):
-                    a, b = ends[offsets[k]], ends[offsets[k + 1]]
-                    # The low bytes, then the high ones.
-                    packed.append(squeeze(ids[a:b].view(np.uint8).reshape(-1, width).T.tobytes()))
-                    own = open_[between[k] : between[k + 1]]
-                    gaps.append(np.r_[ends[own] - a, h[own].view(np.int64)].tobytes())
-                texts = [t.data[a:b] for a, b in zip(t.offsets, t.offsets[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(t.first, t.rows),
-                     batch.column("doc_id").slice(t.first, t.rows), pa.array(packed, pa.binary()),
-                     pa.array(gaps, pa.binary()), pa.array([digest(x) for x in texts], pa.binary())],
-                    ["row", "doc_id", "packed", "gaps", "digest"],
-                )
-
-    raw = _bytes_of(pieces)
+    raw = np.array(_bytes_of(pieces), object)
 
     def run(batches):
-        expand = zstandard.ZstdDecompressor().decompress
+        cutter, table = Cutter(pairs), sent.value
+        lengths = np.array([len(x) for x in raw])
         for whole in batches:
             for batch in arrays.in_parts(whole, "packed", 1 << 20):
-                ids, same = [], []
-                bounds, keys, starts, flat = _lists(batch.column("others"))
-                for k, (x, y, z) in enumerate(
-                    zip(*(batch.column(c).to_pylist() for c in ("packed", "gaps", "digest")), strict=True)
-                ):
-                    got = np.frombuffer(expand(x), np.uint8).reshape(width, -1)
-                    got = np.ascontiguousarray(got.T).view(wide).ravel()
-                    places, lacking = np.frombuffer(y, np.int64).reshape(2, -1)
-                    own = {
-                        keys[j]: flat[starts[j] : starts[j + 1]] for j in range(*bounds[k])
-                    }
-                    parts, last = [], 0
-                    for place, key in zip(places.tolist(), lacking.tolist(), strict=True):
-                        parts += [got[last:place], own[key]]
-                        last = place
-                    ids.append(np.concatenate([*parts, got[last:]]).astype(np.int32))
-                    text = b"".join([raw[i] for i in ids[-1].tolist()])
-                    # The blank that encoding puts before the text.
-                    same.append(digest(text[1:] if text.startswith(b" ") else text) == z)
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
-                     "round_trip": pa.array(same, pa.bool_())}
-                )
-
-    texts = keyed.mapInArrow(
-        known_ids, "row long, doc_id long, packed binary, gaps binary, digest binary"
-    )
+                texts = pa.array(unpacked(batch.column("packed")), pa.binary())
+                others = batch.column("others")
+                for t in arrays.slices(texts, SLICE):
+                    h, offsets, at = table.cut(cutter, t)
+                    rest = h[at < 0]
+                    more, more_sizes = _looked_up(others.slice(t.first, t.rows), rest, wide)
+                    ids, sizes = table.ids_of(at)
+                    sizes[at < 0] = more_sizes
+                    out = np.empty(int(sizes.sum()), np.int32)
+                    open_ = np.repeat(at < 0, sizes)
+                    out[open_], out[~open_] = more, ids
+                    ends = np.r_[0, np.cumsum(sizes)][offsets]
+                    back = b"".join(raw.take(out).tolist())
+                    begin = np.r_[0, np.cumsum(lengths[out])][ends].tolist()
+                    text, place, same = t.data.tobytes(), t.offsets.tolist(), []
+                    for k in range(t.rows):
+                        # The blank that encoding puts before the text.
+                        a = begin[k] + back.startswith(b" ", begin[k], begin[k + 1])
+                        same.append(back[a : begin[k + 1]] == text[place[k] : place[k + 1]])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").slice(t.first, t.rows),
+                            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out)),
+                            pa.array(same, pa.bool_()),
+                        ],
+                        ["doc_id", "ids", "round_trip"],
+                    )
+
+    texts = packed_texts(keyed.withColumnRenamed("key", "row"), "doc_id", "text", "row")
     return texts.join(found, "row", "left").mapInArrow(
         run, "doc_id long, ids array<int>, round_trip boolean"
     )
 
 
-def digest(data) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
-
+def _looked_up(others: pa.Array, words: np.ndarray, wide) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words by their hashes, one after another, and how many each has.
 
-def _lists(others: pa.Array) -> tuple[list, list, np.ndarray, np.ndarray]:
-    """Of lists of words with ids: each row's bounds, the words' keys, where their ids begin, ids."""
-    values, ends = others.values, others.offsets.to_numpy()
-    full = others.is_valid().to_pylist()
-    bounds = [(a, b) if f else (0, 0) for a, b, f in zip(ends.tolist(), ends[1:].tolist(), full, strict=False)]
-    own = values.field("ids")
-    return bounds, values.field("key").to_pylist(), own.offsets.to_numpy(), own.values.to_numpy()
+    ``others`` holds, by row, words with their ids.
+    """
+    if not len(words):
+        return np.empty(0, wide), np.empty(0, np.int64)
+    own = others.flatten()
+    ends, flat = own.field("ids").buffers()[1:]
+    first = own.field("ids").offset
+    ends = np.frombuffer(ends, np.int32)[first : first + len(own) + 1] // np.dtype(wide).itemsize
+    flat = np.frombuffer(flat, wide, int(ends[-1]))
+    keys, place = np.unique(own.field("key").to_numpy().view(np.uint64), return_index=True)
+    at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+    if not len(keys) or (keys[at] != words).any():
+        raise LookupError("a word of a text has not been encoded")
+    start = ends[place[at]].astype(np.int64)
+    sizes = ends[place[at] + 1] - start
+    return flat[np.repeat(start, sizes) + arrays.within(sizes)], sizes
 
 
 class KnownWords(NamedTuple):
-    """Hashes of words, sorted, and their ids, one word after another."""
+    """Hashes of words, sorted, and their ids, one word after another.
+
+    ``first`` is the place of the first hash with given leading bits, of which there
+    are about four times as many as words, so that few share them.
+    """
 
     keys: np.ndarray
     start: np.ndarray
     ids: np.ndarray
+    first: np.ndarray
 
     @classmethod
     def of(cls, table: pa.Table, wide) -> KnownWords:
@@ -548,16 +562,30 @@ class KnownWords(NamedTuple):
         sizes = sizes[order]
         at = np.repeat(start[order], sizes) + arrays.within(sizes)
         ids = column.values.to_numpy()[at] if len(at) else np.empty(0)
-        return cls(keys[order], np.r_[0, np.cumsum(sizes)], ids.astype(wide))
+        keys, bits = keys[order], max(1, len(order).bit_length() + 1)
+        leading = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        first = np.r_[np.searchsorted(keys, leading), len(keys)].astype(np.int32)
+        return cls(keys, np.r_[0, np.cumsum(sizes)], ids.astype(wide), first)
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """Places of hashes here, or -1."""
+        bits = (len(self.first) - 1).bit_length() - 1
+        leading = (h >> np.uint64(64 - bits)).astype(np.int64)
+        at, last = self.first[leading].astype(np.int64), self.first[leading + 1]
+        out, open_ = np.full(len(h), -1), np.flatnonzero(at < last)
+        while len(open_):
+            hit = self.keys[at[open_]] == h[open_]
+            out[open_[hit]] = at[open_[hit]]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < last[open_]]
+        return out
 
     def cut(self, cutter: Cutter, t: arrays.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of a slice's words, words before each row, and places here, or -1."""
         chars, w = cutter.cut(t)
-        h = arrays.word_hashes(chars, w)
-        if not len(self.keys):
-            return h, w.offsets, np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return h, w.offsets, np.where(self.keys[at] == h, at, -1)
+        h = hashes(chars, w)
+        return h, w.offsets, self.places(h)
 
     def ids_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words at these places, and how many each has; none at -1."""

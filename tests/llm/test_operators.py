@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
@@ -646,3 +647,38 @@ def test_toxicity_holds_a_slice_at_a_time(spark, monkeypatch):
     left = toxicity.without_toxic(docs, flat)
     assert [tuple(r) for r in left.collect()] == [(1, "a", "A")] and left.columns == docs.columns
     assert "MapInArrow" not in left._jdf.queryExecution().toString()
+
+
+def test_piece_lookups(spark, monkeypatch):
+    model = pieces.Pieces()
+    texts = ["", "one two  two ▁three", "日本語 naïve", "x" * 200, " ", "zz zz one"]
+    cutter = pieces.Cutter(model.pairs)
+    t = next(arrays.slices(pa.array(texts)))
+    chars, w = cutter.cut(t)
+    h = pieces.hashes(chars, w)
+    assert np.array_equal(h, arrays.word_hashes(chars, w))
+    keys = np.r_[np.random.default_rng(3).integers(0, 2**64, 999, np.uint64), h[::2], np.uint64([0, 2**64 - 1])]
+    for some in (keys, keys[:1], keys[:0]):
+        some = np.unique(some)
+        table = pa.table(
+            {"key": some.view(np.int64), "ids": pa.array([[k % 7] * (k % 3) for k in range(len(some))], pa.list_(pa.int32()))}
+        )
+        known = pieces.KnownWords.of(table, np.uint16)
+        place = {int(k): i for i, k in enumerate(some)}
+        asked = np.r_[h, keys, keys + np.uint64(1)]
+        assert known.places(asked).tolist() == [place.get(int(k), -1) for k in asked]
+    # Words that reach every task aren't joined, and no ids of whole texts are shuffled.
+    joined = []
+    pack = pieces.packed_texts
+    monkeypatch.setattr(pieces, "packed_texts", lambda df, *a: joined.append(a) or pack(df, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = docs.union(docs).union(spark.createDataFrame([(None, "one rare"), (9, None)], docs.schema))
+    want = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    for known in (pieces.KNOWN, 2, 0):
+        got = pieces.encoded(docs, model, known=known).collect()
+        assert len(got) == 2 * len(texts) + 2
+        for r in got:
+            text = "one rare" if r.doc_id is None else "" if r.doc_id == 9 else texts[r.doc_id]
+            assert list(r.ids) == want.encode(text)
+            assert r.round_trip == ("▁" not in text)
+    assert joined == [("doc_id", "text", "row")] * 3
